@@ -7,7 +7,7 @@ broken markup costs neither recursion nor memory beyond the page itself.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import escape, unescape
 
 TEXT, RAW, COMMENT, OPEN, CLOSE = range(5)
@@ -33,8 +33,9 @@ _ENDS = {
     "body": ({"head"}, set()),
 }
 # An end tag does not reach through an open element that is stronger than itself.
-_STRENGTH = {"p": 10, "div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180,
+_STRENGTH = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180,
              "tfoot": 180, "table": 190, "head": 200, "body": 200, "html": 220}
+_STRONGER = {tag: [t for t, s in _STRENGTH.items() if s > own] for tag, own in _STRENGTH.items()}
 
 _TOKEN = re.compile(
     r"<!--(?P<comment>.*?)(?:-->|\Z)"
@@ -75,6 +76,7 @@ class Page:
         self.items: list[tuple[int, object]] = []
         self.elements: list[Element] = []
         self._open: list[Element] = []
+        self._depths: dict[str, list[int]] = {}
         self._templates = 0
         self._read(markup)
 
@@ -108,7 +110,7 @@ class Page:
 
     def _start(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
-            self._end_nearest({"p"}, {"table", "td", "th"})
+            self._end_nearest(("p",), ("table", "td", "th"))
         if tag in _ENDS:
             self._end_nearest(*_ENDS[tag])
         attrs: dict[str, str] = {}
@@ -117,33 +119,31 @@ class Page:
         element = Element(tag, attrs, len(self.items))
         self.elements.append(element)
         self.items.append((OPEN, element))
+        self._depths.setdefault(tag, []).append(len(self._open))
         self._open.append(element)
         self._templates += tag == "template"
         if tag in _VOID:
             self._close_down_to(len(self._open) - 1)
 
-    def _end_nearest(self, targets: set[str], walls: set[str]) -> None:
-        for depth in range(len(self._open) - 1, -1, -1):
-            tag = self._open[depth].tag
-            if tag in targets:
-                return self._close_down_to(depth)
-            if tag in walls:
-                return None
-        return None
+    def _nearest(self, tags: Iterable[str]) -> int:
+        """Depth of the innermost open element with one of the tags, -1 when there is none."""
+        return max((self._depths[t][-1] for t in tags if self._depths.get(t)), default=-1)
+
+    def _end_nearest(self, targets: Iterable[str], walls: Iterable[str]) -> None:
+        depth = self._nearest(targets)
+        if depth >= 0 and depth > self._nearest(walls):
+            self._close_down_to(depth)
 
     def _end(self, tag: str) -> None:
-        strength = _STRENGTH.get(tag, 100)
-        for depth in range(len(self._open) - 1, -1, -1):
-            found = self._open[depth].tag
-            if found == tag:
-                return self._close_down_to(depth)
-            if _STRENGTH.get(found, 100) > strength:
-                return None
-        return None
+        if self._open and self._open[-1].tag == tag:
+            self._close_down_to(len(self._open) - 1)
+        else:
+            self._end_nearest((tag,), _STRONGER.get(tag, _STRENGTH))
 
     def _close_down_to(self, depth: int) -> None:
         while len(self._open) > depth:
             element = self._open.pop()
+            self._depths[element.tag].pop()
             element.last = len(self.items)
             self.items.append((CLOSE, element))
             self._templates -= element.tag == "template"

@@ -1,10 +1,11 @@
-"""What happens to an identity over a batch: last write, preceding write, write decision, upsert."""
+"""What happens to an identity over a batch: last write, change, write decision, upsert."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from doclake.schema import IDENTITY
@@ -27,34 +28,52 @@ def latest_per_identity(
     return rows.groupBy(*keys).agg(latest, *more).select(*keys, "latest.*", *extra)
 
 
-def with_previous(
+def mark_changes(
     rows: DataFrame,
     values: Sequence[str],
     order: str = "fetch_seq",
     keys: Sequence[str] = IDENTITY,
     lane_rows: int = LANE_ROWS,
 ) -> DataFrame:
-    """Add ``previous``, the ``values`` of the preceding row of the same identity, null on the first.
+    """Add ``is_first`` (of its identity) and ``changed`` (first, or values unlike the row before).
 
     One identity may own a third of the table, so its history is not put into one window group.
     The first pass looks back inside ranges of the arrival number. Only the first row of a range
     can lack its predecessor there, and that predecessor is the last row of an earlier range: a
     second pass over those edge rows alone (two per range) links the ranges up. Rows between the
-    edges keep their range as group key in the second pass, so it stays as evenly spread.
+    edges keep their range as group key in the second pass, so it stays as evenly spread, and
+    carry only a flag of what the first pass found.
     """
-    value = F.struct(*values)
+
+    def look_back(window: WindowSpec) -> tuple[Column, Column]:
+        there = F.lag(F.lit(True)).over(window).isNotNull()
+        same = [F.col(v).eqNullSafe(F.lag(v).over(window)) for v in values]
+        return there, reduce(Column.__and__, same)
+
     lane = F.col(order) - F.pmod(F.col(order), F.lit(lane_rows))
     inside = Window.partitionBy(*keys, "_lane").orderBy(order)
     across = Window.partitionBy(*keys, "_link").orderBy(order)
-    linked = (
-        rows.withColumn("_lane", lane)
+    near, near_same = look_back(inside)
+    far, far_same = look_back(across)
+    last = F.lead(F.lit(True)).over(inside).isNull()
+    first_pass = rows.withColumn("_lane", lane).withColumns(
+        {"_near": near, "_same": near_same, "_last": last}
+    )
+    edges = F.when(~F.col("_last") & F.col("_near"), F.col("_lane"))
+    return (
+        first_pass.withColumn("_link", edges)
+        .drop("_lane", "_last")
+        .withColumns({"_far": far, "_far_same": far_same})
         .withColumns(
-            {"_near": F.lag(value).over(inside), "_last": F.lead(order).over(inside).isNull()}
+            {
+                "is_first": ~F.col("_near") & ~F.col("_far"),
+                "changed": ~F.when(F.col("_near"), F.col("_same")).otherwise(
+                    F.col("_far") & F.col("_far_same")
+                ),
+            }
         )
-        .withColumn("_link", F.when(~F.col("_last") & F.col("_near").isNotNull(), F.col("_lane")))
-        .withColumn("previous", F.coalesce("_near", F.lag(value).over(across)))
+        .drop("_near", "_same", "_link", "_far", "_far_same")
     )
-    return linked.drop("_lane", "_near", "_last", "_link")
 
 
 def join_existing(rows: DataFrame, stored: DataFrame, *fields: str) -> DataFrame:
@@ -64,7 +83,10 @@ def join_existing(rows: DataFrame, stored: DataFrame, *fields: str) -> DataFrame
 
 
 def write_decisions(
-    writes: DataFrame, stored: DataFrame, lane_rows: int = LANE_ROWS
+    writes: DataFrame,
+    stored: DataFrame,
+    keys: Sequence[str] = IDENTITY,
+    lane_rows: int = LANE_ROWS,
 ) -> DataFrame:
     """Decide for every write, in arrival order, whether the object has to be written.
 
@@ -72,17 +94,15 @@ def write_decisions(
     A, B, A writes three times. The stored record takes part as write number -1: the look-back
     that compares neighbours then also finds stored state, without a join.
 
-    ``writes`` needs body, identifier, fetch_seq (>= 0), file_path, file_hash; every other column
+    ``writes`` needs the keys, fetch_seq (>= 0, dense), file_path, file_hash; every other column
     is carried along, so keep payloads out. Adds ``object_written`` and ``inserted``.
     """
     value = ["file_path", "file_hash"]
-    before = stored.select(*IDENTITY, *value, F.lit(-1).cast("bigint").alias("fetch_seq"))
+    before = stored.select(*keys, *value, F.lit(-1).cast("bigint").alias("fetch_seq"))
     history = writes.unionByName(before, allowMissingColumns=True)
-    linked = with_previous(history, value, lane_rows=lane_rows).where("fetch_seq >= 0")
-    same = F.struct(*value).eqNullSafe(F.col("previous"))
-    return linked.withColumns(
-        {"object_written": ~same, "inserted": F.col("previous").isNull()}
-    ).drop("previous")
+    marked = mark_changes(history, value, keys=keys, lane_rows=lane_rows)
+    renamed = marked.withColumnsRenamed({"changed": "object_written", "is_first": "inserted"})
+    return renamed.where("fetch_seq >= 0")
 
 
 def upsert(

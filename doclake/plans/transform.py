@@ -75,14 +75,25 @@ def transform(
 ) -> DataFrame:
     """One row per landing row: the transformed record with its ``content``, or a failure.
 
-    ``objects`` is a version table (file_path, content, write_order). Which version counts is
-    settled on slim rows; the content takes part in one join, on a unique key, and is not sorted
-    or shuffled when the landing range is small enough to be broadcast by its measured size.
+    ``objects`` is a version table (file_path, content, write_order).
+    """
+    return transform_located(locate(landing, objects), objects, as_of, profile)
+
+
+def transform_located(
+    located: DataFrame,
+    objects: DataFrame,
+    as_of: str,
+    profile: SourceProfile = DEFAULT_PROFILE,
+) -> DataFrame:
+    """The part that touches content: one inner join on a unique key, then the conversion.
+
+    ``located`` has no content, so for a range of ordinary size it is the side to broadcast, and
+    the content is neither shuffled nor sorted. Spark decides that by the size it knows.
     """
-    located = locate(landing, objects)
     found = located.where("error_code is null").drop("error_code", "reason")
     content = objects.select("file_path", ORDER, "content")
-    rows = found.join(content, ["file_path", ORDER]).drop(ORDER)
+    rows = content.join(found, ["file_path", ORDER]).drop(ORDER)
     lost = located.where("error_code is not null").drop(ORDER)
     return convert(rows, as_of, profile).unionByName(lost, allowMissingColumns=True)
 
@@ -127,13 +138,16 @@ def run_transform(
 ) -> DataFrame:
     """Transform a range and commit it; returns the outcomes (no content) as a written table.
 
-    Everything, content and failures, is written once; what follows reads slim columns of that.
+    What is to be read is settled on slim rows and written first, so that its size is known when
+    the content is joined. Everything made, content and failures, is written once; what follows
+    reads slim columns of that.
     """
     check_range(start, end)
     run = store.begin()
     landing = scan_range(store.read("landing", start, end), start, end)
     objects = store.objects("landing", landing)
-    rows = transform(landing.drop("object_partition"), objects, as_of, profile)
+    located = run.stage("located", locate(landing.drop("object_partition"), objects))
+    rows = transform_located(located, objects, as_of, profile)
     outcomes = run.write_objects("transformed", rows).drop("content")
     good = outcomes.where("error_code is null")
     run.merge(

@@ -23,11 +23,13 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
 def parse_log_events(lines: DataFrame) -> DataFrame:
     """Log lines as events: the fixed fields as columns, every field in a map.
 
-    Lines that are not JSON objects are skipped.
+    Lines that are not exactly one JSON object are skipped. A line is parsed as the only element
+    of an array, since the parser would otherwise overlook what follows an object.
     """
-    parsed = F.from_json("value", "map<string,string>")
-    valid = F.try_parse_json("value").isNotNull()
-    rows = lines.withColumn("fields", F.when(valid, parsed)).where("fields is not null")
+    boxed = F.concat(F.lit("["), "value", F.lit("]"))
+    parsed = F.from_json(boxed, "array<map<string,string>>")
+    one = F.when(F.size(parsed) == 1, parsed[0])
+    rows = lines.withColumn("fields", one).where("fields is not null")
     carried = [c for c in lines.columns if c != "value"]
 
     def field(name: str) -> Column:

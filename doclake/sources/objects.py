@@ -14,8 +14,11 @@ def current_versions(objects: DataFrame, *carried: str) -> DataFrame:
     Only the named columns are read; the content stays in the files. The aggregate combines on
     the map side, so a key written millions of times costs one row per task in the shuffle.
     """
+    by_key = objects.groupBy("file_path")
+    if not carried:
+        return by_key.agg(F.max(ORDER).alias(ORDER))
     latest = F.max_by(F.struct(ORDER, *carried), F.col(ORDER)).alias("latest")
-    return objects.groupBy("file_path").agg(latest).select("file_path", "latest.*")
+    return by_key.agg(latest).select("file_path", "latest.*")
 
 
 def digests(objects: DataFrame) -> DataFrame:
@@ -38,27 +41,33 @@ def missing(keys: DataFrame, objects: DataFrame) -> DataFrame:
     return keys.join(objects.select("file_path"), "file_path", "left_anti")
 
 
-def export_objects(objects: DataFrame, root: str) -> None:
-    """Write each object as one file ``root/file_path``, from the tasks that hold the rows.
+def export_objects(objects: DataFrame, root: str) -> tuple[int, int]:
+    """Write each object as one file ``root/file_path`` from the tasks that hold the rows.
 
-    A retried task writes the same bytes again, so losing an executor does no harm.
+    Returns the number of files and bytes. A retried task writes the same bytes again, so losing
+    an executor does no harm.
     """
 
-    def put(rows) -> None:
-        from pyarrow import fs
+    def put(batches):
+        from pyarrow import RecordBatch, fs
 
         store, base = fs.FileSystem.from_uri(root)
-        made = set()
-        for row in rows:
-            path = f"{base}/{row.file_path}"
-            folder = path.rpartition("/")[0]
-            if folder not in made:
-                store.create_dir(folder, recursive=True)
-                made.add(folder)
-            with store.open_output_stream(path) as out:
-                out.write(row.content)
-
-    objects.select("file_path", "content").foreachPartition(put)
+        folders = set()
+        for batch in batches:
+            size = 0
+            for path, content in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                folder = f"{base}/{path}".rpartition("/")[0]
+                if folder not in folders:
+                    store.create_dir(folder, recursive=True)
+                    folders.add(folder)
+                with store.open_output_stream(f"{base}/{path}") as out:
+                    out.write(content)
+                size += len(content)
+            yield RecordBatch.from_pydict({"files": [batch.num_rows], "bytes": [size]})
+
+    written = objects.select("file_path", "content").mapInArrow(put, "files long, bytes long")
+    total = written.agg(F.sum("files"), F.sum("bytes")).head()
+    return total[0] or 0, total[1] or 0
 
 
 def read_exported(spark: SparkSession, root: str) -> DataFrame:

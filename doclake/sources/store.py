@@ -57,18 +57,28 @@ class Store:
 
     def state(self) -> tuple[int, dict[str, dict[str, int]]]:
         """(last committed run, zone -> partition -> run that holds it). One row per partition."""
-        try:
-            commits = self.spark.read.parquet(f"{self.root}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        run = self._last_commit()
+        if run is None:
             return 0, {}
-        run = commits.agg(F.max("run")).head()[0]
         zones: dict[str, dict[str, int]] = {}
         for row in self.spark.read.parquet(f"{self.root}/commits/run={run}").collect():
             zones.setdefault(row.zone, {})[row.partition_date] = row.data_run
         return run, zones
 
+    def _last_commit(self) -> int | None:
+        """Highest run whose commit is complete: one listing, however many runs there were."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(f"{self.root}/commits")
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return None
+        names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+        runs = [int(name.removeprefix("run=")) for name in names if name.startswith("run=")]
+        for run in sorted(runs, reverse=True):
+            if files.exists(hadoop.Path(folder, f"run={run}/_SUCCESS")):
+                return run
+        return None
+
     def mark(self, name: str) -> int | None:
         """Number a stream committed last under this name."""
         return self.state()[1].get(f"{_MARK}{name}", {}).get("")
@@ -141,7 +151,8 @@ class Run:
         columns = [c for c in OBJECTS[zone].names if c != "run"]
         even = rows.select(*columns).hint("rebalance", F.col("partition_date"))
         even.write.mode("overwrite").partitionBy("partition_date").parquet(path)
-        return self.store._versions(zone).where(F.col("run") == self.number)
+        schema = T.StructType([f for f in OBJECTS[zone].fields if f.name != "run"])
+        return rows.sparkSession.read.schema(schema).parquet(path)
 
     def merge(
         self, zone: str, records: DataFrame, combine: Callable[[DataFrame], DataFrame]
