@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,16 +14,14 @@ from doclake.schema import CONTENT_TYPES, HTML, SIGNATURES
 
 def detect_document_type(content_type: Column, payload: Column) -> Column:
     """The file signature wins over the declared content type; html is the default."""
-    declared = F.lower(strip(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))))
-    sniffed = None
-    for document_type, signature in SIGNATURES.items():
-        hit = F.startswith(payload, F.lit(signature))
-        case = F if sniffed is None else sniffed
-        sniffed = case.when(hit, F.lit(document_type))
-    for document_type, mime in CONTENT_TYPES.items():
-        if document_type != HTML:
-            sniffed = sniffed.when(declared == F.lit(mime), F.lit(document_type))
-    return sniffed.otherwise(F.lit(HTML))
+    header = F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))
+    declared = lookup({mime: kind for kind, mime in CONTENT_TYPES.items()}, F.lower(strip(header)))
+    sniffed = reduce(
+        lambda cases, item: cases.when(F.startswith(payload, F.lit(item[1])), F.lit(item[0])),
+        SIGNATURES.items(),
+        F,
+    )
+    return sniffed.otherwise(F.coalesce(declared, F.lit(HTML)))
 
 
 def effective_document_type(stored: Column, payload: Column) -> Column:

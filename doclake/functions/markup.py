@@ -7,7 +7,8 @@ broken markup costs neither recursion nor memory beyond the page itself.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from html import escape, unescape
 
 TEXT, RAW, COMMENT, OPEN, CLOSE = range(5)
@@ -65,10 +66,28 @@ def decode(payload: bytes) -> str:
 
 
 class Element:
-    __slots__ = ("attrs", "first", "last", "tag")
+    """Items [first, last] of a page; its descendants are elements [index + 1, stop).
 
-    def __init__(self, tag: str, attrs: dict[str, str], first: int) -> None:
-        self.tag, self.attrs, self.first, self.last = tag, attrs, first, first
+    Most elements are only ever looked at by tag, so attributes are read when first asked for.
+    """
+
+    __slots__ = ("_attrs", "first", "index", "last", "source", "stop", "tag")
+
+    def __init__(self, tag: str, source: str, first: int, index: int) -> None:
+        self.tag, self.source, self._attrs = tag, source, None
+        self.first, self.last, self.index, self.stop = first, first, index, index + 1
+
+    @property
+    def attrs(self) -> dict[str, str]:
+        if self._attrs is None:
+            self._attrs = {}
+            for name, double, single, bare in _ATTRIBUTE.findall(self.source):
+                self._attrs.setdefault(name.lower(), unescape(double or single or bare))
+        return self._attrs
+
+    def may_have(self, value: str) -> bool:
+        """Quick look before attributes are read: the value cannot be there if its text is not."""
+        return value in self.source or "&" in self.source
 
 
 class Page:
@@ -113,10 +132,7 @@ class Page:
             self._end_nearest(("p",), ("table", "td", "th"))
         if tag in _ENDS:
             self._end_nearest(*_ENDS[tag])
-        attrs: dict[str, str] = {}
-        for name, double, single, bare in _ATTRIBUTE.findall(attributes):
-            attrs.setdefault(name.lower(), unescape(double or single or bare))
-        element = Element(tag, attrs, len(self.items))
+        element = Element(tag, attributes, len(self.items), len(self.elements))
         self.elements.append(element)
         self.items.append((OPEN, element))
         self._depths.setdefault(tag, []).append(len(self._open))
@@ -144,7 +160,7 @@ class Page:
         while len(self._open) > depth:
             element = self._open.pop()
             self._depths[element.tag].pop()
-            element.last = len(self.items)
+            element.last, element.stop = len(self.items), len(self.elements)
             self.items.append((CLOSE, element))
             self._templates -= element.tag == "template"
 
@@ -152,9 +168,7 @@ class Page:
         """Elements in document order for one or two simple selectors ("a.next", "h2.title a")."""
         outer, _, inner = selector.partition(" ")
         matches = matcher(outer)
-        for element in self.elements:
-            if scope and not scope.first < element.first < scope.last:
-                continue
+        for element in self.elements[scope.index + 1 : scope.stop] if scope else self.elements:
             if matches(element):
                 if inner:
                     yield from self.select(inner, element)
@@ -218,22 +232,32 @@ def _quoted(value: str) -> str:
     return f"'{value}'" if "'" not in value else '"' + value.replace('"', "&quot;") + '"'
 
 
-_matchers: dict[str, object] = {}
+Test = Callable[[Element], bool]
 
 
-def matcher(selector: str):
+@cache
+def matcher(selector: str) -> Test:
     """Test for one simple selector: a tag, "#id", ".class", "[name=value]" or tag plus one of them."""
-    if selector not in _matchers:
-        tag, ident, css_class, name, value = _SELECTOR.fullmatch(selector).groups()
-
-        def matches(element: Element) -> bool:
-            attrs = element.attrs
-            return (
-                (not tag or element.tag == tag)
-                and (ident is None or attrs.get("id") == ident)
-                and (css_class is None or css_class in attrs.get("class", "").split())
-                and (name is None or attrs.get(name) == value)
-            )
-
-        _matchers[selector] = matches
-    return _matchers[selector]
+    tag, ident, css_class, name, value = _SELECTOR.fullmatch(selector).groups()
+    wanted = ident or css_class or value
+    if not wanted:
+        return lambda element: element.tag == tag
+
+    def matches(element: Element) -> bool:
+        if (tag and element.tag != tag) or not element.may_have(wanted):
+            return False
+        if ident:
+            return element.attrs.get("id") == ident
+        if css_class:
+            return css_class in element.attrs.get("class", "").split()
+        return element.attrs.get(name) == value
+
+    return matches
+
+
+@cache
+def any_matcher(selectors: tuple[str, ...]) -> Test:
+    """Test for any of several simple selectors."""
+    tags = frozenset(s for s in selectors if s.isalnum())
+    others = [matcher(s) for s in selectors if s not in tags]
+    return lambda e: e.tag in tags or (bool(e.source) and any(test(e) for test in others))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from doclake.functions.markup import OPEN, Page, decode, matcher
+from doclake.functions.markup import OPEN, Page, any_matcher, decode
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
 
 def _strings(*names: str) -> T.StructType:
@@ -40,12 +40,12 @@ def _clean(payload: bytes, profile: SourceProfile) -> dict:
             "error_code": "ContentNotFound",
             "reason": f"no container matched {profile.containers}",
         }
-    tests = [matcher(selector) for selector in profile.ui]
+    is_interface = any_matcher(profile.ui)
     dropped, headings, index = set(), [], container.first + 1
     while index < container.last:
         kind, data = page.items[index]
         if kind == OPEN:
-            if any(test(data) for test in tests):
+            if is_interface(data):
                 dropped.add(index)
                 index = data.last
             elif data.tag in ("h1", "h2"):

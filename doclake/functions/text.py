@@ -31,6 +31,11 @@ def sanitize_identifier(value: Column) -> Column:
     return F.nullif(F.btrim(joined, F.lit("-_.")), F.lit(""))
 
 
+def has_key(value: Column) -> Column:
+    """Whether anything is left of an identifier after ``sanitize_identifier``, by one look."""
+    return value.rlike(rf"[^/\x00-\x1f{WHITESPACE}\-_.]")
+
+
 def lookup(table: dict[str, str], key: Column) -> Column:
     """Value of ``key`` in a small constant table, null when it is not there."""
     entries = [F.lit(part) for pair in table.items() for part in pair]

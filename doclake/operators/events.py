@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doclake.operators.stats import run_summary, scope_stats
 from doclake.sources.logs import event_line
 
 
@@ -21,46 +24,87 @@ def event_union(stored: DataFrame, unchanged: DataFrame, failed: DataFrame) -> D
     )
 
 
-# The fields of each event, in order.
-STORED_FIELDS = (
-    "body",
-    "identifier",
-    "partition",
-    "file_path",
-    "file_hash",
-    "document_type",
-    "object_written",
-    "inserted",
-)
-UNCHANGED_FIELDS = ("url", "identifier", "body", "reason")
-FAILED_FIELDS = ("url", "error_code", "reason", "body", "partition", "identifier")
-SUMMARY_FIELDS = ("body", "partition", "records_found", "records_scraped", "failed")
-TRANSFORMED_FIELDS = (
-    "identifier",
-    "body",
-    "partition",
-    "document_type",
-    "file_path",
-    "file_hash",
-    "unchanged_content",
-)
-RATE_LIMITED_FIELDS = ("url", "error_code", "retry_after")
-
-
-def event_lines(
-    rows: DataFrame,
-    event: str,
-    fields: tuple[str, ...],
-    ts: Column,
-    logger: str,
-    level: str = "INFO",
-) -> DataFrame:
-    """One JSON line per row in column ``value``."""
+# The events and their fields, in order.
+EVENT_FIELDS = {
+    "run_started": ("start_date", "end_date", "partition_size", "partitions"),
+    "bodies_discovered": ("bodies",),
+    "partition_started": ("body", "partition", "total_results"),
+    "record_stored": (
+        "body",
+        "identifier",
+        "partition",
+        "file_path",
+        "file_hash",
+        "document_type",
+        "object_written",
+        "inserted",
+    ),
+    "document_unchanged": ("url", "identifier", "body", "reason"),
+    "rate_limited": ("url", "error_code", "retry_after"),
+    "record_failed": ("url", "error_code", "reason", "body", "partition", "identifier"),
+    "partition_summary": ("body", "partition", "records_found", "records_scraped", "failed"),
+    "run_summary": ("records_found", "records_scraped", "failed"),
+    "transform_started": ("partition",),
+    "document_transformed": (
+        "identifier",
+        "body",
+        "partition",
+        "document_type",
+        "file_path",
+        "file_hash",
+        "unchanged_content",
+    ),
+}
+LEVELS = {"record_failed": "ERROR", "rate_limited": "WARNING"}
+
+
+def event_lines(rows: DataFrame, event: str, ts: Column, logger: str) -> DataFrame:
+    """One JSON line per row in column ``value``, with the fields of the event."""
     line = event_line(
         ts.cast("string"),
-        F.lit(level),
+        F.lit(LEVELS.get(event, "INFO")),
         F.lit(logger),
         F.lit(event),
-        **{name: F.col(name) for name in fields},
+        **{name: F.col(name) for name in EVENT_FIELDS[event]},
     )
     return rows.select(line.alias("value"))
+
+
+def ingest_log(decisions: DataFrame, ts: Column, logger: str = "landing") -> DataFrame:
+    """The lines of an ingest run: one per record, one per scope, one for the run."""
+    rows = decisions.withColumn("url", F.col("document_url"))
+    unchanged = rows.where("outcome = 'unchanged'").withColumn("reason", F.lit("http_validator"))
+    scopes = scope_stats(decisions)
+    parts = {
+        "record_stored": rows.where("outcome = 'stored'"),
+        "document_unchanged": unchanged,
+        "record_failed": rows.where("outcome = 'failed'"),
+        "partition_summary": scopes,
+        "run_summary": run_summary(scopes),
+    }
+    return _union(parts, ts, logger)
+
+
+def transform_log(outcomes: DataFrame, ts: Column, logger: str = "transformation") -> DataFrame:
+    """The lines of a transform run; a record's partition is its partition date."""
+    rows = outcomes.withColumn("partition", F.col("partition_date"))
+    url = F.coalesce(F.nullif("document_url", F.lit("")), F.nullif("file_path", F.lit("")), F.lit(""))
+    outcome = F.when(F.col("error_code").isNull(), "stored").otherwise("failed")
+    scopes = scope_stats(rows.withColumn("outcome", outcome))
+    parts = {
+        "document_transformed": rows.where("error_code is null"),
+        "record_failed": rows.where("error_code is not null").withColumn("url", url),
+        "partition_summary": scopes,
+        "run_summary": run_summary(scopes),
+    }
+    return _union(parts, ts, logger)
+
+
+def listing_log(listings: DataFrame, ts: Column, logger: str = "frontier") -> DataFrame:
+    """A line for every first listing page: a scope's partition has been started."""
+    return event_lines(listings.where("page = 1"), "partition_started", ts, logger)
+
+
+def _union(parts: dict[str, DataFrame], ts: Column, logger: str) -> DataFrame:
+    lines = [event_lines(rows, event, ts, logger) for event, rows in parts.items()]
+    return reduce(DataFrame.unionByName, lines)

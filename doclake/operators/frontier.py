@@ -31,6 +31,26 @@ def filter_bodies(bodies: DataFrame, wanted: str | DataFrame | None = None) -> D
     return bodies.where(F.col("body_id").isin([part.strip() for part in wanted.split(",")]))
 
 
+def no_bodies(
+    pages: DataFrame, wanted: str | None = None, profile: SourceProfile = DEFAULT_PROFILE
+) -> DataFrame:
+    """Failure rows of search pages (url, payload) that offer none of the wanted bodies."""
+    ids = [part.strip() for part in wanted.split(",")] if wanted else []
+    found = read_bodies(F.col("payload"), profile)
+    hits = F.filter("found", lambda b: b["body_id"].isin(ids) if ids else F.lit(True))
+    none = F.lit(None).cast("string")
+    return (
+        pages.withColumn("found", found)
+        .where(F.size(hits) == 0)
+        .select(
+            "url",
+            F.lit("no_bodies").alias("error_code"),
+            F.lit("body discovery returned no bodies").alias("reason"),
+            *[none.alias(name) for name in ("body", "partition", "identifier")],
+        )
+    )
+
+
 def bodies_list(bodies: DataFrame) -> DataFrame:
     return bodies.select("body").distinct()
 
@@ -147,12 +167,23 @@ def missing_pages(listings: DataFrame) -> DataFrame:
 
 
 def rate_limited(attempts: DataFrame) -> DataFrame:
-    """Throttled attempts; ``is_final`` marks those the retry policy would not repeat."""
-    return attempts.where(F.col("status").isin(*RATE_LIMIT_STATUS)).select(
+    """Throttled attempts; ``is_final`` marks those that no later attempt followed.
+
+    As in ``suppress_requests``, the last attempt per URL is an aggregate that joins back on a
+    unique pair, so one URL with most of the attempts is no heavier than the others.
+    """
+    last = (
+        attempts.groupBy("document_url")
+        .agg(F.max("fetch_seq").alias("fetch_seq"))
+        .select("document_url", "fetch_seq", F.lit(True).alias("last"))
+    )
+    throttled = attempts.where(F.col("status").isin(*RATE_LIMIT_STATUS))
+    return throttled.join(last, ["document_url", "fetch_seq"], "left").select(
         "fetch_seq",
         F.col("document_url").alias("url"),
         F.col("status").cast("string").alias("error_code"),
         F.nullif("retry_after", F.lit("")).alias("retry_after"),
+        F.col("last").isNotNull().alias("is_final"),
     )
 
 

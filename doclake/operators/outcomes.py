@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from doclake.functions.requests import failure_code, failure_reason
-from doclake.functions.text import sanitize_identifier
+from doclake.functions.text import has_key
 from doclake.schema import REQUIRED_FIELDS
 
 UNCHANGED, FETCHED, FAILED = "unchanged", "fetched", "failed"
@@ -38,23 +40,19 @@ def with_validation(records: DataFrame) -> DataFrame:
 
     ValidationError: a required field is null. ValueError: nothing is left of an identifier.
     """
-    absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in _GIVEN]))
-    incomplete = F.size(absent) > 0
-    empty_key = _first_empty_key()
-    code = F.when(incomplete, "ValidationError").when(empty_key.isNotNull(), "ValueError")
-    why = F.when(incomplete, F.concat(F.lit("missing "), F.concat_ws(", ", absent))).when(
-        empty_key.isNotNull(),
-        F.concat(F.lit("identifier is empty after sanitization: '"), empty_key, F.lit("'")),
+    incomplete = reduce(Column.__or__, [F.col(c).isNull() for c in _GIVEN])
+    body, identifier = F.col("body"), F.col("identifier")
+    empty = ~has_key(body) | ~has_key(identifier)
+    absent = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in _GIVEN])
+    empty_key = F.when(~has_key(body), body).otherwise(identifier)
+    why = F.when(incomplete, F.concat(F.lit("missing "), absent)).when(
+        empty, F.concat(F.lit("identifier is empty after sanitization: '"), empty_key, F.lit("'"))
     )
     return records.withColumns(
-        {"error_code": code, "reason": F.concat(F.lit(LANDING_FAILED), why)}
-    )
-
-
-def _first_empty_key() -> Column:
-    body, identifier = F.col("body"), F.col("identifier")
-    return F.when(sanitize_identifier(body).isNull(), body).when(
-        sanitize_identifier(identifier).isNull(), identifier
+        {
+            "error_code": F.when(incomplete, "ValidationError").when(empty, "ValueError"),
+            "reason": F.concat(F.lit(LANDING_FAILED), why),
+        }
     )
 
 

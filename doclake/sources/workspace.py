@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
@@ -21,8 +21,8 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df, purpose: str):
-    """Write a slim result once and read it back, so that what follows does not redo the work.
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a result once and read it back, so that what follows does not redo the work.
 
     Unlike a cached block, the written table outlives the executors that made it.
     """

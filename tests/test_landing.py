@@ -231,4 +231,6 @@ def test_retries_and_rate_limits(spark):
     frame = spark.createDataFrame([(i, u, s, "30" if s == 429 else "") for i, (u, s) in enumerate(attempts)], "fetch_seq long, document_url string, status int, retry_after string")
     assert [(r.document_url, r.attempts) for r in retry_worklist(frame).collect()] == [("a", 2)]
     limited = rate_limited(frame).orderBy("fetch_seq").collect()
-    assert [(r.error_code, r.retry_after) for r in limited] == [("503", None), ("429", "30"), ("503", None)]
+    assert [(r.error_code, r.retry_after, r.is_final) for r in limited] == [
+        ("503", None, False), ("429", "30", True), ("503", None, False),
+    ]

@@ -156,6 +156,10 @@ def test_bodies(spark):
     assert {tuple(r) for r in bodies.collect()} == {("1", "Board"), ("15376", "High Tribunal")}
     assert [r.body for r in frontier.filter_bodies(bodies, " 15376 , 4").collect()] == ["High Tribunal"]
     assert frontier.filter_bodies(bodies).count() == 2
+    pages = spark.createDataFrame([("u1", LISTING.encode()), ("u2", b"<p>")], "url string, payload binary")
+    assert [r.url for r in frontier.no_bodies(pages).collect()] == ["u2"]
+    assert [r.url for r in frontier.no_bodies(pages, "15376").collect()] == ["u2"]
+    assert frontier.no_bodies(pages, "4, 5").count() == 2
 
 
 def test_cards(listings):

@@ -19,6 +19,8 @@ def oracle():
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_equals_its_sql(spark, oracle, name):
     result = entry.queries()[name](spark, entry.DATA)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     columns = sorted(result.columns)
     got = sorted((tuple(r[c] for c in columns) for r in result.collect()), key=repr)
     sql = entry.oracle_sql()[name]

@@ -56,7 +56,7 @@ def test_summary_from_log_lines(spark):
 
 def test_event_lines_round_trip_through_text(spark, tmp_path):
     rows = spark.createDataFrame([("u", "404", 'say "hi"\n', "B", "p", None)], "url string, error_code string, reason string, body string, partition string, identifier string")
-    lines = events.event_lines(rows, "record_failed", events.FAILED_FIELDS, F.lit("2024"), "landing", "ERROR")
+    lines = events.event_lines(rows, "record_failed", F.lit("2024"), "landing")
     logs.write_event_lines(lines, str(tmp_path / "log"))
     back = logs.parse_log_events(logs.read_log_lines(spark, str(tmp_path / "log"))).head()
     assert (back.event, back.level, back.fields["reason"]) == ("record_failed", "ERROR", 'say "hi"\n')

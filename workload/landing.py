@@ -9,6 +9,7 @@ from doclake.operators import identity, outcomes
 from doclake.plans.ingest import decide, landing_after, objects_to_write
 from doclake.sources import landing as scans
 from doclake.sources.store import METADATA
+from doclake.sources.workspace import materialize
 from workload.inputs import AS_OF, DECIDED, FETCHES, fetch_batches, fetches
 from workload.registry import query, table
 
@@ -174,9 +175,10 @@ FROM landing l JOIN seen s ON l.body = s.body AND l.identifier = s.identifier"""
 )
 def upsert_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch upserted onto the first."""
-    stored = first_landing(spark, sf_dir)
+    stored = materialize(first_landing(spark, sf_dir), "landing")
     _, second = fetch_batches(spark, sf_dir)
-    after = landing_after(stored, decide(second, stored), AS_OF)
+    decisions = materialize(decide(second, stored), "decisions")
+    after = landing_after(stored, decisions, AS_OF)
     return after.select(
         "body", "identifier", "description", "date", "partition_date", "file_path", "file_hash",
         "http_etag", "action", "object_partition",

@@ -24,7 +24,8 @@ def _search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('</label><input type="checkbox" id="x"><label for="x">None</label></form>'
               '<input type="checkbox" id="y" value="7"><label for="y">Elsewhere</label>'),
     )
-    return table(spark, sf_dir, "supplier").select(F.encode(html, "UTF-8").alias("payload"))
+    url = F.concat(F.lit("https://decisions.example.test/en/search/"), key)
+    return table(spark, sf_dir, "supplier").select(url.alias("url"), F.encode(html, "UTF-8").alias("payload"))
 
 
 _BODIES = "SELECT CAST(s_suppkey AS VARCHAR) AS body_id, s_name || ' & Co' AS body FROM supplier WHERE s_acctbal >= 0"
@@ -46,6 +47,16 @@ def filter_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.filter_bodies(frontier.discover_bodies(_search_pages(spark, sf_dir)), ids)
 
 
+@query(
+    "no_bodies",
+    """
+SELECT 'https://decisions.example.test/en/search/' || s_suppkey AS url, 'no_bodies' AS error_code,
+  'body discovery returned no bodies' AS reason FROM supplier WHERE s_acctbal < 0""",
+)
+def no_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frontier.no_bodies(_search_pages(spark, sf_dir)).select("url", "error_code", "reason")
+
+
 @query("bodies_list", f"SELECT DISTINCT body FROM ({_BODIES})")
 def bodies_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.bodies_list(frontier.discover_bodies(_search_pages(spark, sf_dir)))
@@ -85,6 +96,21 @@ def reject_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.rejected_cards(_cards(spark, sf_dir)).drop("identifier")
 
 
+@query(
+    "partition_started",
+    """
+WITH firsts AS (SELECT DISTINCT o_orderkey // 10 AS page_no FROM orders WHERE (o_orderkey // 10) % 5 = 0)
+SELECT '{"ts":"2024-06-01","level":"INFO","logger":"frontier","event":"partition_started","body":"Panel ' || ((page_no // 5) % 7) ||
+  '","partition":"2024-01-01/2024-02-01","total_results":' || CASE WHEN page_no % 2 = 0 THEN 1000 + page_no % 1000 ELSE page_no END || '}' AS value
+FROM firsts""",
+)
+def partition_started(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from doclake.operators.events import listing_log
+
+    listings = frontier.read_listings(listing_pages(spark, sf_dir))
+    return listing_log(listings, F.lit("2024-06-01"))
+
+
 _NEXT = """
 pages_seen AS (SELECT DISTINCT o_orderkey // 10 AS page_no FROM orders),
 following AS (
@@ -177,8 +203,9 @@ def suppress_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "rate_limited",
     f"""WITH {FETCHES}
-SELECT fetch_seq, document_url AS url, CAST(status AS VARCHAR) AS error_code, nullif(retry_after, '') AS retry_after
-FROM fetches WHERE status IN (429, 503)""",
+SELECT fetch_seq, document_url AS url, CAST(status AS VARCHAR) AS error_code, nullif(retry_after, '') AS retry_after,
+  fetch_seq = (SELECT max(g.fetch_seq) FROM fetches g WHERE g.document_url = f.document_url) AS is_final
+FROM fetches f WHERE status IN (429, 503)""",
 )
 def rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.rate_limited(fetches(spark, sf_dir))

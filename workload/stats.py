@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from doclake.functions.windows import scope_grid
 from doclake.operators import events, outcomes, stats
 from doclake.sources import logs
-from doclake.sources.workspace import workspace
+from doclake.sources.workspace import materialize, workspace
 from workload.inputs import DECIDED, FETCH_RANGE, FETCHES, fetches
 from workload.landing import all_decisions
 from workload.registry import query, table
@@ -160,14 +160,8 @@ failed_lines AS (
 
 def _failed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = all_decisions(spark, sf_dir).where("error_code is not null")
-    return events.event_lines(
-        rows.withColumn("url", F.col("document_url")),
-        "record_failed",
-        events.FAILED_FIELDS,
-        F.col("date"),
-        "landing",
-        "ERROR",
-    )
+    rows = rows.withColumn("url", F.col("document_url"))
+    return events.event_lines(rows, "record_failed", F.col("date"), "landing")
 
 
 @query("event_lines", f"WITH {FETCHES}, {_FAILED_LINES} SELECT value FROM failed_lines")
@@ -238,8 +232,51 @@ def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.lit("2024-06-01")
     scopes = stats.scope_stats(all_decisions(spark, sf_dir))
     throttled = rate_limited(fetches(spark, sf_dir))
-    return events.event_lines(
-        scopes, "partition_summary", events.SUMMARY_FIELDS, day, "landing"
-    ).unionByName(
-        events.event_lines(throttled, "rate_limited", events.RATE_LIMITED_FIELDS, day, "throttle", "WARNING")
+    return events.event_lines(scopes, "partition_summary", day, "landing").unionByName(
+        events.event_lines(throttled, "rate_limited", day, "throttle")
+    )
+
+
+def _sql_line(level: str, logger: str, event: str, fields: str) -> str:
+    head = f'{{"ts":"2024-06-01","level":"{level}","logger":"{logger}","event":"{event}"'
+    return f"'{head}' || {fields} || '}}'"
+
+
+def _text(name: str, column: str | None = None) -> str:
+    return f"""',"{name}":' || coalesce('"' || replace({column or name}, '"', '\"') || '"', 'null')"""
+
+
+def _plain(name: str) -> str:
+    return f"""',"{name}":' || {name}"""
+
+
+def _fields(*parts: str) -> str:
+    return " || ".join(parts)
+
+
+_SUMMARY_LINES = f"""
+UNION ALL SELECT {{scope}} FROM scopes
+UNION ALL SELECT {{run}} FROM (SELECT CAST(sum(records_found) AS BIGINT) AS records_found,
+  CAST(sum(records_scraped) AS BIGINT) AS records_scraped, CAST(sum(failed) AS BIGINT) AS failed FROM scopes)"""
+_NUMBERS = (_plain("records_found"), _plain("records_scraped"), _plain("failed"))
+
+
+def _summary_lines(logger: str) -> str:
+    return _SUMMARY_LINES.format(
+        scope=_sql_line("INFO", logger, "partition_summary", _fields(_text("body"), _text("partition"), *_NUMBERS)),
+        run=_sql_line("INFO", logger, "run_summary", _fields(*_NUMBERS)),
     )
+
+
+@query(
+    "ingest_log",
+    f"""WITH {DECIDED}, scopes AS (SELECT body, partition, {_COUNTS} FROM checked GROUP BY body, partition)
+SELECT {_sql_line("INFO", "landing", "record_stored", _fields(_text("body"), _text("identifier"), _text("partition"), _text("file_path"), _text("file_hash"), _text("document_type"), _plain("object_written"), _plain("inserted")))} AS value FROM decided
+UNION ALL SELECT {_sql_line("INFO", "landing", "document_unchanged", _fields(_text("url", "document_url"), _text("identifier"), _text("body"), _text("reason", "'http_validator'")))} FROM checked WHERE outcome = 'unchanged'
+UNION ALL SELECT {_sql_line("ERROR", "landing", "record_failed", _fields(_text("url", "document_url"), _text("error_code"), _text("reason"), _text("body"), _text("partition"), _text("identifier")))} FROM checked WHERE outcome = 'failed'
+{_summary_lines("landing")}""",
+)
+def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of an ingest run."""
+    decisions = materialize(all_decisions(spark, sf_dir), "decisions")
+    return events.ingest_log(decisions, F.lit("2024-06-01"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.functions.pages import clean_page
+from doclake.operators.events import transform_log as transform_lines
 from doclake.operators.stats import scope_stats
 from doclake.plans import audit
 from doclake.plans import transform as plans
@@ -15,9 +16,10 @@ from doclake.schema import LANDING_SCHEMA, TRANSFORMED_SCHEMA
 from doclake.sources import objects as object_table
 from doclake.sources.landing import scan_range
 from doclake.sources.store import Store
-from doclake.sources.workspace import workspace
+from doclake.sources.workspace import materialize, workspace
 from workload.inputs import AS_OF, CAPTURE_RANGE, CAPTURES, captures
 from workload.registry import query, table
+from workload.stats import _fields, _sql_line, _summary_lines, _text
 
 RANGE = ("2024-01-01", "2024-03-01")
 
@@ -155,6 +157,30 @@ def transform_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scope_stats(plans.transform_events(rows))
 
 
+@query(
+    "transform_log",
+    f"""WITH {_DONE},
+scopes AS (
+  SELECT body, partition_date AS partition, count(*) AS records_found, count(*) FILTER (WHERE error_code IS NULL) AS records_scraped,
+    count(*) FILTER (WHERE error_code IS NOT NULL) AS failed FROM done GROUP BY body, partition_date)
+SELECT {_sql_line("INFO", "transformation", "document_transformed", _fields(_text("identifier"), _text("body"), _text("partition", "partition_date"), _text("document_type"), _text("file_path", "key"), _text("file_hash", "CASE WHEN document_type = 'html' THEN '-' ELSE file_hash END"), _text("unchanged_content", "CAST(document_type <> 'html' AS VARCHAR)")))} AS value
+FROM done WHERE error_code IS NULL
+UNION ALL SELECT {_sql_line("ERROR", "transformation", "record_failed", _fields(_text("url", "document_url"), _text("error_code"), _text("reason", "'-'"), _text("body"), _text("partition", "partition_date"), _text("identifier")))} FROM done WHERE error_code IS NOT NULL
+{_summary_lines("transformation")}""",
+)
+def transform_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of a transform run; cleaned pages' hashes and reasons are masked for comparison."""
+    _, _, rows = _zones(spark, sf_dir)
+    masked = rows.drop("content").withColumns(
+        {
+            "file_hash": F.when(F.col("document_type") == "html", "-").otherwise(F.col("file_hash")),
+            "reason": F.when(F.col("reason").isNotNull(), "-"),
+            "unchanged_content": F.col("unchanged_content").cast("string"),
+        }
+    )
+    return transform_lines(materialize(masked, "outcomes"), F.lit("2024-06-01"))
+
+
 @query(
     "upsert_transformed",
     f"""WITH {_DONE}
@@ -363,7 +389,7 @@ out AS (
 
 def _damaged_out(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     landing, objects, rows = _zones(spark, sf_dir)
-    good = rows.where("error_code is null")
+    good = materialize(rows.where("error_code is null"), "transformed")
     order = F.struct("partition_date", "identifier", "body").alias(object_table.ORDER)
     versions = good.select("file_path", "content", order)
     kind = F.col("description")
