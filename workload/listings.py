@@ -14,10 +14,10 @@ from workload.registry import query, table
 def _search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search pages whose filter boxes are the suppliers, one page per supplier.
 
-    A supplier in debt shows no label, so it is not a body.
+    A supplier with a small balance shows no label, so it is not a body.
     """
     key, name = F.col("s_suppkey"), F.col("s_name")
-    label = F.when(F.col("s_acctbal") < 0, " ").otherwise(F.concat(F.lit(" "), name, F.lit(" &amp; Co ")))
+    label = F.when(F.col("s_acctbal") < 3000, " ").otherwise(F.concat(F.lit(" "), name, F.lit(" &amp; Co ")))
     html = F.concat(
         F.lit('<form id="CB2"><input type="checkbox" id="b'), key, F.lit('" value=" '), key,
         F.lit(' "><label for="b'), key, F.lit('">'), label,
@@ -28,7 +28,7 @@ def _search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(url.alias("url"), F.encode(html, "UTF-8").alias("payload"))
 
 
-_BODIES = "SELECT CAST(s_suppkey AS VARCHAR) AS body_id, s_name || ' & Co' AS body FROM supplier WHERE s_acctbal >= 0"
+_BODIES = "SELECT CAST(s_suppkey AS VARCHAR) AS body_id, s_name || ' & Co' AS body FROM supplier WHERE s_acctbal >= 3000"
 
 
 @query("discover_bodies", _BODIES)
@@ -51,7 +51,7 @@ def filter_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     "no_bodies",
     """
 SELECT 'https://decisions.example.test/en/search/' || s_suppkey AS url, 'no_bodies' AS error_code,
-  'body discovery returned no bodies' AS reason FROM supplier WHERE s_acctbal < 0""",
+  'body discovery returned no bodies' AS reason FROM supplier WHERE s_acctbal < 3000""",
 )
 def no_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.no_bodies(_search_pages(spark, sf_dir)).select("url", "error_code", "reason")
