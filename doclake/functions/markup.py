@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 from html import escape, unescape
 
 TEXT, RAW, COMMENT, OPEN, CLOSE = range(5)
@@ -233,12 +232,17 @@ def _quoted(value: str) -> str:
 
 
 Test = Callable[[Element], bool]
+_tests: dict[str | tuple[str, ...], Test] = {}
 
 
-@cache
 def matcher(selector: str) -> Test:
     """Test for one simple selector: a tag, "#id", ".class", "[name=value]" or tag plus one of them."""
-    tag, ident, css_class, name, value = _SELECTOR.fullmatch(selector).groups()
+    if selector not in _tests:
+        _tests[selector] = _matcher(*_SELECTOR.fullmatch(selector).groups())
+    return _tests[selector]
+
+
+def _matcher(tag: str, ident: str, css_class: str, name: str, value: str) -> Test:
     wanted = ident or css_class or value
     if not wanted:
         return lambda element: element.tag == tag
@@ -255,9 +259,12 @@ def matcher(selector: str) -> Test:
     return matches
 
 
-@cache
 def any_matcher(selectors: tuple[str, ...]) -> Test:
     """Test for any of several simple selectors."""
-    tags = frozenset(s for s in selectors if s.isalnum())
-    others = [matcher(s) for s in selectors if s not in tags]
-    return lambda e: e.tag in tags or (bool(e.source) and any(test(e) for test in others))
+    if selectors not in _tests:
+        tags = frozenset(s for s in selectors if s.isalnum())
+        others = [matcher(s) for s in selectors if s not in tags]
+        _tests[selectors] = lambda e: e.tag in tags or (
+            bool(e.source) and any(test(e) for test in others)
+        )
+    return _tests[selectors]

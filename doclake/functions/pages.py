@@ -11,14 +11,20 @@ from html import escape
 from urllib.parse import urljoin
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+import doclake
 from doclake.functions.markup import OPEN, Page, any_matcher, decode
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
 
+# The functions travel to the workers with their code: the package need not be installed there.
+cloudpickle.register_pickle_by_value(doclake)
+
+
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 

@@ -12,7 +12,7 @@ from doclake.schema import IDENTITY
 
 # Rows one window group may hold. Arrival numbers are unique, so a range of this many numbers
 # holds at most this many rows of one identity, however often it was fetched.
-LANE_ROWS = 1_000_000
+LANE_ROWS = 4_000_000
 
 
 def latest_per_identity(
@@ -33,7 +33,7 @@ def mark_changes(
     values: Sequence[str],
     order: str = "fetch_seq",
     keys: Sequence[str] = IDENTITY,
-    lane_rows: int = LANE_ROWS,
+    lane_rows: int | None = LANE_ROWS,
 ) -> DataFrame:
     """Add ``is_first`` (of its identity) and ``changed`` (first, or values unlike the row before).
 
@@ -43,6 +43,9 @@ def mark_changes(
     second pass over those edge rows alone (two per range) links the ranges up. Rows between the
     edges keep their range as group key in the second pass, so it stays as evenly spread, and
     carry only a flag of what the first pass found.
+
+    Without ``lane_rows`` there is one pass and one shuffle. That is for batches known to span
+    fewer arrival numbers than a lane, where no identity can have more rows than that.
     """
 
     def look_back(window: WindowSpec) -> tuple[Column, Column]:
@@ -50,6 +53,10 @@ def mark_changes(
         same = [F.col(v).eqNullSafe(F.lag(v).over(window)) for v in values]
         return there, reduce(Column.__and__, same)
 
+    if lane_rows is None:
+        there, same = look_back(Window.partitionBy(*keys).orderBy(order))
+        return rows.withColumns({"is_first": ~there, "changed": ~(there & same)})
+
     lane = F.col(order) - F.pmod(F.col(order), F.lit(lane_rows))
     inside = Window.partitionBy(*keys, "_lane").orderBy(order)
     across = Window.partitionBy(*keys, "_link").orderBy(order)
@@ -76,6 +83,12 @@ def mark_changes(
     )
 
 
+def lane_for(rows: DataFrame, order: str = "fetch_seq") -> int | None:
+    """None when a batch spans fewer arrival numbers than a lane holds, else the lane size."""
+    low, high = rows.agg(F.min(order), F.max(order)).head()
+    return None if low is None or high - low < LANE_ROWS else LANE_ROWS
+
+
 def join_existing(rows: DataFrame, stored: DataFrame, *fields: str) -> DataFrame:
     """Rows with the stored record of their identity as struct ``existing`` (null when new)."""
     known = stored.select(*IDENTITY, F.struct(*fields).alias("existing"))
@@ -86,7 +99,7 @@ def write_decisions(
     writes: DataFrame,
     stored: DataFrame,
     keys: Sequence[str] = IDENTITY,
-    lane_rows: int = LANE_ROWS,
+    lane_rows: int | None = LANE_ROWS,
 ) -> DataFrame:
     """Decide for every write, in arrival order, whether the object has to be written.
 

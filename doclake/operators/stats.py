@@ -43,12 +43,12 @@ def scope_stats_dense(
 
 
 def scope_rollup(events: DataFrame) -> DataFrame:
-    """Counts per scope, per body and in total; ``level`` is 0, 1 and 3."""
-    return (
-        events.where("body is not null and partition is not null")
-        .rollup(*SCOPE)
-        .agg(*_counts(), F.grouping_id().cast("bigint").alias("level"))
-    )
+    """Counts per scope, per body and in total; ``level`` is 0, 1 and 3.
+
+    The rollup is over the scopes' counts, so its threefold expansion never touches the events.
+    """
+    level = F.grouping_id().cast("bigint").alias("level")
+    return scope_stats(events).rollup(*SCOPE).agg(*_totals(), level)
 
 
 def run_summary(scopes: DataFrame) -> DataFrame:

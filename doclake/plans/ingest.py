@@ -13,10 +13,16 @@ from doclake.functions.content import (
 )
 from doclake.functions.text import landing_key
 from doclake.operators.events import event_union
-from doclake.operators.identity import latest_per_identity, merge, write_decisions
+from doclake.operators.identity import (
+    LANE_ROWS,
+    lane_for,
+    latest_per_identity,
+    merge,
+    write_decisions,
+)
 from doclake.operators.outcomes import FAILED, FETCHED, UNCHANGED, triage, with_validation
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
-from doclake.schema import LANDING_SCHEMA
+from doclake.schema import IDENTITY, LANDING_SCHEMA
 from doclake.sources.landing import find_many
 from doclake.sources.store import Store
 
@@ -38,7 +44,10 @@ def classify(captures: DataFrame, profile: SourceProfile = DEFAULT_PROFILE) -> D
 
 
 def decide(
-    captures: DataFrame, stored: DataFrame, profile: SourceProfile = DEFAULT_PROFILE
+    captures: DataFrame,
+    stored: DataFrame,
+    profile: SourceProfile = DEFAULT_PROFILE,
+    lane_rows: int | None = LANE_ROWS,
 ) -> DataFrame:
     """One slim row per capture: outcome, failure if any, and the write decision if stored.
 
@@ -48,7 +57,7 @@ def decide(
     seen = triage(captures)
     checked = with_validation(seen.where(F.col("outcome") == FETCHED))
     fetched = classify(checked.where("error_code is null"), profile)
-    decided = write_decisions(fetched.drop("payload", "outcome"), stored)
+    decided = write_decisions(fetched.drop("payload", "outcome"), stored, lane_rows=lane_rows)
     invalid = checked.where("error_code is not null")
     slim = ["payload", "outcome"]
     events = event_union(
@@ -116,12 +125,18 @@ def run_ingest(
 ) -> DataFrame:
     """Ingest a batch into the store and commit it; returns the decisions as a written table."""
     run = store.begin()
-    known = find_many(store.read("landing"), captures)
-    decisions = run.stage("decisions", decide(captures, known, profile))
+    known = run.held("landing", captures)
+    slim = [*IDENTITY, "file_path", "file_hash", "partition_date"]
+    known = run.stage("known", known.select(*slim))
+    decisions = decide(captures, known, profile, lane_for(captures))
+    decisions = run.stage("decisions", decisions)
     run.write_objects("landing", objects_to_write(captures, decisions, profile))
     records = decisions.where("outcome = 'stored'")
     run.merge(
-        "landing", records, lambda stored: landing_after(stored, decisions, as_of).drop("action")
+        "landing",
+        records,
+        find_many(known, records),
+        lambda stored: landing_after(stored, decisions, as_of).drop("action"),
     )
     run.commit(marks)
     return decisions

@@ -151,7 +151,10 @@ def run_transform(
     outcomes = run.write_objects("transformed", rows).drop("content")
     good = outcomes.where("error_code is null")
     run.merge(
-        "transformed", good, lambda stored: transformed_after(stored, outcomes).drop("action")
+        "transformed",
+        good,
+        run.held("transformed", good),
+        lambda stored: transformed_after(stored, outcomes).drop("action"),
     )
     run.commit()
     return outcomes

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +50,13 @@ def export_objects(objects: DataFrame, root: str) -> tuple[int, int]:
     an executor does no harm.
     """
 
+    # The same folder in the spelling of the file system library the tasks write with.
+    uri = re.sub(r"^s3a:", "s3:", re.sub(r"^(file:)?/+", "file:///", root))
+
     def put(batches):
         from pyarrow import RecordBatch, fs
 
-        store, base = fs.FileSystem.from_uri(root)
+        store, base = fs.FileSystem.from_uri(uri)
         folders = set()
         for batch in batches:
             size = 0

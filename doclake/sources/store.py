@@ -154,14 +154,21 @@ class Run:
         schema = T.StructType([f for f in OBJECTS[zone].fields if f.name != "run"])
         return rows.sparkSession.read.schema(schema).parquet(path)
 
+    def held(self, zone: str, records: DataFrame) -> DataFrame:
+        """The stored rows of the identities in ``records``, wherever they lie."""
+        return find_many(self.store._folders(zone, self.zones.get(zone, {})), records)
+
     def merge(
-        self, zone: str, records: DataFrame, combine: Callable[[DataFrame], DataFrame]
+        self,
+        zone: str,
+        records: DataFrame,
+        held: DataFrame,
+        combine: Callable[[DataFrame], DataFrame],
     ) -> None:
         """Rewrite the partitions that hold, or will hold, an identity of ``records``."""
         new = {r[0] for r in records.select("partition_date").distinct().collect()}
-        current = self.zones.get(zone, {})
-        held = find_many(self.store._folders(zone, current), records)
         old = {r[0] for r in held.select("partition_date").distinct().collect()}
+        current = self.zones.get(zone, {})
         touched = {d: current[d] for d in (old | new) if d in current}
         merged = combine(self.store._folders(zone, touched))
         path = f"{self.store.root}/{zone}/run={self.number}"

@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from doclake.operators.frontier import document_plan, rate_limited, retry_worklist, suppress_requests
-from doclake.operators.identity import latest_per_identity, mark_changes, merge, upsert, write_decisions
+from doclake.operators.identity import (
+    LANE_ROWS,
+    lane_for,
+    latest_per_identity,
+    mark_changes,
+    merge,
+    upsert,
+    write_decisions,
+)
 from doclake.operators.outcomes import triage, with_validation
 from doclake.operators.stats import ingest_counters, run_summary, scope_stats
 from doclake.plans.ingest import decide, landing_after, objects_to_write, run_ingest
@@ -133,10 +141,10 @@ def brute_force_decisions(rows, stored):
     return out
 
 
-@pytest.mark.parametrize("lane_rows", [1, 2, 3, 7, 64, 1_000_000])
+@pytest.mark.parametrize("lane_rows", [1, 2, 3, 7, 64, 1_000_000, None])
 def test_write_decisions_equal_sequential_writes_whatever_the_lanes(spark, lane_rows):
     """One identity holds most rows, so its history spans many lanes."""
-    rng = random.Random(lane_rows)
+    rng = random.Random(lane_rows or 0)
     rows, stored = [], {("B", "hot"): ("p", "a"), ("B", "k1"): ("p", None)}
     for seq in rng.sample(range(1000), 300):
         key = ("B", "hot" if rng.random() < 0.7 else f"k{rng.randrange(6)}")
@@ -157,6 +165,12 @@ def test_no_window_group_holds_a_whole_heavy_identity(spark):
     assert marked.where("changed").count() == 5000 and marked.where("is_first").count() == 1
 
 
+def test_one_pass_only_for_batches_shorter_than_a_lane(spark):
+    assert lane_for(spark.range(10).toDF("fetch_seq")) is None
+    assert lane_for(spark.range(0).toDF("fetch_seq")) is None
+    assert lane_for(spark.range(0, LANE_ROWS + 1, LANE_ROWS).toDF("fetch_seq")) == LANE_ROWS
+
+
 def test_latest_per_identity_combines_before_the_shuffle(spark):
     rows = spark.range(1000).selectExpr("'B' body", "'hot' identifier", "id fetch_seq", "id * 2 value")
     latest = latest_per_identity(rows)

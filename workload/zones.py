@@ -249,10 +249,8 @@ def read_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = workspace(spark, "export")
     key = F.concat("source", F.lit("/"), "doc_id", F.lit(".txt"))
     rows = table(spark, sf_dir, "documents")
-    object_table.export_objects(
-        rows.select(key.alias("file_path"), F.encode("text", "UTF-8").alias("content")),
-        root if "://" in root or root.startswith("file:") else f"file://{root}",
-    )
+    content = F.encode("text", "UTF-8").alias("content")
+    object_table.export_objects(rows.select(key.alias("file_path"), content), root)
     return object_table.read_exported(spark, root).select(
         "file_path", F.sha2("content", 256).alias("file_hash"), F.octet_length("content").cast("bigint").alias("bytes")
     )
