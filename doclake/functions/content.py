@@ -13,7 +13,7 @@ from doclake.schema import CONTENT_TYPES, HTML, SIGNATURES
 
 
 def detect_document_type(content_type: Column, payload: Column) -> Column:
-    """The file signature wins over the declared content type; html is the default."""
+    """Magic bytes decide; without them the declared type; html when that is none of ours."""
     header = F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))
     declared = lookup({mime: kind for kind, mime in CONTENT_TYPES.items()}, F.lower(strip(header)))
     sniffed = reduce(

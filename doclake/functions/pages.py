@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 import doclake
 from doclake.functions.markup import OPEN, Page, any_matcher, decode
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
+from doclake.schema import NO_CONTAINER
 
 # The functions travel to the workers with their code: the package need not be installed there.
 cloudpickle.register_pickle_by_value(doclake)
@@ -35,6 +36,19 @@ LISTING = _strings("head", "next_href", "next_url").add("cards", T.ArrayType(CAR
 BODIES = T.ArrayType(_strings("body_id", "body"))
 
 
+# Fixed value: the page a cleaned container is put into.
+_DOCUMENT = """<!DOCTYPE html>
+<html lang="en">
+<head><meta charset="utf-8"><title>{title}</title></head>
+<body>
+{body}
+</body>
+</html>
+"""
+# Fixed value: the title of a page that has none.
+_UNTITLED = "decision"
+
+
 def _clean(payload: bytes, profile: SourceProfile) -> dict:
     page = Page(decode(payload))
     for selector in profile.containers:
@@ -44,7 +58,7 @@ def _clean(payload: bytes, profile: SourceProfile) -> dict:
     else:
         return {
             "error_code": "ContentNotFound",
-            "reason": f"no container matched {profile.containers}",
+            "reason": f"{NO_CONTAINER}{profile.containers}",
         }
     is_interface = any_matcher(profile.ui)
     dropped, headings, index = set(), [], container.first + 1
@@ -59,10 +73,7 @@ def _clean(payload: bytes, profile: SourceProfile) -> dict:
         index += 1
     body = page.render(container, dropped, frozenset(profile.kept_attributes))
     title = _title(page, headings, dropped)
-    document = (
-        f'<!DOCTYPE html>\n<html lang="en">\n<head><meta charset="utf-8"><title>{escape(title)}'
-        f"</title></head>\n<body>\n{body}\n</body>\n</html>\n"
-    )
+    document = _DOCUMENT.format(title=escape(title), body=body)
     return {"clean": document.encode("utf-8", "replace"), "title": title, "container": selector}
 
 
@@ -72,7 +83,7 @@ def _title(page: Page, headings: list, dropped: set[int]) -> str:
         text = page.text(element, dropped)
         if text:
             return text
-    return "decision"
+    return _UNTITLED
 
 
 def _listing(payload: bytes, url: str, profile: SourceProfile) -> dict:

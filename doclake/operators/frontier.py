@@ -13,7 +13,13 @@ from doclake.functions.text import blank, clean_text, iso_date, total_results
 from doclake.functions.windows import scope_grid
 from doclake.operators.identity import join_existing
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
-from doclake.schema import RATE_LIMIT_STATUS, RETRY_TIMES, RETRYABLE_STATUS
+from doclake.schema import (
+    MISSING_METADATA,
+    NO_BODIES,
+    RATE_LIMIT_STATUS,
+    RETRY_TIMES,
+    RETRYABLE_STATUS,
+)
 
 
 def discover_bodies(pages: DataFrame, profile: SourceProfile = DEFAULT_PROFILE) -> DataFrame:
@@ -45,7 +51,7 @@ def no_bodies(
         .select(
             "url",
             F.lit("no_bodies").alias("error_code"),
-            F.lit("body discovery returned no bodies").alias("reason"),
+            F.lit(NO_BODIES).alias("reason"),
             *[none.alias(name) for name in ("body", "partition", "identifier")],
         )
     )
@@ -105,7 +111,7 @@ def split_cards(cards: DataFrame) -> DataFrame:
     return cards.withColumns(
         {
             "error_code": F.when(bad, F.lit("missing_metadata")),
-            "reason": F.when(bad, F.lit("listing card without identifier or link")),
+            "reason": F.when(bad, F.lit(MISSING_METADATA)),
         }
     )
 

@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from doclake.functions.requests import failure_code, failure_reason
 from doclake.functions.text import has_key
-from doclake.schema import REQUIRED_FIELDS
+from doclake.schema import EMPTY_IDENTIFIER, LANDING_FAILED, REQUIRED_FIELDS
 
 UNCHANGED, FETCHED, FAILED = "unchanged", "fetched", "failed"
-LANDING_FAILED = "landing write failed: "
 
 # Fields the caller has to bring; path and hash are computed on the way.
 _GIVEN = tuple(name for name in REQUIRED_FIELDS if name not in ("file_path", "file_hash"))
@@ -35,22 +34,40 @@ def triage(captures: DataFrame) -> DataFrame:
     )
 
 
+def request_failures(attempts: DataFrame, url: str = "document_url") -> DataFrame:
+    """Failure rows of requests that stand for no record, as those for search and listing pages.
+
+    Anything but 2xx failed. The rows have no scope, so no scope counts them.
+    """
+    status = F.col("status")
+    none = F.lit(None).cast("string")
+    return attempts.where(~F.coalesce(status.between(200, 299), F.lit(False))).select(
+        F.col(url).alias("url"),
+        failure_code(status, F.col("error_code")).alias("error_code"),
+        failure_reason(status, F.col("reason")).alias("reason"),
+        *[none.alias(name) for name in ("body", "partition", "identifier")],
+    )
+
+
 def with_validation(records: DataFrame) -> DataFrame:
     """Mark records that must not be written, before anything is written.
 
-    ValidationError: a required field is null. ValueError: nothing is left of an identifier.
+    ValidationError: a required field is null, or the partition date is no ISO date (it names a
+    folder). ValueError: nothing is left of an identifier.
     """
     incomplete = reduce(Column.__or__, [F.col(c).isNull() for c in _GIVEN])
+    undated = ~F.col("partition_date").rlike(r"^\d{4}-\d{2}-\d{2}\z")
     body, identifier = F.col("body"), F.col("identifier")
     empty = ~has_key(body) | ~has_key(identifier)
     absent = F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in _GIVEN])
     empty_key = F.when(~has_key(body), body).otherwise(identifier)
-    why = F.when(incomplete, F.concat(F.lit("missing "), absent)).when(
-        empty, F.concat(F.lit("identifier is empty after sanitization: '"), empty_key, F.lit("'"))
+    why = F.when(incomplete, F.concat(F.lit("missing "), absent))
+    why = why.when(undated, "partition_date is no ISO date").when(
+        empty, F.concat(F.lit(f"{EMPTY_IDENTIFIER}'"), empty_key, F.lit("'"))
     )
     return records.withColumns(
         {
-            "error_code": F.when(incomplete, "ValidationError").when(empty, "ValueError"),
+            "error_code": F.when(incomplete | undated, "ValidationError").when(empty, "ValueError"),
             "reason": F.concat(F.lit(LANDING_FAILED), why),
         }
     )

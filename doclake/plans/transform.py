@@ -13,7 +13,7 @@ from doclake.functions.text import blank, transformed_key
 from doclake.functions.windows import check_range
 from doclake.operators.identity import merge
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
-from doclake.schema import HTML, TRANSFORMED_SCHEMA
+from doclake.schema import EMPTY_IDENTIFIER, HTML, INCOMPLETE_RECORD, TRANSFORMED_SCHEMA
 from doclake.sources.landing import scan_range
 from doclake.sources.objects import ORDER, current_versions
 from doclake.sources.store import Store
@@ -27,7 +27,7 @@ def locate(landing: DataFrame, objects: DataFrame) -> DataFrame:
     return located.withColumns(
         {
             "error_code": F.when(incomplete, "ValueError").when(gone, "NoSuchKey"),
-            "reason": F.when(incomplete, "record is missing body, identifier or file_path").when(
+            "reason": F.when(incomplete, INCOMPLETE_RECORD).when(
                 gone, F.concat(F.lit("no object under "), F.col("file_path"))
             ),
         }
@@ -50,7 +50,7 @@ def convert(rows: DataFrame, as_of: str, profile: SourceProfile = DEFAULT_PROFIL
                 "page.reason",
                 F.when(
                     F.col("_key").isNull(),
-                    F.concat(F.lit("identifier is empty after sanitization: '"), "identifier", F.lit("'")),
+                    F.concat(F.lit(f"{EMPTY_IDENTIFIER}'"), "identifier", F.lit("'")),
                 ),
             ),
             "source_file_path": F.col("file_path"),

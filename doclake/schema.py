@@ -22,6 +22,14 @@ SIGNATURES = {
     "doc": b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1",
 }
 
+# Texts of failure rows.
+MISSING_METADATA = "listing card without identifier or link"
+NO_BODIES = "body discovery returned no bodies"
+INCOMPLETE_RECORD = "record is missing body, identifier or file_path"
+EMPTY_IDENTIFIER = "identifier is empty after sanitization: "
+LANDING_FAILED = "landing write failed: "
+NO_CONTAINER = "no container matched "
+
 RETRYABLE_STATUS = (500, 502, 503, 504, 522, 524, 408, 429)
 RATE_LIMIT_STATUS = (429, 503)
 RETRY_TIMES = 3

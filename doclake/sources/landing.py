@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _iso(value: date | str) -> str:
+def iso(value: date | str) -> str:
     return value if isinstance(value, str) else value.isoformat()
 
 
 def scan_range(landing: DataFrame, start: date | str, end: date | str) -> DataFrame:
     """Records with start <= partition_date < end; prunes when that is the partition column."""
     day = F.col("partition_date")
-    return landing.where((day >= _iso(start)) & (day < _iso(end)))
+    return landing.where((day >= iso(start)) & (day < iso(end)))
 
 
 def ordered(records: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from doclake.schema import LANDING_SCHEMA, TRANSFORMED_SCHEMA
-from doclake.sources.landing import _iso, find_many
+from doclake.sources.landing import iso, find_many
 from doclake.sources.objects import ORDER
 
 METADATA = {
@@ -94,7 +94,7 @@ class Store:
         inside = [
             d
             for d in partitions
-            if (start is None or d >= _iso(start)) and (end is None or d < _iso(end))
+            if (start is None or d >= iso(start)) and (end is None or d < iso(end))
         ]
         return self._folders(zone, {d: partitions[d] for d in inside})
 

@@ -220,6 +220,14 @@ def test_validation_accepts_empty_strings(capture):
     assert with_validation(capture({"title": "", "description": ""})).head().error_code is None
 
 
+@pytest.mark.parametrize("day", ["", "2024/01/01", "January", "2024-01-01 "])
+def test_a_partition_date_that_cannot_name_a_folder_is_a_failure(store, capture, day):
+    decisions = run_ingest(store, capture({"partition_date": day}, {"identifier": "T-2"}), AS_OF)
+    failed = decisions.where("outcome = 'failed'").head()
+    assert (failed.error_code, failed.reason) == ("ValidationError", "landing write failed: partition_date is no ISO date")
+    assert [r.identifier for r in store.read("landing").collect()] == ["T-2"]
+
+
 def test_document_plan_sends_stored_validators(spark, capture, empty):
     names = METADATA["landing"].names
     known = {**dict.fromkeys(names, "x"), "body": "Tribunal", "identifier": "T-1", "http_etag": 'W/"v1"', "http_last_modified": None}

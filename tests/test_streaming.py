@@ -34,6 +34,14 @@ def test_any_split_into_batches_ends_where_one_batch_ends(spark, capture, tmp_pa
     assert sorted(stream.read("landing").collect()) == sorted(batch.read("landing").collect())
 
 
+def test_captures_read_the_same_from_every_format(spark, capture, tmp_path):
+    rows = _history(capture)
+    for fmt in ("parquet", "json", "orc"):
+        path = str(tmp_path / fmt)
+        rows.write.format(fmt).save(path)
+        assert sorted(read_captures(spark, path, fmt).collect()) == sorted(rows.collect())
+
+
 def test_a_replayed_batch_is_skipped(spark, capture, tmp_path):
     store, source = Store(spark, str(tmp_path / "zones")), str(tmp_path / "captures")
     _history(capture).coalesce(1).write.parquet(source)

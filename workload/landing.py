@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from doclake.operators import identity, outcomes
 from doclake.plans.ingest import decide, landing_after, objects_to_write
+from doclake.schema import CAPTURE_SCHEMA
+from doclake.sources import captures as files
 from doclake.sources import landing as scans
+from doclake.sources.objects import export_objects
 from doclake.sources.store import METADATA
-from doclake.sources.workspace import materialize
-from workload.inputs import AS_OF, DECIDED, FETCHES, fetch_batches, fetches
+from doclake.sources.workspace import materialize, workspace
+from workload.inputs import AS_OF, DECIDED, FETCHES, fetch_batches, fetches, page_captures
 from workload.registry import query, table
 
 
@@ -45,19 +48,55 @@ FROM pages""",
 )
 def captures_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captures written as files and read back through the capture source."""
-    from doclake.schema import CAPTURE_SCHEMA
-    from doclake.sources.captures import read_captures
-    from doclake.sources.workspace import workspace
-    from workload.inputs import page_captures
-
     path = workspace(spark, "captures")
     page_captures(spark, sf_dir).select(*CAPTURE_SCHEMA.names).write.parquet(path)
-    return read_captures(spark, path).select(
+    return files.read_captures(spark, path).select(
         "fetch_seq", "body", "identifier", "document_url", "date", "partition_date", "status",
         F.sha2("payload", 256).alias("raw_hash"),
     )
 
 
+@query(
+    "captures_from_files",
+    """
+SELECT doc_id AS fetch_seq, source AS body, CAST(doc_id AS VARCHAR) AS identifier, CASE WHEN lang = 'fr' THEN 304 ELSE 200 END AS status,
+  CASE WHEN lang <> 'fr' THEN sha256(text) END AS raw_hash FROM documents""",
+)
+def captures_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads as single files, joined to their metadata; French documents were not modified."""
+    root = workspace(spark, "capture-files")
+    rows = table(spark, sf_dir, "documents").withColumn(
+        "file_path", F.concat("source", F.lit("/"), "doc_id")
+    )
+    fetched = rows.where("lang <> 'fr'")
+    export_objects(fetched.select("file_path", F.encode("text", "UTF-8").alias("content")), root)
+    given = {
+        "fetch_seq": F.col("doc_id"),
+        "body": F.col("source"),
+        "identifier": F.col("doc_id").cast("string"),
+        "status": F.when(F.col("lang") == "fr", 304).otherwise(200),
+    }
+    blank = F.lit(None).cast("string")
+    others = [c for c in CAPTURE_SCHEMA.names if c not in (*given, "payload")]
+    metadata = rows.select(
+        "file_path", *[c.alias(n) for n, c in given.items()], *[blank.alias(c) for c in others]
+    )
+    return files.captures_from_files(spark, metadata, root).select(
+        *given, F.sha2("payload", 256).alias("raw_hash")
+    )
+
+
+@query(
+    "request_failures",
+    f"""WITH {FETCHES}
+SELECT document_url AS url, coalesce(triage_code, CAST(status AS VARCHAR)) AS error_code,
+  coalesce(triage_reason, 'http error ' || status) AS reason FROM triaged WHERE status IS NULL OR status NOT BETWEEN 200 AND 299""",
+)
+def request_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The attempts taken as listing requests: a 304 is a failure there."""
+    return outcomes.request_failures(fetches(spark, sf_dir)).select("url", "error_code", "reason")
+
+
 @query(
     "triage",
     f"""WITH {FETCHES}

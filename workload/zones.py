@@ -25,8 +25,8 @@ RANGE = ("2024-01-01", "2024-03-01")
 
 
 def landed(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Landing metadata and object versions of captures that are all new."""
-    classified = classify(rows).withColumn("scraped_at", F.lit(AS_OF))
+    """Landing metadata and object versions of captures that are all new, as written tables."""
+    classified = materialize(classify(rows).withColumn("scraped_at", F.lit(AS_OF)), "landed")
     landing = classified.select(*LANDING_SCHEMA.names)
     objects = classified.select(
         "file_path",
