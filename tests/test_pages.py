@@ -91,6 +91,12 @@ def test_title_falls_back_to_a_kept_heading_then_to_a_word(clean):
     assert clean("<main>text</main>").title == "decision"
 
 
+def test_references_are_decoded_without_their_semicolon_too(clean):
+    result = clean("<title>a &amp b&am</title><main>x &amp<b>&lt y</b> &</main>")
+    assert result.title == "a & b&am"
+    assert b"<main>x &amp;<b>&lt; y</b> &amp;</main>" in bytes(result.clean)
+
+
 def test_title_is_escaped(clean):
     assert b"<title>a &lt;b&gt; &#x27;c&#x27;</title>" in bytes(clean("<title>a &lt;b&gt; 'c'</title><main>x</main>").clean)
 

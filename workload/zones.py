@@ -50,8 +50,16 @@ def _zones(spark: SparkSession, sf_dir: str, *dates: str) -> tuple[DataFrame, Da
 
 # --- pages ------------------------------------------------------------------------------------
 
-_ENTITIES = "replace(replace(replace(replace({}, '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+# HTML decodes these references in text with or without their semicolon; a cut-off title has some.
+_ENTITIES = (
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '&quot;?', '\"', 'g'), "
+    "'&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g')"
+)
 _TITLE = _ENTITIES.format("trim(regexp_extract(html, '<title>([^<]*)</title>', 1))")
+_BARE = _ENTITIES.format(
+    "regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]*>', '', 'g')"
+)
+_ESCAPED = f"replace(replace(replace({_BARE}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +81,7 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     "clean_pages",
     f"""
 SELECT page_id, 'article' AS container, {_TITLE} AS title,
-  sha256(replace(regexp_replace(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]*>', '', 'g'), '&quot;', '"')) AS text_hash
+  sha256({_ESCAPED}) AS text_hash
 FROM pages""",
 )
 def clean_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
