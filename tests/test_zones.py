@@ -6,7 +6,14 @@ from pyspark.sql import functions as F
 from doclake.operators.stats import run_summary, scope_stats
 from doclake.plans import audit
 from doclake.plans.ingest import run_ingest
-from doclake.plans.transform import key_collisions, run_transform, transform, transform_events
+from doclake.plans.transform import (
+    key_collisions,
+    locate,
+    run_transform,
+    transform,
+    transform_events,
+    transform_located,
+)
 from doclake.plans.window import run_window
 from doclake.sources import objects as object_table
 from doclake.sources.store import Store
@@ -181,3 +188,17 @@ def test_range_scan_lists_only_its_folders(store, capture):
     run_ingest(store, capture(*[{"identifier": d, "partition_date": d} for d in dates]), AS_OF)
     files = store.read("landing", "2024-03-01", "2024-05-01").inputFiles()
     assert files and all("2024-03-01" in f or "2024-04-01" in f for f in files)
+
+
+def test_transform_scans_content_once_in_its_partitions_and_does_not_shuffle_it(store, capture):
+    dates = ["2024-01-01", "2024-02-01", "2024-03-01"]
+    run_ingest(store, capture(*[{"identifier": d, "partition_date": d, "payload": HTML} for d in dates]), AS_OF)
+    landing = store.read("landing", "2024-02-01", "2024-03-01")
+    objects = store.objects("landing", landing)
+    located = store.begin().stage("located", locate(landing.drop("object_partition"), objects))
+    plan = transform_located(located, objects, AS_OF)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "content#" in line]
+    assert len(scans) == 1 and "(partition_date" in scans[0].split("PartitionFilters")[1]
+    assert "Exchange hashpartitioning" not in plan and plan.count("ArrowEvalPython") == 1
+    slim = locate(landing, objects)._jdf.queryExecution().executedPlan().toString()
+    assert "content#" not in slim

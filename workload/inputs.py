@@ -291,6 +291,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cards = order_cards(spark, sf_dir)
     pages = cards.groupBy("page_no").agg(
+        # At most ten cards a page: order keys are unique.
         F.array_sort(F.collect_list(F.struct("o_orderkey", card.alias("card")))).alias("cards"),
         F.count("*").alias("n"),
     )
