@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from workload import registry
 
 duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -16,7 +17,7 @@ def oracle():
     return con
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query_equals_its_sql(spark, oracle, name):
     result = entry.queries()[name](spark, entry.DATA)
     plan = result._jdf.queryExecution().executedPlan().toString()
