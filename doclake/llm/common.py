@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ cloudpickle.register_pickle_by_value(doclake)
 # A word is a run of anything but space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Bytes of text that a Python step gets at a time, whatever the size of Arrow's batches.
+SLICE_BYTES = 8 << 20
+
 Step = Callable[..., list[pa.Array]]
 
 
@@ -55,13 +60,28 @@ def add_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             made = step(*[batch.column(read.index(c)) for c in inputs])
             yield pa.RecordBatch.from_arrays([*[batch.column(read.index(c)) for c in kept], *made], names=schema.names)
 
     return df.select(*[F.col(_quoted(c)) for c in read]).mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``most`` bytes; a longer row is a run of its own."""
+    if batch.nbytes <= most:
+        yield batch
+        return
+    size = np.full(batch.num_rows, batch.nbytes // max(1, batch.num_rows))
+    for each in batch.columns:
+        if pa.types.is_string(each.type) or pa.types.is_binary(each.type):
+            size = np.maximum(size, pc.binary_length(each).fill_null(0).to_numpy(zero_copy_only=False))
+    run = (np.cumsum(size) - size) // most
+    starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(starts, starts[1:], strict=False):
+        yield batch.slice(start, end - start)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -12,24 +12,29 @@ hosts as (
          array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain,
          array_to_string(list_slice(string_split(host, '.'), -1, -1), '.') as suffix
   from parts left join labels on doc_id = page_id group by host),
-top as (select (sum(good) + 1) / (sum(n) + 2) as m from hosts),
-suffix_n as (select suffix, sum(n) as n, sum(good) as good, m from hosts, top group by suffix, m),
+top as (select (sum(good) + 1) / (sum(n) + 2) as m, (sum(n) + 2)::double as p from hosts),
+suffix_n as (select suffix, sum(n) as n, sum(good) as good, m, p from hosts, top group by suffix, m, p),
 suffix_w as (
-  select 1 / least(greatest(coalesce(sum((good - n * m) ** 2 / n - m * (1 - m))
-    / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.001), 0.001), 0.5) - 1 as w from suffix_n where n > 0),
-suffix_m as (select suffix, (good + w * m) / (n + w) as m from suffix_n, suffix_w),
+  select 1 / (least(greatest(coalesce(sum((good - n * m) ** 2 / n - m * (1 - m))
+    / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.02), 0.02), 0.5)) - 1 as k from suffix_n where n > 0),
+suffix_m as (
+  select suffix, (good + 1 / (1 / k + 1 / p) * m) / (n + 1 / (1 / k + 1 / p)) as m, n + 1 / (1 / k + 1 / p) as p
+  from suffix_n, suffix_w),
 domain_n as (
-  select domain, suffix, m, sum(n) as n, sum(good) as good
+  select domain, suffix, m, p, sum(n) as n, sum(good) as good
   from hosts join suffix_m using (suffix) group by all),
 domain_w as (
-  select 1 / least(greatest(coalesce(sum((good - n * m) ** 2 / n - m * (1 - m))
-    / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.001), 0.001), 0.5) - 1 as w from domain_n where n > 0),
-domain_m as (select domain, (good + w * m) / (n + w) as m from domain_n, domain_w),
-host_n as (select hosts.*, m from hosts join domain_m using (domain)),
+  select 1 / (least(greatest(coalesce(sum((good - n * m) ** 2 / n - m * (1 - m))
+    / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.02), 0.02), 0.5)) - 1 as k from domain_n where n > 0),
+domain_m as (
+  select domain, (good + 1 / (1 / k + 1 / p) * m) / (n + 1 / (1 / k + 1 / p)) as m, n + 1 / (1 / k + 1 / p) as p
+  from domain_n, domain_w),
+host_n as (select hosts.*, m, p from hosts join domain_m using (domain)),
 host_w as (
-  select 1 / least(greatest(coalesce(sum((good - n * m) ** 2 / n - m * (1 - m))
-    / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.001), 0.001), 0.5) - 1 as w from host_n where n > 0),
-ab as (select host, good + w * m as a, n - good + w * (1 - m) as b from host_n, host_w),
+  select 1 / (least(greatest(coalesce(sum((good - n * m) ** 2 / n - m * (1 - m))
+    / nullif(sum(m * (1 - m) * (n - 1)), 0), 0.02), 0.02), 0.5)) - 1 as k from host_n where n > 0),
+ab as (
+  select host, good + 1 / (1 / k + 1 / p) * m as a, n - good + 1 / (1 / k + 1 / p) * (1 - m) as b from host_n, host_w),
 bounds as (
   select host, a / (a + b) as share, 1 / (1 + exp(-(ln(a / b) + 1.64 * sqrt(1 / a + 1 / b)))) as bound from ab),
 ruled as (

@@ -85,6 +85,10 @@ def _block(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     owner = np.repeat(np.arange(len(ids)), lengths)
     order = np.argsort(terms, kind="stable")
     terms, weights, owner = terms[order], weights[order], owner[order]
+    # A term that a row repeats adds up.
+    first = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (owner[1:] != owner[:-1])][: len(terms)])
+    if len(first) < len(terms):
+        terms, weights, owner = terms[first], np.add.reduceat(weights, first), owner[first]
     starts = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]]) if len(terms) else np.zeros(0, np.int64)
     ends = np.r_[starts[1:], len(terms)]
     posting = {int(terms[a]): (owner[a:b], weights[a:b]) for a, b in zip(starts, ends, strict=True)}
@@ -136,7 +140,7 @@ def top_k(
     (an empty vector) scores 0 everywhere. Terms beyond a shorter vector count as 0. A repeated id
     is judged row by row, and a query id that repeats has one list for all its rows. Scores beyond
     a long are cut to its range. Empty tables give no rows. Columns besides id, terms and weights
-    are not read.
+    are not read. A term that a row repeats adds up.
     """
     sides = [side.select("id", "terms", "weights") for side in (queries, rows)]
 

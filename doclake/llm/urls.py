@@ -2,7 +2,8 @@
 
 Outcomes of labelled pages are counted per host, and added up per registered domain and suffix.
 Each level is shrunk to the one above it with a beta-binomial prior: the prior's mean is the
-parent's posterior mean, its weight comes from how much siblings differ (method of moments). A host
+parent's posterior mean; its weight comes from how much siblings differ (method of moments) and from
+how much is known of the parent. A host
 is blocked if even the optimistic bound of its posterior share of good pages is too low, so a host
 that nobody has labelled lives on the reputation of its domain.
 
@@ -26,7 +27,7 @@ Rule = tuple[str, str, str]
 LEAST_GOOD = 0.5
 BOUND_Z = 1.64
 # Range of the correlation of outcomes within a node: the prior weighs 1 / correlation - 1 pages.
-CORRELATION = (0.001, 0.5)
+CORRELATION = (0.02, 0.5)
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -75,9 +76,15 @@ def _prior_weight(nodes: DataFrame) -> float:
     return 1 / min(max(sums[0] / sums[1] if sums[1] else low, low), high) - 1
 
 
-def _posterior(nodes: DataFrame) -> Column:
-    weight = F.lit(_prior_weight(nodes))
-    return ((F.col("good") + weight * F.col("m")) / (F.col("n") + weight)).alias("m")
+def _weighed(nodes: DataFrame) -> DataFrame:
+    """Adds ``w``, the weight of a node's prior: it is no surer than what is known of the parent."""
+    return nodes.withColumn("w", 1 / (F.lit(1 / _prior_weight(nodes)) + 1 / F.col("p")))
+
+
+def _posterior() -> list[Column]:
+    """Mean ``m`` and weight ``p`` of the nodes, for the level below."""
+    p = F.col("n") + F.col("w")
+    return [((F.col("good") + F.col("w") * F.col("m")) / p).alias("m"), p.alias("p")]
 
 
 def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -95,14 +102,13 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     every = hosts.agg(*totals).head()
     # One pseudo outcome each way keeps the top level inside (0, 1).
     top = ((every["good"] or 0) + 1) / ((every["n"] or 0) + 2)
-    suffixes = hosts.groupBy("suffix").agg(*totals).withColumn("m", F.lit(top))
-    suffixes = suffixes.select("suffix", _posterior(suffixes))
+    suffixes = hosts.groupBy("suffix").agg(*totals).withColumns({"m": F.lit(top), "p": F.lit(float((every["n"] or 0) + 2))})
+    suffixes = suffixes.transform(_weighed).select("suffix", *_posterior())
     domains = hosts.groupBy("suffix", "domain").agg(*totals).join(suffixes, "suffix")
-    domains = domains.select("domain", _posterior(domains))
-    nodes = hosts.join(domains, "domain")
-    weight = F.lit(_prior_weight(nodes))
-    a = F.col("good") + weight * F.col("m")
-    b = F.col("n") - F.col("good") + weight * (1 - F.col("m"))
+    domains = domains.transform(_weighed).select("domain", *_posterior())
+    nodes = hosts.join(domains, "domain").transform(_weighed)
+    a = F.col("good") + F.col("w") * F.col("m")
+    b = F.col("n") - F.col("good") + F.col("w") * (1 - F.col("m"))
     odds = F.log(a / b) + F.lit(BOUND_Z) * F.sqrt(1 / a + 1 / b)
     return nodes.select("host", "n", "good", (a / (a + b)).alias("share"), (1 / (1 + F.exp(-odds))).alias("bound"))
 
