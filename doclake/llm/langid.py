@@ -27,8 +27,8 @@ BLOCK = 1 << 10
 SHORT = 1 << 8
 PARTS = 8
 LEVEL = 9
-# Scores below this are rejected: three or more languages compress the text alike.
-LEAST_SCORE = 0.4
+# Bytes by which the runner-up has to be larger; otherwise the text is rejected.
+LEAST_MARGIN = 0.1
 UNKNOWN = "und"
 # Between the pieces of a dictionary.
 SEPARATOR = b"\n\n"
@@ -79,18 +79,21 @@ class Sizer:
             sizes = [(size + mean) / 2 for size, mean in zip(sizes, means, strict=True)]
         return sizes
 
-    def predict(self, text: str) -> tuple[str, float]:
+    def predict(self, text: str) -> tuple[str, float, bool]:
+        """Language, score, and whether the margin is too narrow."""
         if not self.names or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, True
         sizes = self.sizes(text.lower().encode())
         least = min(sizes)
         # Each byte more halves a language's weight.
-        weight = sum(2.0 ** (least - size) for size in sizes)
-        return self.names[sizes.index(least)], 1.0 / weight
+        score = 1.0 / sum(2.0 ** (least - size) for size in sizes)
+        margin = min([size - least for at, size in enumerate(sizes) if at != sizes.index(least)], default=LEAST_MARGIN)
+        return self.names[sizes.index(least)], score, margin < LEAST_MARGIN
 
     def step(self, column: pa.Array) -> list[pa.Array]:
         found = [self.predict(value.as_py() or "") for value in column]
-        return [pa.array([name for name, _ in found], pa.string()), pa.array([score for _, score in found], pa.float64())]
+        kinds = (pa.string(), pa.float64(), pa.bool_())
+        return [pa.array([row[at] for row in found], kind) for at, kind in enumerate(kinds)]
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -106,6 +109,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     def start() -> Step:
         return Sizer(shared.value).step
 
-    names = [c for c in (docs.columns if keep is None else keep) if c.lower() != "lang_narrow"]
-    judged = add_columns(docs, start, "lang_pred string, lang_score double", [text], names)
-    return judged.withColumn("lang_narrow", F.col("lang_score") < LEAST_SCORE)
+    return add_columns(docs, start, "lang_pred string, lang_score double, lang_narrow boolean", [text], keep)
