@@ -36,6 +36,8 @@ FREQUENT = 1 << 18
 WORDS = 125
 SUFFIXES = 128
 SUFFIX_BYTES = 3
+# Steps of the logarithm of a count in which the least count of the frequent words is found.
+STEPS = 64
 BEGIN, END, FIRST = 0, 1, 2
 
 WIDTH = 16
@@ -116,10 +118,28 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame) -> tuple[list[bytes], np.ndarray]:
+    """At most FREQUENT words with their counts, highest first.
+
+    The least count is settled first, from the number of words in each step of a logarithmic scale,
+    so no task sorts or gathers more than the words that are kept.
+    """
+    step = F.floor(F.log(F.col("n")) * STEPS)
+    sizes = {r.step: r["count"] for r in counts.groupBy(step.alias("step")).count().collect()}
+    kept, total = [], 0
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > FREQUENT:
+            break
+        kept.append(at)
+    rows = counts.where(step >= (min(kept) if kept else 1 << 30)).toArrow()
+    pairs = sorted(zip(rows["n"].to_pylist(), rows["word"].to_pylist(), strict=True), key=lambda p: (-p[0], p[1]))
+    return [word.encode() for _, word in pairs], np.array([n for n, _ in pairs], np.int64)
+
+
 def read_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
     sums = counts.agg(F.sum("n"), F.count("*")).head()
-    first = counts.orderBy(F.col("n").desc(), "word").limit(FREQUENT).toArrow()
-    words = [w.encode() for w in first["word"].to_pylist()]
+    words, frequent = frequent_words(counts)
     suffix = F.substring(F.col("word").cast("binary"), -SUFFIX_BYTES, SUFFIX_BYTES)
     # Shorter words are their own suffix.
     suffix = F.when(F.octet_length("word") < SUFFIX_BYTES, F.col("word").cast("binary")).otherwise(suffix)
@@ -135,7 +155,7 @@ def read_vocabulary(counts: DataFrame, documents: int) -> Vocabulary:
         types=sums[1] + (documents > 0),
         ends=documents,
         words=words,
-        counts=first["n"].to_numpy().astype(np.int64),
+        counts=frequent,
         suffixes=[bytes(r.suffix) for r in largest],
         class_tokens=np.r_[class_tokens, (every[0] or 0) - class_tokens.sum()],
         class_types=np.r_[class_types, (every[1] or 0) - class_types.sum()],
