@@ -18,15 +18,15 @@ from doclake.llm.common import Step, add_columns, column
 
 # Bounds of the sample the dictionaries are made of: rows per language, characters of each row, and
 # bytes of all dictionaries together.
-ROWS = 400
+ROWS = 800
 CHARS = 300
 DICTIONARY_BYTES = 16 << 20
-BLOCK = 1 << 10
+BLOCK = 1 << 11
 # Texts of fewer bytes are also compressed with each of the parts of a dictionary: whole bytes alone
 # seldom tell languages apart in so little text, their mean over the parts does.
 SHORT = 1 << 8
 PARTS = 8
-LEVEL = 9
+LEVEL = 5
 # Bytes by which the runner-up has to be larger; otherwise the text is rejected.
 LEAST_MARGIN = 0.1
 UNKNOWN = "und"

@@ -95,6 +95,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _back(slope: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Slopes of the rows' scores to slopes of the weights; the rows stay in single precision."""
+    return (slope.astype(np.float32) @ rows).astype(np.float64)
+
+
 def _descend(gradient, size: int, start: float, rounds: int) -> tuple[np.ndarray, float]:
     """Adam over a weight vector and a bias."""
     values, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
@@ -130,8 +135,9 @@ def separation(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray
 
         def slope(values: np.ndarray, p: np.ndarray = p, u: np.ndarray = u) -> np.ndarray:
             w, b = values[:-1], values[-1]
-            gp, gu = -_sigmoid(-(p @ w + b)) / max(1, len(p)), _sigmoid(u @ w + b) / max(1, len(u))
-            return np.r_[gp @ p + gu @ u + SPLIT_PENALTY * w, gp.sum() + gu.sum()]
+            short = w.astype(np.float32)
+            gp, gu = -_sigmoid(-(p @ short + b)) / max(1, len(p)), _sigmoid(u @ short + b) / max(1, len(u))
+            return np.r_[_back(gp, p) + _back(gu, u) + SPLIT_PENALTY * w, gp.sum() + gu.sum()]
 
         w, b = _descend(slope, FEATURES, 0.0, SPLIT_ROUNDS)
         for values, sample in zip(scores, (positive, unlabelled), strict=True):
@@ -143,24 +149,26 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     """Fits the model to the features of both samples; without positives every score is 0.5."""
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 0.5)
-    both = np.concatenate([positive, unlabelled]).astype(np.float64)
-    mean, scale = both.mean(axis=0), both.std(axis=0)
+    n = len(positive) + len(unlabelled)
+    mean = (positive.sum(axis=0, dtype=np.float64) + unlabelled.sum(axis=0, dtype=np.float64)) / n
+    square = sum(np.square(each - mean.astype(np.float32)).sum(axis=0, dtype=np.float64) for each in (positive, unlabelled))
+    scale = np.sqrt(square / n)
     scale = np.where(scale > 1e-6, scale, 1.0)
-    p, u = (np.clip((each - mean) / scale, -10, 10) for each in (positive, unlabelled))
-
+    small = mean.astype(np.float32), scale.astype(np.float32)
+    p, u = (np.clip((each - small[0]) / small[1], -10, 10) for each in (positive, unlabelled))
     prior = estimate_prior(*separation(p, u))
 
     def risk(values: np.ndarray) -> np.ndarray:
         """Gradient of the non-negative risk under the logistic loss."""
         w, b = values[:-1], values[-1]
-        sp, su = p @ w + b, u @ w + b
+        sp, su = (each @ w.astype(np.float32) + b for each in (p, u))
         unexplained = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
         gp = -prior * _sigmoid(-sp) / len(p)
         negative_p, negative_u = -prior * _sigmoid(sp) / len(p), _sigmoid(su) / len(u)
         if unexplained < 0:  # overfitted: climb back instead
             negative_p, negative_u, gp = -negative_p, -negative_u, np.zeros_like(gp)
         gp = gp + negative_p
-        return np.r_[gp @ p + negative_u @ u + PENALTY * w, gp.sum() + negative_u.sum()]
+        return np.r_[_back(gp, p) + _back(negative_u, u) + PENALTY * w, gp.sum() + negative_u.sum()]
 
     weights, bias = _descend(risk, FEATURES, float(np.log(prior / (1 - prior))), ROUNDS)
     return Model(mean, scale, weights, bias, prior)
