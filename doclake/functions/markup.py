@@ -59,7 +59,7 @@ def decode(payload: bytes) -> str:
     for encoding in ([declared[1].decode("ascii")] if declared else []) + ["utf-8"]:
         try:
             return payload.decode(encoding)
-        except (LookupError, UnicodeDecodeError):
+        except (LookupError, ValueError):  # also a codec that cannot decode at all
             continue
     return payload.decode("windows-1252", "replace")
 

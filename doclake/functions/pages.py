@@ -32,7 +32,7 @@ def _strings(*names: str) -> T.StructType:
 
 CARD = _strings("identifier", "link_text", "description", "date", "url", "document_url")
 CLEANED = _strings("title", "container", "error_code", "reason").add("clean", T.BinaryType())
-LISTING = _strings("head", "next_href", "next_url").add("cards", T.ArrayType(CARD))
+LISTING = _strings("head", "next_href", "next_url", "error_code", "reason").add("cards", T.ArrayType(CARD))
 BODIES = T.ArrayType(_strings("body_id", "body"))
 
 
@@ -89,7 +89,7 @@ def _title(page: Page, headings: list, dropped: set[int]) -> str:
 def _listing(payload: bytes, url: str, profile: SourceProfile) -> dict:
     page = Page(decode(payload))
     base = next((e.attrs["href"] for e in page.select("base") if e.attrs.get("href")), None)
-    base_url = urljoin(url or "", base.strip()) if base else url or ""
+    base_url = _join(url or "", base.strip(), url or "") if base else url or ""
 
     def texts(selector, scope=None):
         return [t for e in page.select(selector, scope) for t in page.own_texts(e)]
@@ -122,11 +122,11 @@ def _listing(payload: bytes, url: str, profile: SourceProfile) -> dict:
     }
 
 
-def _join(base: str, href: str) -> str:
+def _join(base: str, href: str, otherwise: str | None = None) -> str:
     try:
         return urljoin(base, href)
     except ValueError:  # e.g. a malformed IPv6 host
-        return href
+        return href if otherwise is None else otherwise
 
 
 def _bodies(payload: bytes, profile: SourceProfile) -> list[dict]:
@@ -166,21 +166,31 @@ def _cleaner(profile: SourceProfile):
 
 @cache
 def _listing_reader(profile: SourceProfile):
+    def one(payload, url):
+        try:
+            return _listing(payload or b"", url, profile)
+        except Exception as error:  # a bad page is a failed row, not a failed job
+            return {"error_code": type(error).__name__, "reason": str(error), "cards": []}
+
     @F.arrow_udf(LISTING)
     def read(payloads: pa.Array, urls: pa.Array) -> pa.Array:
         rows = zip(payloads, urls, strict=True)
-        return pa.array(
-            [_listing(p.as_py() or b"", u.as_py(), profile) for p, u in rows], type=to_arrow_type(LISTING)
-        )
+        return pa.array([one(p.as_py(), u.as_py()) for p, u in rows], type=to_arrow_type(LISTING))
 
     return read.asNondeterministic()
 
 
 @cache
 def _body_reader(profile: SourceProfile):
+    def one(payload):
+        try:
+            return _bodies(payload or b"", profile)
+        except Exception:  # a page without bodies is reported as such
+            return []
+
     @F.arrow_udf(BODIES)
     def read(payloads: pa.Array) -> pa.Array:
-        return pa.array([_bodies(p.as_py() or b"", profile) for p in payloads], type=to_arrow_type(BODIES))
+        return pa.array([one(p.as_py()) for p in payloads], type=to_arrow_type(BODIES))
 
     return read.asNondeterministic()
 
@@ -201,7 +211,7 @@ def clean_page(payload: Column, profile: SourceProfile = DEFAULT_PROFILE) -> Col
 
 
 def read_listing(payload: Column, url: Column, profile: SourceProfile = DEFAULT_PROFILE) -> Column:
-    """struct<head, next_href, next_url, cards> of one listing page."""
+    """struct<head, next_href, next_url, error_code, reason, cards> of one listing page."""
     return _listing_reader(profile)(payload, url)
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from doclake.functions.text import blank
+from doclake.schema import NO_ANSWER
 
 
 def site_date(day: Column) -> Column:
@@ -50,13 +51,13 @@ def failure_code(status: Column, error_class: Column) -> Column:
         F.when(status.isNotNull(), status.cast("string"))
         .when(error_class == "DNSLookupError", "dns_lookup_error")
         .when(error_class.isin("TimeoutError", "TCPTimedOutError"), "timeout")
-        .otherwise(error_class)
+        .otherwise(F.coalesce(error_class, F.lit(NO_ANSWER[0])))
     )
 
 
 def failure_reason(status: Column, message: Column) -> Column:
     http = F.concat(F.lit("http error "), status.cast("string"))
-    return F.when(status.isNotNull(), http).otherwise(message)
+    return F.when(status.isNotNull(), http).otherwise(F.coalesce(message, F.lit(NO_ANSWER[1])))
 
 
 def on_domain(url: Column, domain: str) -> Column:

@@ -126,6 +126,13 @@ def rejected_cards(cards: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_listings(listings: DataFrame) -> DataFrame:
+    """Failure rows of the listing pages that could not be read."""
+    return listings.where("listing.error_code is not null").select(
+        "url", "listing.error_code", "listing.reason", "body", "partition", F.lit(None).cast("string").alias("identifier")
+    )
+
+
 def document_plan(cards: DataFrame, stored: DataFrame) -> DataFrame:
     """Record, URL and conditional headers of every fetchable card."""
     good = split_cards(cards).where("error_code is null").drop("error_code", "reason", "url")
@@ -194,10 +201,14 @@ def rate_limited(attempts: DataFrame) -> DataFrame:
 
 
 def retry_worklist(attempts: DataFrame, retries: int = RETRY_TIMES) -> DataFrame:
-    """URLs whose last attempt may be retried and that have attempts left."""
+    """URLs whose last attempt may be retried and that have attempts left.
+
+    An attempt without status had no answer: a timeout, a refused connection, a name not found.
+    """
     last = F.max_by("status", "fetch_seq")
     per_url = attempts.groupBy("document_url").agg(
         F.count("*").alias("attempts"), last.alias("last_status")
     )
-    due = F.col("last_status").isin(*RETRYABLE_STATUS) & (F.col("attempts") <= retries)
+    lost = F.col("last_status").isNull()
+    due = (lost | F.col("last_status").isin(*RETRYABLE_STATUS)) & (F.col("attempts") <= retries)
     return per_url.where(due)

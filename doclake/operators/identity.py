@@ -5,14 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doclake.schema import IDENTITY
-
-# Rows one window group may hold. Arrival numbers are unique, so a range of this many numbers
-# holds at most this many rows of one identity, however often it was fetched.
-LANE_ROWS = 4_000_000
+from doclake.sources.workspace import materialize
 
 
 def latest_per_identity(
@@ -28,65 +25,64 @@ def latest_per_identity(
     return rows.groupBy(*keys).agg(latest, *more).select(*keys, "latest.*", *extra)
 
 
+def lanes(rows: DataFrame, order: str = "fetch_seq", keys: Sequence[str] = IDENTITY) -> DataFrame:
+    """Rows with ``_lane``: ranges of (identity, order) of about equal size, written once.
+
+    The ranges are of positions, not of numbers, so the numbers may be as sparse as they like, and
+    an identity with a third of all rows lies in a third of the lanes. The table is written because
+    two readers have to see the same ranges.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, *keys, order).withColumn("_lane", F.spark_partition_id())
+    return materialize(dealt, "lanes")
+
+
 def mark_changes(
     rows: DataFrame,
     values: Sequence[str],
     order: str = "fetch_seq",
     keys: Sequence[str] = IDENTITY,
-    lane_rows: int | None = LANE_ROWS,
 ) -> DataFrame:
     """Add ``is_first`` (of its identity) and ``changed`` (first, or values unlike the row before).
 
-    One identity may own a third of the table, so its history is not put into one window group.
-    The first pass looks back inside ranges of the arrival number. Only the first row of a range
-    can lack its predecessor there, and that predecessor is the last row of an earlier range: a
-    second pass over those edge rows alone (two per range) links the ranges up. Rows between the
-    edges keep their range as group key in the second pass, so it stays as evenly spread, and
-    carry only a flag of what the first pass found.
+    One identity may own a third of the table, so its history is not put into one window group: the
+    look-back runs inside lanes. Only the first identity of a lane can have its predecessor in
+    another one, and then it is the last row of the lane before. Those last rows, one per lane, are
+    all that is carried over.
 
-    Without ``lane_rows`` there is one pass and one shuffle. That is for batches known to span
-    fewer arrival numbers than a lane, where no identity can have more rows than that.
+    Rows of an identity that share their order are ``repeated``: which of them came first is not
+    known. They count for nothing, neither as first nor as changed nor as predecessor.
     """
-
-    def look_back(window: WindowSpec) -> tuple[Column, Column]:
-        there = F.lag(F.lit(True)).over(window).isNotNull()
-        same = [F.col(v).eqNullSafe(F.lag(v).over(window)) for v in values]
-        return there, reduce(Column.__and__, same)
-
-    if lane_rows is None:
-        there, same = look_back(Window.partitionBy(*keys).orderBy(order))
-        return rows.withColumns({"is_first": ~there, "changed": ~(there & same)})
-
-    lane = F.col(order) - F.pmod(F.col(order), F.lit(lane_rows))
+    dealt = lanes(rows, order, keys)
     inside = Window.partitionBy(*keys, "_lane").orderBy(order)
-    across = Window.partitionBy(*keys, "_link").orderBy(order)
-    near, near_same = look_back(inside)
-    far, far_same = look_back(across)
-    last = F.lead(F.lit(True)).over(inside).isNull()
-    first_pass = rows.withColumn("_lane", lane).withColumns(
-        {"_near": near, "_same": near_same, "_last": last}
+    twice = [F.col(order).eqNullSafe(near(order).over(inside)) for near in (F.lag, F.lead)]
+    marked = dealt.withColumn("repeated", twice[0] | twice[1])
+    counted = F.when(~F.col("repeated"), F.struct(*values))
+    marked = marked.withColumn(
+        "_before",
+        F.last(counted, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
     )
-    edges = F.when(~F.col("_last") & F.col("_near"), F.col("_lane"))
-    return (
-        first_pass.withColumn("_link", edges)
-        .drop("_lane", "_last")
-        .withColumns({"_far": far, "_far_same": far_same})
-        .withColumns(
-            {
-                "is_first": ~F.col("_near") & ~F.col("_far"),
-                "changed": ~F.when(F.col("_near"), F.col("_same")).otherwise(
-                    F.col("_far") & F.col("_far_same")
-                ),
-            }
-        )
-        .drop("_near", "_same", "_link", "_far", "_far_same")
+    ends = (
+        marked.where(~F.col("repeated"))
+        .groupBy("_lane")
+        .agg(F.max_by(F.struct(*keys, F.struct(*values).alias("state")), F.struct(*keys, order)).alias("_end"))
+    )
+    # One row per lane, that is per shuffle partition: bounded by the setting, whatever the input.
+    numbers = dealt.groupBy("_lane").agg(F.count("*").alias("rows"))
+    so_far = Window.orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
+    carried = numbers.join(ends, "_lane", "left").select(
+        "_lane", F.last("_end", ignorenulls=True).over(so_far).alias("_end")
+    )
+    joined = marked.join(F.broadcast(carried), "_lane")
+    same_key = reduce(Column.__and__, [F.col(f"_end.{k}").eqNullSafe(F.col(k)) for k in keys])
+    before = F.coalesce("_before", F.when(F.col("_end").isNotNull() & same_key, F.col("_end.state")))
+    joined = joined.withColumn("_before", before)
+    there = F.col("_before").isNotNull()
+    same = reduce(Column.__and__, [F.col(v).eqNullSafe(F.col(f"_before.{v}")) for v in values])
+    single = ~F.col("repeated")
+    return joined.withColumns({"is_first": single & ~there, "changed": single & ~(there & same)}).drop(
+        "_lane", "_before", "_end"
     )
-
-
-def lane_for(rows: DataFrame, order: str = "fetch_seq") -> int | None:
-    """None when a batch spans fewer arrival numbers than a lane holds, else the lane size."""
-    low, high = rows.agg(F.min(order), F.max(order)).head()
-    return None if low is None or high - low < LANE_ROWS else LANE_ROWS
 
 
 def join_existing(rows: DataFrame, stored: DataFrame, *fields: str) -> DataFrame:
@@ -99,7 +95,6 @@ def write_decisions(
     writes: DataFrame,
     stored: DataFrame,
     keys: Sequence[str] = IDENTITY,
-    lane_rows: int | None = LANE_ROWS,
 ) -> DataFrame:
     """Decide for every write, in arrival order, whether the object has to be written.
 
@@ -107,13 +102,14 @@ def write_decisions(
     A, B, A writes three times. The stored record takes part as write number -1: the look-back
     that compares neighbours then also finds stored state, without a join.
 
-    ``writes`` needs the keys, fetch_seq (>= 0, dense), file_path, file_hash; every other column
-    is carried along, so keep payloads out. Adds ``object_written`` and ``inserted``.
+    ``writes`` needs the keys, fetch_seq (not negative), file_path, file_hash; every other column
+    is carried along, so keep payloads out. Adds ``object_written``, ``inserted`` and ``repeated``,
+    of writes of one identity under one number, which are not decided.
     """
     value = ["file_path", "file_hash"]
     before = stored.select(*keys, *value, F.lit(-1).cast("bigint").alias("fetch_seq"))
     history = writes.unionByName(before, allowMissingColumns=True)
-    marked = mark_changes(history, value, keys=keys, lane_rows=lane_rows)
+    marked = mark_changes(history, value, keys=keys)
     renamed = marked.withColumnsRenamed({"changed": "object_written", "is_first": "inserted"})
     return renamed.where("fetch_seq >= 0")
 

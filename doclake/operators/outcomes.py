@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 
 from doclake.functions.requests import failure_code, failure_reason
 from doclake.functions.text import has_key
-from doclake.schema import EMPTY_IDENTIFIER, LANDING_FAILED, REQUIRED_FIELDS
+from doclake.schema import (
+    BAD_NUMBER,
+    EMPTY_IDENTIFIER,
+    LANDING_FAILED,
+    NO_PAYLOAD,
+    REQUIRED_FIELDS,
+)
 
 UNCHANGED, FETCHED, FAILED = "unchanged", "fetched", "failed"
 
@@ -52,8 +58,9 @@ def request_failures(attempts: DataFrame, url: str = "document_url") -> DataFram
 def with_validation(records: DataFrame) -> DataFrame:
     """Mark records that must not be written, before anything is written.
 
-    ValidationError: a required field is null, or the partition date is no ISO date (it names a
-    folder). ValueError: nothing is left of an identifier.
+    ValidationError: a required field is null, the partition date is no ISO date (it names a
+    folder), there is no payload, or the arrival number is null or negative. ValueError: nothing is
+    left of an identifier.
     """
     incomplete = reduce(Column.__or__, [F.col(c).isNull() for c in _GIVEN])
     undated = ~F.col("partition_date").rlike(r"^\d{4}-\d{2}-\d{2}\z")
@@ -65,16 +72,20 @@ def with_validation(records: DataFrame) -> DataFrame:
     why = why.when(undated, "partition_date is no ISO date").when(
         empty, F.concat(F.lit(f"{EMPTY_IDENTIFIER}'"), empty_key, F.lit("'"))
     )
+    unnumbered = F.coalesce(F.col("fetch_seq") < 0, F.lit(True))
+    why = why.when(F.col("payload").isNull(), NO_PAYLOAD).when(unnumbered, BAD_NUMBER)
+    invalid = F.when(incomplete | undated, "ValidationError").when(empty, "ValueError")
     return records.withColumns(
         {
-            "error_code": F.when(incomplete | undated, "ValidationError").when(empty, "ValueError"),
+            "error_code": invalid.when(F.col("payload").isNull() | unnumbered, "ValidationError"),
             "reason": F.concat(F.lit(LANDING_FAILED), why),
         }
     )
 
 
 def failures(rows: DataFrame, url: str = "document_url") -> DataFrame:
-    """Failure rows of any frame that carries error_code and reason."""
-    return rows.where("error_code is not null").select(
+    """Failure rows of any frame that carries error_code and reason, by outcome where there is one."""
+    failed = "outcome = 'failed'" if "outcome" in rows.columns else "error_code is not null"
+    return rows.where(failed).select(
         F.col(url).alias("url"), "error_code", "reason", "body", "partition", "identifier"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from doclake.schema import NO_SCOPE
 from doclake.sources.logs import COUNTERS
 
 SCOPE = ("body", "partition")
@@ -27,8 +28,8 @@ def _totals() -> list[Column]:
 
 
 def scope_stats(events: DataFrame, scope: tuple[str, ...] = SCOPE) -> DataFrame:
-    """found, scraped, failed and skipped per scope; rows without a scope belong to none."""
-    named = events.where(" and ".join(f"{c} is not null" for c in scope))
+    """found, scraped, failed and skipped per scope; a record without body or partition counts too."""
+    named = events.withColumns({c: F.coalesce(F.col(c), F.lit(NO_SCOPE)) for c in scope})
     return named.groupBy(*scope).agg(*_counts())
 
 

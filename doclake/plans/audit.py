@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from doclake.functions.text import blank, transformed_key
 from doclake.schema import HTML, IDENTITY, REQUIRED_FIELDS
-from doclake.sources.objects import digests
+from doclake.sources.objects import ORDER, digests
 
 
 def duplicate_identities(records: DataFrame) -> DataFrame:
@@ -25,13 +25,18 @@ def metadata_gap() -> Column:
 
 
 def with_digest(records: DataFrame, objects: DataFrame) -> DataFrame:
-    """Records with the digest of the bytes now under their key; null when there is no object."""
-    return records.join(digests(objects), "file_path", "left")
+    """Records with the digest of the bytes now under their key, and whether there is an object.
+
+    Presence comes from the key's last write, so a check of presence alone hashes nothing.
+    """
+    found = digests(objects).select("file_path", F.col(ORDER).isNotNull().alias("there"), "digest")
+    joined = records.join(found, "file_path", "left")
+    return joined.withColumn("there", F.coalesce("there", F.lit(False)))
 
 
 def landing_checks(records: DataFrame, objects: DataFrame) -> DataFrame:
     """Records with one flag per check."""
-    there = F.col("digest").isNotNull()
+    there = F.col("there")
     return with_digest(records, objects).withColumns(
         {
             "missing_object": ~there,
@@ -76,7 +81,7 @@ def landing_changes(records: DataFrame, objects: DataFrame, snapshot: DataFrame)
     """Records whose bytes differ from the snapshot, from their own hash, or are gone."""
     before = snapshot.select("file_path", F.col("file_hash").alias("before"))
     joined = with_digest(records, objects).join(before, "file_path", "left")
-    there = F.col("digest").isNotNull()
+    there = F.col("there")
     return joined.withColumns(
         {
             "changed_since_snapshot": there & ~F.col("digest").eqNullSafe(F.col("before")),
@@ -103,7 +108,7 @@ def transformed_checks(transformed: DataFrame, objects: DataFrame) -> DataFrame:
     """Transformed records with one flag per check."""
     document_type = F.coalesce(F.nullif("document_type", F.lit("")), F.lit(HTML))
     expected = transformed_key(F.col("identifier"), document_type)
-    there = F.col("digest").isNotNull()
+    there = F.col("there")
     return with_digest(transformed, objects).withColumns(
         {
             "missing_object": ~there,

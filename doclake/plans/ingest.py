@@ -13,20 +13,18 @@ from doclake.functions.content import (
 )
 from doclake.functions.text import landing_key
 from doclake.operators.events import event_union
-from doclake.operators.identity import (
-    LANE_ROWS,
-    lane_for,
-    latest_per_identity,
-    merge,
-    write_decisions,
-)
+from doclake.operators.identity import latest_per_identity, merge, write_decisions
 from doclake.operators.outcomes import FAILED, FETCHED, UNCHANGED, triage, with_validation
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
-from doclake.schema import IDENTITY, LANDING_SCHEMA
+from doclake.schema import IDENTITY, LANDING_FAILED, LANDING_SCHEMA, REPEATED_NUMBER
 from doclake.sources.landing import find_many
 from doclake.sources.store import Store
 
 
+# What classification adds to a record, and a record that is not decided lacks.
+MADE = ("document_type", "file_hash", "file_path")
+
+
 def classify(captures: DataFrame, profile: SourceProfile = DEFAULT_PROFILE) -> DataFrame:
     """Add document_type, file_hash and file_path; the payload becomes the normalised one."""
     typed = captures.withColumn(
@@ -47,17 +45,18 @@ def decide(
     captures: DataFrame,
     stored: DataFrame,
     profile: SourceProfile = DEFAULT_PROFILE,
-    lane_rows: int | None = LANE_ROWS,
 ) -> DataFrame:
     """One slim row per capture: outcome, failure if any, and the write decision if stored.
 
     The payload is hashed where it is scanned and goes no further. The branches read the captures
-    once each, but only the fetched branch reads the payload column.
+    once each; only the fetched ones read the payload column. A capture that breaks the contract
+    (see ``with_validation``, or a number used twice for one identity) is a failure like any other,
+    so every capture has its row.
     """
     seen = triage(captures)
     checked = with_validation(seen.where(F.col("outcome") == FETCHED))
     fetched = classify(checked.where("error_code is null"), profile)
-    decided = write_decisions(fetched.drop("payload", "outcome"), stored, lane_rows=lane_rows)
+    decided = write_decisions(fetched.drop("payload", "outcome"), stored)
     invalid = checked.where("error_code is not null")
     slim = ["payload", "outcome"]
     events = event_union(
@@ -65,6 +64,16 @@ def decide(
         seen.where(F.col("outcome") == UNCHANGED).drop(*slim),
         seen.where(F.col("outcome") == FAILED).drop(*slim).unionByName(invalid.drop(*slim)),
     )
+    twice = F.coalesce("repeated", F.lit(False))
+    events = events.withColumns(
+        {
+            "event": F.when(twice, "record_failed").otherwise(F.col("event")),
+            "outcome": F.when(twice, FAILED).otherwise(F.col("outcome")),
+            "error_code": F.when(twice, "ValidationError").otherwise(F.col("error_code")),
+            "reason": F.when(twice, LANDING_FAILED + REPEATED_NUMBER).otherwise(F.col("reason")),
+            **{c: F.when(~twice, F.col(c)) for c in ("object_written", "inserted", *MADE)},
+        }
+    ).drop("repeated")
     return events.withColumn(
         "object_partition", F.when(F.col("object_written"), F.col("partition_date"))
     )
@@ -91,21 +100,22 @@ def objects_to_write(
 ) -> DataFrame:
     """The objects a batch leaves behind, with content: the last actual write of every key.
 
-    Picked on slim rows; only the captures picked take part in the payload scan's join, whose key
-    (the arrival number) is unique.
+    Picked on slim rows; only the captures picked take part in the payload scan's join. Its key,
+    identity and arrival number, is unique among what was decided; a number alone need not be.
     """
+    last = F.struct("fetch_seq", *IDENTITY, "document_type", "file_hash", "partition_date")
     picked = (
         decisions.where("object_written")
         .groupBy("file_path")
         .agg(
-            F.max_by(
-                F.struct("fetch_seq", "document_type", "file_hash", "partition_date"), "fetch_seq"
-            ).alias("last")
+            F.max_by(last, F.struct("fetch_seq", *IDENTITY)).alias("last")
         )
         .select("file_path", "last.*")
     )
-    payloads = captures.select("fetch_seq", "payload")
-    joined = payloads.join(picked, "fetch_seq")
+    payloads = captures.select(*IDENTITY, "fetch_seq", "payload", "status")
+    # A capture that was not fetched may share identity and number with one that was.
+    fetched = payloads.where(F.col("status").between(200, 299)).where("payload is not null")
+    joined = fetched.join(picked, [*IDENTITY, "fetch_seq"])
     return joined.select(
         "file_path",
         normalize_payload(F.col("payload"), F.col("document_type"), profile).alias("content"),
@@ -128,8 +138,7 @@ def run_ingest(
     known = run.held("landing", captures)
     slim = [*IDENTITY, "file_path", "file_hash", "partition_date"]
     known = run.stage("known", known.select(*slim))
-    decisions = decide(captures, known, profile, lane_for(captures))
-    decisions = run.stage("decisions", decisions)
+    decisions = run.stage("decisions", decide(captures, known, profile))
     run.write_objects("landing", objects_to_write(captures, decisions, profile))
     records = decisions.where("outcome = 'stored'")
     run.merge(

@@ -13,7 +13,7 @@ from doclake.functions.text import blank, transformed_key
 from doclake.functions.windows import check_range
 from doclake.operators.identity import merge
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
-from doclake.schema import EMPTY_IDENTIFIER, HTML, INCOMPLETE_RECORD, TRANSFORMED_SCHEMA
+from doclake.schema import EMPTY_IDENTIFIER, HTML, INCOMPLETE_RECORD, NO_CONTENT, TRANSFORMED_SCHEMA
 from doclake.sources.landing import scan_range
 from doclake.sources.objects import ORDER, current_versions
 from doclake.sources.store import Store
@@ -43,11 +43,17 @@ def convert(rows: DataFrame, as_of: str, profile: SourceProfile = DEFAULT_PROFIL
     paged = typed.withColumn("page", clean_page(F.when(is_html, F.col("content")), profile))
     key = transformed_key(F.col("identifier"), F.col("document_type"))
     output = F.when(is_html, F.col("page.clean")).otherwise(F.col("content"))
-    made = paged.withColumns({"content": output, "_key": key}).withColumns(
+    made = paged.withColumn("_key", key).withColumns(
         {
-            "error_code": F.coalesce("page.error_code", F.when(F.col("_key").isNull(), "ValueError")),
+            "content": output,
+            "error_code": F.coalesce(
+                F.when(F.col("content").isNull(), "NoContent"),
+                F.col("page.error_code"),
+                F.when(F.col("_key").isNull(), "ValueError"),
+            ),
             "reason": F.coalesce(
-                "page.reason",
+                F.when(F.col("content").isNull(), NO_CONTENT),
+                F.col("page.reason"),
                 F.when(
                     F.col("_key").isNull(),
                     F.concat(F.lit(f"{EMPTY_IDENTIFIER}'"), "identifier", F.lit("'")),

@@ -29,6 +29,14 @@ INCOMPLETE_RECORD = "record is missing body, identifier or file_path"
 EMPTY_IDENTIFIER = "identifier is empty after sanitization: "
 LANDING_FAILED = "landing write failed: "
 NO_CONTAINER = "no container matched "
+# Texts of failure rows the contract of captures adds.
+NO_PAYLOAD = "a fetched capture without payload"
+BAD_NUMBER = "fetch_seq is missing or negative"
+REPEATED_NUMBER = "fetch_seq occurs twice for the identity"
+NO_CONTENT = "the object has no content"
+NO_ANSWER = ("no_answer", "neither status nor error")
+# The scope of a record without body or partition.
+NO_SCOPE = "None"
 
 RETRYABLE_STATUS = (500, 502, 503, 504, 522, 524, 408, 429)
 RATE_LIMIT_STATUS = (429, 503)
@@ -38,31 +46,39 @@ RETRY_TIMES = 3
 IDENTITY = ("body", "identifier")
 
 
-def _struct(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType, "i": T.IntegerType, "l": T.LongType, "b": T.BinaryType}
-    fields = []
-    for item in spec.split():
-        name, _, kind = item.partition(":")
-        required = name.endswith("!")
-        fields.append(T.StructField(name.rstrip("!"), kinds[kind or "s"](), not required))
-    return T.StructType(fields)
 
+def _texts(*names: str, nullable: bool = True) -> list[T.StructField]:
+    return [T.StructField(name, T.StringType(), nullable) for name in names]
 
-CAPTURE_SCHEMA = _struct(
-    "fetch_seq!:l body identifier title description date document_url source_url partition_date "
-    "partition status:i content_type http_etag http_last_modified retry_after payload:b "
-    "error_code reason"
+
+# --- fixed values: names and order of the columns ----------------------------------------------
+CAPTURE_SCHEMA = T.StructType(
+    [
+        T.StructField("fetch_seq", T.LongType(), False),
+        *_texts("body", "identifier", "title", "description", "date", "document_url", "source_url"),
+        *_texts("partition_date", "partition"),
+        T.StructField("status", T.IntegerType()),
+        *_texts("content_type", "http_etag", "http_last_modified", "retry_after"),
+        T.StructField("payload", T.BinaryType()),
+        *_texts("error_code", "reason"),
+    ]
 )
 
-LANDING_SCHEMA = _struct(
-    "identifier! title! description! date! document_url! partition_date! body! file_path! "
-    "file_hash! source_url document_type scraped_at http_etag http_last_modified"
+LANDING_SCHEMA = T.StructType(
+    [
+        *_texts("identifier", "title", "description", "date", "document_url", nullable=False),
+        *_texts("partition_date", "body", "file_path", "file_hash", nullable=False),
+        *_texts("source_url", "document_type", "scraped_at", "http_etag", "http_last_modified"),
+    ]
 )
 
 TRANSFORMED_SCHEMA = T.StructType(
-    [*LANDING_SCHEMA.fields, *_struct("source_file_path transformed_at").fields]
+    [*LANDING_SCHEMA.fields, *_texts("source_file_path", "transformed_at")]
 )
 
-FAILURE_SCHEMA = _struct("url error_code reason body partition identifier")
+FAILURE_SCHEMA = T.StructType(
+    _texts("url", "error_code", "reason", "body", "partition", "identifier")
+)
+# ----------------------------------------------------------------------------------------------
 
 REQUIRED_FIELDS = tuple(f.name for f in LANDING_SCHEMA.fields if not f.nullable)

@@ -19,14 +19,17 @@ def current_versions(objects: DataFrame, *carried: str) -> DataFrame:
     by_key = objects.groupBy("file_path")
     if not carried:
         return by_key.agg(F.max(ORDER).alias(ORDER))
-    latest = F.max_by(F.struct(ORDER, *carried), F.col(ORDER)).alias("latest")
-    return by_key.agg(latest).select("file_path", "latest.*")
+    # An aggregate per column: one that nobody asks for is not computed, nor is what it is made of.
+    latest = [F.max_by(name, ORDER).alias(name) for name in carried]
+    return by_key.agg(F.max(ORDER).alias(ORDER), *latest)
 
 
 def digests(objects: DataFrame) -> DataFrame:
-    """(file_path, digest) of the current bytes, hashed where they lie, before any shuffle."""
-    hashed = objects.withColumn("digest", F.sha2("content", 256))
-    return current_versions(hashed, "digest").select("file_path", "digest")
+    """(file_path, write_order, digest) of the current bytes, hashed where they lie, before any shuffle.
+
+    Who does not use the digest reads no content.
+    """
+    return current_versions(objects.withColumn("digest", F.sha2("content", 256)), "digest")
 
 
 def current_objects(objects: DataFrame) -> DataFrame:
@@ -85,4 +88,4 @@ def read_exported(spark: SparkSession, root: str) -> DataFrame:
 
 def snapshot(objects: DataFrame) -> DataFrame:
     """Key to digest, to be written before a transform and compared after it."""
-    return digests(objects).withColumnRenamed("digest", "file_hash")
+    return digests(objects).select("file_path", F.col("digest").alias("file_hash"))

@@ -1,20 +1,23 @@
 """The two zones on shared storage, as plain Parquet folders.
 
-    <root>/landing/run=7/partition_date=2024-01-01/          metadata
-    <root>/landing_objects/run=7/partition_date=2024-01-01/  bytes
-    <root>/commits/run=7/                                    which run holds each partition
-
-A run writes only new folders and becomes visible with its commit, one small file written last.
-A run that dies half-way leaves nothing visible, and the retry overwrites its folders. Only the
-metadata partitions a run touches are rewritten, objects are only added.
+    <root>/landing/run=7-4f1c../partition_date=2024-01-01/          metadata
+    <root>/landing_objects/run=7-4f1c../partition_date=2024-01-01/  bytes
+    <root>/commits/run=7/                                           the folders that count
+
+Every attempt of a run writes folders of its own, named after a random id. A commit, one small file
+written last, lists the folders that are part of the zones: which one holds each metadata partition,
+and all that hold objects. Readers open only those, so what a dead attempt wrote is never seen, not
+even if another run later commits the same number. Only the metadata partitions a run touches are
+rewritten, objects are only added.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +45,7 @@ for _schema in OBJECTS.values():
     _schema.add("run", "long")
     if "partition_date" not in _schema.names:
         _schema.add("partition_date", "string")
-_COMMIT = "zone string, partition_date string, data_run long"
+_COMMIT = "zone string, part string, data_run long, folder string"
 # What orders two writes of one key.
 _ORDER = {
     "landing": ("run", "fetch_seq"),
@@ -51,18 +54,28 @@ _ORDER = {
 _MARK = "mark:"
 
 
+class Held(NamedTuple):
+    """The run that wrote a part of a zone, and its folder."""
+
+    run: int
+    folder: str
+
+
+Zones = dict[str, dict[str, Held]]
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
-    def state(self) -> tuple[int, dict[str, dict[str, int]]]:
-        """(last committed run, zone -> partition -> run that holds it). One row per partition."""
+    def state(self) -> tuple[int, Zones]:
+        """(last committed run, zone -> partition -> who holds it). One row per partition and run."""
         run = self._last_commit()
         if run is None:
             return 0, {}
-        zones: dict[str, dict[str, int]] = {}
+        zones: Zones = {}
         for row in self.spark.read.parquet(f"{self.root}/commits/run={run}").collect():
-            zones.setdefault(row.zone, {})[row.partition_date] = row.data_run
+            zones.setdefault(row.zone, {})[row.part] = Held(row.data_run, row.folder)
         return run, zones
 
     def _last_commit(self) -> int | None:
@@ -81,7 +94,8 @@ class Store:
 
     def mark(self, name: str) -> int | None:
         """Number a stream committed last under this name."""
-        return self.state()[1].get(f"{_MARK}{name}", {}).get("")
+        held = self.state()[1].get(f"{_MARK}{name}", {}).get("")
+        return held.run if held else None
 
     def begin(self) -> Run:
         return Run(self)
@@ -98,11 +112,11 @@ class Store:
         ]
         return self._folders(zone, {d: partitions[d] for d in inside})
 
-    def _folders(self, zone: str, partitions: dict[str, int]) -> DataFrame:
+    def _folders(self, zone: str, partitions: dict[str, Held]) -> DataFrame:
         schema = METADATA[zone]
         if not partitions:
             return self.spark.createDataFrame([], schema)
-        paths = [f"{self.root}/{zone}/run={r}/partition_date={d}" for d, r in partitions.items()]
+        paths = [f"{self.root}/{zone}/{h.folder}/partition_date={d}" for d, h in partitions.items()]
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/{zone}")
         return reader.parquet(*paths).select(*schema.names)
 
@@ -111,24 +125,24 @@ class Store:
 
         The partitions are collected: one value per date window, never one per record.
         """
-        run, _ = self.state()
         versions = self._versions(zone)
         if "error_code" in versions.columns:
             versions = versions.where("error_code is null")
-        versions = versions.where(F.col("run") <= run)
         if records is not None:
             used = [r[0] for r in records.select("object_partition").distinct().collect()]
             versions = versions.where(F.col("partition_date").isin(used))
         return versions.withColumn(ORDER, F.struct(*_ORDER[zone]))
 
     def _versions(self, zone: str) -> DataFrame:
-        schema = OBJECTS[zone]
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{zone}_objects")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        schema, base = OBJECTS[zone], f"{self.root}/{zone}_objects"
+        folders = self.state()[1].get(f"{zone}_objects", {})
+        if not folders:
             return self.spark.createDataFrame([], schema)
+        named = T.StructType([f if f.name != "run" else T.StructField("run", T.StringType()) for f in schema])
+        reader = self.spark.read.schema(named).option("basePath", base)
+        versions = reader.parquet(*[f"{base}/{folder}" for folder in folders])
+        number = F.substring_index("run", "-", 1).cast("long")
+        return versions.withColumn("run", number).select(*schema.names)
 
 
 class Run:
@@ -138,19 +152,23 @@ class Run:
         self.store = store
         last, self.zones = store.state()
         self.number = last + 1
+        # Another attempt may take the same number; the folders are this one's own.
+        self.folder = f"run={self.number}-{uuid.uuid4().hex}"
 
     def stage(self, name: str, rows: DataFrame) -> DataFrame:
         """Write a slim intermediate result and read it back; later steps start from the table."""
-        path = f"{self.store.root}/staging/run={self.number}/{name}"
+        path = f"{self.store.root}/staging/{self.folder}/{name}"
         rows.write.mode("overwrite").parquet(path)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
     def write_objects(self, zone: str, rows: DataFrame) -> DataFrame:
         """Add object versions. Rebalanced by partition, so files are of even size, not one per task."""
-        path = f"{self.store.root}/{zone}_objects/run={self.number}"
+        path = f"{self.store.root}/{zone}_objects/{self.folder}"
         columns = [c for c in OBJECTS[zone].names if c != "run"]
         even = rows.select(*columns).hint("rebalance", F.col("partition_date"))
         even.write.mode("overwrite").partitionBy("partition_date").parquet(path)
+        added = {**self.zones.get(f"{zone}_objects", {}), self.folder: Held(self.number, self.folder)}
+        self.zones = {**self.zones, f"{zone}_objects": added}
         schema = T.StructType([f for f in OBJECTS[zone].fields if f.name != "run"])
         return rows.sparkSession.read.schema(schema).parquet(path)
 
@@ -171,17 +189,17 @@ class Run:
         current = self.zones.get(zone, {})
         touched = {d: current[d] for d in (old | new) if d in current}
         merged = combine(self.store._folders(zone, touched))
-        path = f"{self.store.root}/{zone}/run={self.number}"
+        path = f"{self.store.root}/{zone}/{self.folder}"
         rows = merged.select(*METADATA[zone].names).hint("rebalance", F.col("partition_date"))
         rows.write.mode("overwrite").partitionBy("partition_date").parquet(path)
-        kept = {d: r for d, r in current.items() if d not in touched}
+        kept = {d: held for d, held in current.items() if d not in touched}
         filled = merged.sparkSession.read.schema(METADATA[zone]).parquet(path)
-        now = {r[0]: self.number for r in filled.select("partition_date").distinct().collect()}
+        now = {r[0]: Held(self.number, self.folder) for r in filled.select("partition_date").distinct().collect()}
         self.zones = {**self.zones, zone: {**kept, **now}}
 
     def commit(self, marks: dict[str, int] | None = None) -> None:
         for name, number in (marks or {}).items():
-            self.zones = {**self.zones, f"{_MARK}{name}": {"": number}}
-        rows = [(zone, d, r) for zone, held in self.zones.items() for d, r in held.items()]
+            self.zones = {**self.zones, f"{_MARK}{name}": {"": Held(number, "")}}
+        rows = [(zone, part, *held) for zone, parts in self.zones.items() for part, held in parts.items()]
         table = self.store.spark.createDataFrame(rows, _COMMIT).coalesce(1)
         table.write.mode("overwrite").parquet(f"{self.store.root}/commits/run={self.number}")

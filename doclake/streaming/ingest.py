@@ -17,16 +17,18 @@ def stream_ingest(
     store: Store,
     checkpoint: str,
     as_of: str | None = None,
-    name: str = "ingest",
     profile: SourceProfile = DEFAULT_PROFILE,
 ) -> StreamingQuery:
     """Ingest every micro-batch into the store, each exactly once.
 
-    The commit carries the batch number; a batch replayed after a crash that came between commit
-    and checkpoint is recognised by it and skipped. Without ``as_of`` the clock gives scraped_at.
+    The commit carries the batch number under the id of the stream, which Spark keeps in the
+    checkpoint. So a batch replayed after a crash that came between commit and checkpoint is
+    recognised and skipped, while another stream, or one with a new checkpoint, counts for itself.
+    Without ``as_of`` the clock gives scraped_at.
     """
 
     def land(batch: DataFrame, number: int) -> None:
+        name = store.spark.read.json(f"{checkpoint.rstrip('/')}/metadata").head()["id"]
         done = store.mark(name)
         if done is not None and number <= done:
             return

@@ -6,16 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from doclake.operators.frontier import document_plan, rate_limited, retry_worklist, suppress_requests
-from doclake.operators.identity import (
-    LANE_ROWS,
-    lane_for,
-    latest_per_identity,
-    mark_changes,
-    merge,
-    upsert,
-    write_decisions,
-)
-from doclake.operators.outcomes import triage, with_validation
+from doclake.operators.identity import lanes, latest_per_identity, merge, upsert, write_decisions
+from doclake.operators.outcomes import failures, triage, with_validation
 from doclake.operators.stats import ingest_counters, run_summary, scope_stats
 from doclake.plans.ingest import decide, landing_after, objects_to_write, run_ingest
 from doclake.sources.store import METADATA, Store
@@ -141,34 +133,65 @@ def brute_force_decisions(rows, stored):
     return out
 
 
-@pytest.mark.parametrize("lane_rows", [1, 2, 3, 7, 64, 1_000_000, None])
-def test_write_decisions_equal_sequential_writes_whatever_the_lanes(spark, lane_rows):
+@pytest.mark.parametrize("parts", [1, 2, 5, 40])
+def test_write_decisions_equal_sequential_writes_whatever_the_lanes(spark, parts):
     """One identity holds most rows, so its history spans many lanes."""
-    rng = random.Random(lane_rows or 0)
+    rng = random.Random(parts)
     rows, stored = [], {("B", "hot"): ("p", "a"), ("B", "k1"): ("p", None)}
     for seq in rng.sample(range(1000), 300):
         key = ("B", "hot" if rng.random() < 0.7 else f"k{rng.randrange(6)}")
         rows.append((key, seq, rng.choice("pq"), rng.choice(["a", "b", None])))
     frame = spark.createDataFrame([(*k, s, p, h) for k, s, p, h in rows], "body string, identifier string, fetch_seq long, file_path string, file_hash string")
     before = spark.createDataFrame([(*k, *v) for k, v in stored.items()], "body string, identifier string, file_path string, file_hash string")
-    got = write_decisions(frame, before, lane_rows=lane_rows).collect()
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = write_decisions(frame, before).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
     assert {r.fetch_seq: (r.object_written, r.inserted) for r in got} == brute_force_decisions(rows, stored)
 
 
 def test_no_window_group_holds_a_whole_heavy_identity(spark):
-    """The group keys of both passes, counted: no group is larger than the lane allows."""
-    rows = spark.range(5000).selectExpr("'B' body", "'hot' identifier", "id fetch_seq", "id % 3 file_hash")
-    plan = mark_changes(rows, ["file_hash"], lane_rows=100)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Window [") == 2
-    assert "_lane" in plan and "_link" in plan
-    marked = mark_changes(rows, ["file_hash"], lane_rows=100)
-    assert marked.where("changed").count() == 5000 and marked.where("is_first").count() == 1
-
-
-def test_one_pass_only_for_batches_shorter_than_a_lane(spark):
-    assert lane_for(spark.range(10).toDF("fetch_seq")) is None
-    assert lane_for(spark.range(0).toDF("fetch_seq")) is None
-    assert lane_for(spark.range(0, LANE_ROWS + 1, LANE_ROWS).toDF("fetch_seq")) == LANE_ROWS
+    """A third of the rows is one identity, and its numbers are as sparse and uneven as can be."""
+    rows = spark.range(30000).selectExpr(
+        "'B' body", "if(id % 3 = 0, 'hot', concat('k', id)) identifier", "id * id * 1000003 fetch_seq", "id % 3 file_hash"
+    )
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = lanes(rows).groupBy("body", "identifier", "_lane").count().agg(F.max("count")).head()[0]
+    assert sizes <= 1.5 * 30000 / parts
+
+
+def test_bad_numbers_and_missing_payloads_are_failures(store, capture):
+    """Every capture has its row, and none gets the bytes of another."""
+    rows = capture(
+        {"identifier": "N", "fetch_seq": -3},
+        {"identifier": "P", "payload": None, "fetch_seq": 1},
+        {"identifier": "A", "payload": b"<p>a</p>", "fetch_seq": 2},
+        {"identifier": "B", "payload": b"<p>b</p>", "fetch_seq": 2},
+        {"identifier": "T", "payload": b"<p>1</p>", "fetch_seq": 3},
+        {"identifier": "T", "payload": b"<p>2</p>", "fetch_seq": 3},
+        {"identifier": "T", "payload": b"<p>3</p>", "fetch_seq": 4},
+        {"identifier": "A", "status": 500, "payload": b"oops", "fetch_seq": 2},
+        {"identifier": "S", "status": None, "error_code": None, "reason": None, "fetch_seq": 9},
+        {"identifier": "X", "body": None, "fetch_seq": 10},
+    )
+    decisions = run_ingest(store, rows, AS_OF)
+    total = run_summary(scope_stats(decisions)).head()
+    assert (total.records_found, total.records_scraped, total.failed) == (10, 3, 7)
+    failed = sorted((r.identifier, r.error_code, r.reason) for r in failures(decisions).collect())
+    prefix = "landing write failed: "
+    assert failed == [
+        ("A", "500", "http error 500"),
+        ("N", "ValidationError", prefix + "fetch_seq is missing or negative"),
+        ("P", "ValidationError", prefix + "a fetched capture without payload"),
+        ("S", "no_answer", "neither status nor error"),
+        ("T", "ValidationError", prefix + "fetch_seq occurs twice for the identity"),
+        ("T", "ValidationError", prefix + "fetch_seq occurs twice for the identity"),
+        ("X", "ValidationError", prefix + "missing body"),
+    ]
+    content = {o.file_path: bytes(o.content) for o in store.objects("landing").collect()}
+    assert content == {"Tribunal/A.html": b"<p>a</p>", "Tribunal/B.html": b"<p>b</p>", "Tribunal/T.html": b"<p>3</p>"}
 
 
 def test_latest_per_identity_combines_before_the_shuffle(spark):
@@ -251,7 +274,7 @@ def test_requests_are_sent_once_and_on_site(spark):
 def test_retries_and_rate_limits(spark):
     attempts = [("a", 503), ("a", 429), ("b", 503), ("b", 200), ("c", 404), *[("d", 500)] * 4, ("e", None)]
     frame = spark.createDataFrame([(i, u, s, "30" if s == 429 else "") for i, (u, s) in enumerate(attempts)], "fetch_seq long, document_url string, status int, retry_after string")
-    assert [(r.document_url, r.attempts) for r in retry_worklist(frame).collect()] == [("a", 2)]
+    assert sorted((r.document_url, r.attempts) for r in retry_worklist(frame).collect()) == [("a", 2), ("e", 1)]
     limited = rate_limited(frame).orderBy("fetch_seq").collect()
     assert [(r.error_code, r.retry_after, r.is_final) for r in limited] == [
         ("503", None, False), ("429", "30", True), ("503", None, False),

@@ -43,17 +43,33 @@ def test_captures_read_the_same_from_every_format(spark, capture, tmp_path):
 
 
 def test_a_replayed_batch_is_skipped(spark, capture, tmp_path):
-    store, source = Store(spark, str(tmp_path / "zones")), str(tmp_path / "captures")
+    store, source, state = Store(spark, str(tmp_path / "zones")), str(tmp_path / "captures"), tmp_path / "state"
     _history(capture).coalesce(1).write.parquet(source)
     arriving = stream_captures(spark, source)
-    stream_ingest(arriving, store, str(tmp_path / "state"), "once").awaitTermination()
+    stream_ingest(arriving, store, str(state), "once").awaitTermination()
     run, objects = store.state()[0], store.objects("landing").count()
-    # A lost checkpoint makes the stream start over with batch 0.
-    stream_ingest(arriving, store, str(tmp_path / "state-lost"), "twice").awaitTermination()
+    # A crash between the store's commit and the checkpoint's: the stream does not know it is done.
+    (state / "commits" / "0").unlink()
+    (state / "commits" / ".0.crc").unlink(missing_ok=True)
+    stream_ingest(arriving, store, str(state), "twice").awaitTermination()
     assert (store.state()[0], store.objects("landing").count()) == (run, objects)
     assert {r.scraped_at for r in store.read("landing").collect()} == {"once"}
 
 
+def test_another_stream_counts_for_itself(spark, capture, tmp_path):
+    """Its batches start at 0 again, and are not taken for those of the first."""
+    store = Store(spark, str(tmp_path / "zones"))
+    for name in ("A", "B"):
+        source = str(tmp_path / name)
+        capture({"identifier": name}).coalesce(1).write.parquet(source)
+        stream_ingest(stream_captures(spark, source), store, str(tmp_path / f"state-{name}"), AS_OF).awaitTermination()
+    # A new checkpoint on the first source is a new stream too: it ingests again, changing nothing.
+    again = stream_ingest(stream_captures(spark, str(tmp_path / "A")), store, str(tmp_path / "state-new"), "later")
+    again.awaitTermination()
+    assert {r.identifier: r.scraped_at for r in store.read("landing").collect()} == {"A": "later", "B": AS_OF}
+    assert store.objects("landing").count() == 2
+
+
 def test_live_counters(spark, tmp_path):
     source = str(tmp_path / "events")
     schema = "ts timestamp, kind string, outcome string"

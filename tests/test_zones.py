@@ -172,6 +172,45 @@ def test_a_run_that_dies_leaves_nothing_visible(store, capture):
     assert store.objects("landing").where("file_path = 'Z/Z.html'").count() == 0
 
 
+def test_a_dead_ingest_is_not_committed_by_the_next_transform(store, capture):
+    """The transform takes the same run number; the dead attempt's bytes stay out of it."""
+    run_ingest(store, documents(capture), AS_OF)
+    dying = store.begin()
+    dying.write_objects(
+        "landing",
+        capture({"payload": b"<main>dead</main>"}).select(
+            F.lit("Tribunal/H_1.html").alias("file_path"), F.col("payload").alias("content"), "content_type",
+            F.lit("h").alias("file_hash"), F.lit(10**6).alias("fetch_seq"), "partition_date",
+        ),
+    )
+    run_transform(store, *YEAR, AS_OF)
+    assert store.state()[0] == dying.number
+    landing = audit.audit_landing(store.read("landing"), store.objects("landing")).head()
+    assert (landing.hash_mismatches, landing.bad) == (0, False)
+    content = {o.file_path: bytes(o.content) for o in store.objects("transformed").collect()}
+    assert b"dead" not in content["H_1.html"]
+
+
+def test_null_content_is_a_failure(store, capture):
+    run_ingest(store, documents(capture), AS_OF)
+    objects = store.objects("landing").withColumn("content", F.when(F.col("file_path") != "Tribunal/D-1.doc", F.col("content")))
+    landing = store.read("landing").drop("object_partition")
+    rows = {r.identifier: r.error_code for r in transform(landing, objects, AS_OF).collect()}
+    assert rows == {"H 1": None, "X-1": None, "P/1": None, "D-1": "NoContent"}
+
+
+def test_checks_of_presence_read_no_content(store, capture):
+    run_ingest(store, documents(capture), AS_OF)
+    run_transform(store, *YEAR, AS_OF)
+    landing = audit.landing_checks(store.read("landing"), store.objects("landing"))
+    transformed = audit.transformed_checks(store.read("transformed"), store.objects("transformed"))
+    for rows, flags in ((landing, ["missing_object", "bad_key"]), (transformed, ["missing_object", "name_mismatch"])):
+        for flag in flags:
+            plan = rows.where(flag).select("file_path")._jdf.queryExecution().executedPlan().toString()
+            assert "sha2" not in plan and "content#" not in plan
+    assert landing.where("missing_object or bad_key or hash_mismatch").count() == 0
+
+
 def test_back_fill_is_one_wide_window(store, capture):
     dates = ["2024-01-01", "2024-02-01", "2024-03-01"]
     rows = capture(*[{"identifier": d, "partition_date": d, "payload": HTML} for d in dates])

@@ -198,6 +198,46 @@ def ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "capture_contract",
+    f"""WITH {FETCHES},
+bent AS (
+  SELECT fetch_seq AS n, partition, 'Contract' AS body,
+    CASE WHEN fetch_seq % 23 IN (3, 4) THEN 'twin ' || (fetch_seq // 23) WHEN identifier = '///' THEN identifier ELSE identifier || ' ' || fetch_seq END AS identifier,
+    CASE WHEN fetch_seq % 23 = 1 THEN NULL WHEN fetch_seq % 23 = 2 THEN -fetch_seq WHEN fetch_seq % 23 IN (3, 4) THEN fetch_seq // 23 ELSE fetch_seq END AS number,
+    fetch_seq % 23 = 5 AS bare, triage_outcome, triage_code, description, identifier = '///' AND fetch_seq % 23 NOT IN (3, 4) AS empty
+  FROM triaged),
+judged AS (
+  SELECT *,
+    CASE WHEN triage_outcome <> 'fetched' THEN triage_code
+         WHEN description IS NULL THEN 'ValidationError' WHEN empty THEN 'ValueError'
+         WHEN bare OR number IS NULL OR number < 0 THEN 'ValidationError' END AS code
+  FROM bent),
+counted AS (
+  SELECT *, triage_outcome = 'fetched' AND code IS NULL
+    AND count(*) FILTER (WHERE triage_outcome = 'fetched' AND code IS NULL) OVER (PARTITION BY identifier, number) > 1 AS twice
+  FROM judged)
+SELECT CASE WHEN triage_outcome = 'unchanged' THEN 'unchanged' WHEN triage_outcome = 'failed' OR code IS NOT NULL OR twice THEN 'failed' ELSE 'stored' END AS outcome,
+  CASE WHEN twice THEN 'ValidationError' ELSE code END AS error_code, count(*) AS captures
+FROM counted GROUP BY ALL""",
+)
+def capture_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts of which some lack number or payload, or share identity and number: each has its row."""
+    n = F.col("fetch_seq")
+    kind, group = n % 23, F.floor(n / 23)
+    identifier = F.when(kind.isin(3, 4), F.concat(F.lit("twin "), group)).when(F.col("identifier") == "///", "///")
+    bent = fetches(spark, sf_dir).drop("ts").withColumns(
+        {
+            "body": F.lit("Contract"),
+            "identifier": identifier.otherwise(F.concat("identifier", F.lit(" "), n)),
+            "payload": F.when(kind != 5, F.col("payload")),
+            "fetch_seq": F.when(kind == 1, None).when(kind == 2, -n).when(kind.isin(3, 4), group).otherwise(n),
+        }
+    )
+    decided = decide(bent, no_landing(spark))
+    return decided.groupBy("outcome", "error_code").agg(F.count("*").alias("captures"))
+
+
 _SPLIT = f"""{DECIDED},
 seen AS (SELECT body, identifier, min(ts) AS first_ts, max(ts) AS last_ts FROM decided GROUP BY body, identifier)
 """

@@ -173,6 +173,25 @@ def document_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "hostile_listings",
+    f"""WITH {CARDS}
+SELECT listing_url AS url, count(*) AS cards,
+  count(*) FILTER (WHERE document_url LIKE 'https://decisions.example.test/en/cases/%') AS own_links, CAST(0 AS BIGINT) AS failures
+FROM cards GROUP BY listing_url""",
+)
+def hostile_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages of which a third declares a charset that cannot decode, another a base that is no URL."""
+    number = F.crc32("url") % 3
+    head = F.when(number == 0, "<meta charset=undefined>").when(number == 1, '<base href="http://[x">').otherwise("")
+    pages = listing_pages(spark, sf_dir).withColumn("payload", F.concat(F.encode(head, "UTF-8"), "payload"))
+    listings = frontier.read_listings(pages)
+    own = F.filter("listing.cards", lambda c: c["document_url"].startswith("https://decisions.example.test/en/cases/"))
+    failed = frontier.unreadable_listings(listings).groupBy("url").agg(F.count("*").alias("failures"))
+    counted = listings.select("url", F.size("listing.cards").cast("bigint").alias("cards"), F.size(own).cast("bigint").alias("own_links"))
+    return counted.join(failed, "url", "left").na.fill(0, ["failures"])
+
+
 @query(
     "suppress_requests",
     """
@@ -180,10 +199,10 @@ WITH links AS (
   SELECT page_id, generate_subscripts(hrefs, 1) AS pos, unnest(hrefs) AS href, url
   FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages)),
 requests AS (
-  SELECT page_id * 1000 + pos AS request, regexp_extract(url, '^https?://[^/]+') || href AS document_url FROM links)
-SELECT request, document_url,
+  SELECT page_id, pos, regexp_extract(url, '^https?://[^/]+') || href AS document_url FROM links)
+SELECT page_id, pos, document_url,
   CASE WHEN NOT regexp_matches(document_url, '^https?://([^/]*\\.)?example\\.com/') THEN 'offsite'
-       WHEN row_number() OVER (PARTITION BY document_url ORDER BY request) > 1 THEN 'duplicate' END AS suppressed
+       WHEN row_number() OVER (PARTITION BY document_url ORDER BY page_id, pos) > 1 THEN 'duplicate' END AS suppressed
 FROM requests""",
 )
 def suppress_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,10 +213,11 @@ def suppress_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
     links = table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
     requests = links.select(
-        (F.col("page_id") * 1000 + F.col("pos") + 1).alias("request"),
+        F.struct("page_id", (F.col("pos") + 1).cast("bigint").alias("pos")).alias("request"),
         absolute_url(F.col("url"), F.col("href")).alias("document_url"),
     )
-    return frontier.suppress_requests(requests, "request", SourceProfile(allowed_domain="example.com"))
+    rows = frontier.suppress_requests(requests, "request", SourceProfile(allowed_domain="example.com"))
+    return rows.select("request.*", "document_url", "suppressed")
 
 
 @query(
@@ -215,9 +235,9 @@ def rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
     "retry_worklist",
     f"""WITH {FETCHES},
 visits AS (SELECT document_url || '?day=' || date AS document_url, fetch_seq, status FROM fetches)
-SELECT document_url, count(*) AS attempts, arg_max(coalesce(status, -1), fetch_seq) AS last_status
+SELECT document_url, count(*) AS attempts, nullif(arg_max(coalesce(status, -1), fetch_seq), -1) AS last_status
 FROM visits GROUP BY document_url
-HAVING count(*) <= 3 AND arg_max(coalesce(status, -1), fetch_seq) IN (500, 502, 503, 504, 522, 524, 408, 429)""",
+HAVING count(*) <= 3 AND arg_max(coalesce(status, -1), fetch_seq) IN (-1, 500, 502, 503, 504, 522, 524, 408, 429)""",
 )
 def retry_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day's visits to one document are the attempts of one request."""

@@ -31,10 +31,10 @@ def scope_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH links AS (
   SELECT page_id, generate_subscripts(hrefs, 1) AS pos, unnest(hrefs) AS href, url
   FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages)),
-requests AS (SELECT page_id * 1000 + pos AS request, regexp_extract(url, '^https?://[^/]+') || href AS document_url FROM links),
+requests AS (SELECT page_id, pos, regexp_extract(url, '^https?://[^/]+') || href AS document_url FROM links),
 marked AS (
   SELECT split_part(document_url, ':', 1) AS body, 'all' AS partition,
-    CASE WHEN NOT regexp_matches(document_url, '^https?://([^/]*\\.)?example\\.com/') OR row_number() OVER (PARTITION BY document_url ORDER BY request) > 1
+    CASE WHEN NOT regexp_matches(document_url, '^https?://([^/]*\\.)?example\\.com/') OR row_number() OVER (PARTITION BY document_url ORDER BY page_id, pos) > 1
       THEN 'skipped' ELSE 'stored' END AS outcome FROM requests)
 SELECT body, partition, count(*) AS records_found, count(*) FILTER (WHERE outcome = 'stored') AS records_scraped,
   CAST(0 AS BIGINT) AS failed, count(*) FILTER (WHERE outcome = 'skipped') AS skipped

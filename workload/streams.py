@@ -35,6 +35,24 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_two_sources",
+    f"""WITH {DECIDED}
+SELECT body, identifier, description, date, partition_date, file_path, file_hash, http_etag, document_type FROM landing""",
+)
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams into one store, each with a checkpoint and batch numbers of its own."""
+    store = Store(spark, workspace(spark, "stream-store"))
+    attempts = fetches_of(_event_stream(spark, sf_dir)).drop("ts")
+    for part in (0, 1):
+        arriving = attempts.where(F.crc32("identifier") % 2 == part)
+        start_ingest(arriving, store, workspace(spark, "stream-state"), AS_OF).awaitTermination()
+    return store.read("landing").select(
+        "body", "identifier", "description", "date", "partition_date", "file_path", "file_hash",
+        "http_etag", "document_type",
+    )
+
+
 @query(
     "stream_scope_stats",
     f"WITH {FETCHES} SELECT body, partition, {_COUNTS} FROM checked GROUP BY body, partition",
