@@ -16,7 +16,9 @@ def _events(spark, scopes):
 def test_run_totals_are_scope_sums(spark):
     scopes = stats.scope_stats(_events(spark, [("A", "p", 8, 2), ("B", "p", 5, 0), (None, None, 0, 3)]))
     total = stats.run_summary(scopes).head()
-    assert (total.records_found, total.records_scraped, total.failed) == (15, 13, 2)
+    # The records without scope count as well, under a scope of their own.
+    assert (total.records_found, total.records_scraped, total.failed) == (18, 13, 5)
+    assert scopes.where("body = 'None' and partition = 'None'").head().failed == 3
     assert all(r.balanced for r in stats.scope_balance(scopes).collect())
 
 
