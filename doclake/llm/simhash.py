@@ -50,17 +50,23 @@ SMALL = 16
 # ---- fingerprints
 
 
-def fingerprint(text: str) -> int:
-    """The 64-bit SimHash of word shingles, 0 without words."""
+def shingles_of(text: str, shingle: int) -> list[bytes]:
+    """The runs of ``shingle`` words, lower-cased; all words if there are fewer, none without words."""
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
-    if len(words) <= SHINGLE:
-        shingles = [joined]
-    else:
-        starts = [0, *accumulate(len(w) + 1 for w in words)]
-        shingles = [joined[a : b - 1] for a, b in zip(starts, starts[SHINGLE:], strict=False)]
+    if len(words) <= shingle:
+        return [joined]
+    starts = [0, *accumulate(len(w) + 1 for w in words)]
+    return [joined[a : b - 1] for a, b in zip(starts, starts[shingle:], strict=False)]
+
+
+def fingerprint(text: str) -> int:
+    """The 64-bit SimHash of word shingles, 0 without words."""
+    shingles = shingles_of(text, SHINGLE)
+    if not shingles:
+        return 0
     counts = np.zeros(64, np.int64)
     for at in range(0, len(shingles), 1 << 16):
         part = shingles[at : at + (1 << 16)]
