@@ -2,13 +2,19 @@
 
 Each language has a raw-content dictionary of lower-cased sample text. A text is compressed with every
 dictionary, block by block so that the dictionary counts to the end of a long text, and the
-language with the smallest total wins. If the runner-up is almost as small, the text is rejected.
+language with the smallest total wins.
+
+A text is rejected if the winner's dictionary saves too little of its size without dictionary (it is
+in no learned language), or the runner-up is almost as small as the winner. Both are shares of the
+size without dictionary, and so do not depend on length or repetition. The bounds come from texts
+of the learning documents, sized with dictionaries of the other documents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -27,38 +33,74 @@ BLOCK = 1 << 11
 SHORT = 1 << 8
 PARTS = 8
 LEVEL = 5
-# Bytes by which the runner-up has to be larger; otherwise the text is rejected.
-LEAST_MARGIN = 0.1
+# Texts per language by which the bounds are calibrated, and characters of each.
+CALIBRATED = 100
+CALIBRATED_CHARS = 1 << 12
+# A bound is this share of the quantile of the calibrating texts.
+QUANTILE, ALLOWED = 0.05, 1 / 3
+# Least saving by the winner, and least margin to the runner-up, where nothing calibrates them.
+LEAST_SAVED, LEAST_MARGIN = 0.02, 0.025
 UNKNOWN = "und"
 # Between the pieces of a dictionary.
 SEPARATOR = b"\n\n"
 
 
-def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> dict[str, bytes]:
+class Learned(dict):
+    """Dictionaries by language, and ``limits``: the least saving and the least margin."""
+
+    limits = (LEAST_SAVED, LEAST_MARGIN)
+
+
+def _dictionaries(rows: list[tuple[str, str]]) -> dict[str, bytes]:
+    pieces: dict[str, dict[bytes, None]] = {}
+    for name, piece in rows:
+        pieces.setdefault(name, {})[piece.lower().encode()] = None  # equal pieces count once
+    most = DICTIONARY_BYTES // max(1, len(pieces))
+    return {name: SEPARATOR.join(found)[-most:] for name, found in pieces.items()}
+
+
+def _limits(rows: list) -> tuple[float, float]:
+    """Bounds by texts whose own pieces are not in the dictionaries that size them."""
+    saved, margins = [], []
+    for own in (0, 1):
+        sizer = Sizer(_dictionaries([(r.lang, r.piece) for r in rows if r.n % 2 != own]))
+        for r in rows:
+            if r.start is not None and r.n % 2 == own and r.lang in sizer.names and any(map(str.isalpha, r.start)):
+                saving, margin = sizer.shares(r.start)[1:]
+                saved.append(saving)
+                margins.append(margin)
+    pairs = ((saved, LEAST_SAVED), (margins, LEAST_MARGIN))
+    # A bound of nothing would reject nothing: half of what holds without calibration is the least.
+    return tuple(max(ALLOWED * float(np.quantile(v, QUANTILE)), least / 2) if v else least for v, least in pairs)
+
+
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Learned:
     """A dictionary per language, of the middle of the ROWS documents whose id hashes lowest.
 
     Rows with null text or language are not used. The sample is bounded: ROWS x CHARS characters a
-    language, and DICTIONARY_BYTES in all.
+    language, and DICTIONARY_BYTES in all; the limits are by CALIBRATED of the rows.
     """
     value = column(text)
     middle = F.substring(value, (F.greatest(F.lit(0), F.length(value) - CHARS) / 2).cast("int") + 1, F.lit(CHARS))
     pool = docs.where(value.isNotNull() & (value != "") & column(lang).isNotNull()).select(
-        column(lang).alias("lang"), middle.alias("piece"), F.xxhash64(column(doc_id)).alias("place")
+        column(lang).alias("lang"), middle.alias("piece"), F.substring(value, 1, CALIBRATED_CHARS).alias("start"), F.xxhash64(column(doc_id)).alias("place")
     )
     first = Window.partitionBy("lang").orderBy("place", "piece")
-    rows = pool.withColumn("n", F.row_number().over(first)).where(F.col("n") <= ROWS).orderBy("lang", "n").collect()
-    pieces: dict[str, dict[bytes, None]] = {}
-    for row in rows:
-        pieces.setdefault(row.lang, {})[row.piece.lower().encode()] = None  # equal pieces count once
-    most = DICTIONARY_BYTES // max(1, len(pieces))
-    return {name: SEPARATOR.join(found)[-most:] for name, found in pieces.items()}
+    sample = pool.withColumn("n", F.row_number().over(first)).where(F.col("n") <= ROWS)
+    rows = sample.withColumn("start", F.when(F.col("n") <= CALIBRATED, F.col("start"))).orderBy("lang", "n").collect()
+    learned = Learned(_dictionaries([(r.lang, r.piece) for r in rows]))
+    learned.limits = _limits(rows)
+    return learned
 
 
 class Sizer:
     """Compressed sizes of a text by language."""
 
-    def __init__(self, dictionaries: dict[str, bytes]) -> None:
+    def __init__(self, dictionaries: dict[str, bytes], limits: tuple[float, float] | None = None) -> None:
         self.names = sorted(dictionaries)
+        self.limits = limits or getattr(dictionaries, "limits", Learned.limits)
+        self.plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False).compress
+        self.header = len(self.plain(b""))
         self.whole = [self.compressor(dictionaries[name]) for name in self.names]
         self.parts = []
         for name in self.names:
@@ -79,16 +121,24 @@ class Sizer:
             sizes = [(size + mean) / 2 for size, mean in zip(sizes, means, strict=True)]
         return sizes
 
+    def shares(self, text: str) -> tuple[list[float], float, float]:
+        """Sizes, and what the winner saves and the runner-up loses, as shares of the plain size."""
+        raw = text.lower().encode()
+        sizes = self.sizes(raw)
+        # Without the header of each block, which is half of a very short one.
+        plain = sum(len(self.plain(raw[at : at + BLOCK])) - self.header for at in range(0, len(raw), BLOCK))
+        least, *others = sorted(sizes)
+        return sizes, (plain + self.header * -(-len(raw) // BLOCK) - least) / plain, (others[0] - least) / plain if others else 1.0
+
     def predict(self, text: str) -> tuple[str, float, bool]:
-        """Language, score, and whether the margin is too narrow."""
+        """Language, score, and whether the text is rejected."""
         if not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
-        sizes = self.sizes(text.lower().encode())
+        sizes, saved, margin = self.shares(text)
         least = min(sizes)
         # Each byte more halves a language's weight.
         score = 1.0 / sum(2.0 ** (least - size) for size in sizes)
-        margin = min([size - least for at, size in enumerate(sizes) if at != sizes.index(least)], default=LEAST_MARGIN)
-        return self.names[sizes.index(least)], score, margin < LEAST_MARGIN
+        return self.names[sizes.index(least)], score, saved < self.limits[0] or margin < self.limits[1]
 
     def step(self, column: pa.Array) -> list[pa.Array]:
         found = [self.predict(value.as_py() or "") for value in column]
@@ -97,16 +147,18 @@ class Sizer:
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Adds ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_narrow``, whether the margin is too narrow.
+    """Adds ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_narrow``, whether the text is rejected:
+    the winner saves too little, or its margin is too narrow.
 
     A text that is null, empty or without letter, and any text if no language was learned, is
     ``und`` with score 0, and counts as narrow. Equal sizes go to the name that comes first. Input
     columns (or ``keep`` of them) are kept, and replaced where they have a new column's name;
     repeated rows are judged each; an empty table gives no rows.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
+    limits = getattr(dictionaries, "limits", Learned.limits)
+    shared = docs.sparkSession.sparkContext.broadcast((dict(dictionaries), limits))
 
     def start() -> Step:
-        return Sizer(shared.value).step
+        return Sizer(*shared.value).step
 
     return add_columns(docs, start, "lang_pred string, lang_score double, lang_narrow boolean", [text], keep)
