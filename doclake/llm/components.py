@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from doclake.llm.common import column, free_name
 from doclake.sources.workspace import materialize
 
 ROUNDS = 60
@@ -49,3 +52,21 @@ def connected(edges: DataFrame) -> DataFrame:
         raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+def first_of_each(docs: DataFrame, grouping: Callable[[DataFrame], DataFrame], doc_id: str, text: str) -> DataFrame:
+    """One row of each component: that of the smallest id, a null id after all others.
+
+    ``grouping`` makes ``row, component`` of ``row, text``. Rows are told apart by a written key, not
+    by their id: rows that repeat an id stay if they are in different components. Of several rows
+    with the smallest id the one whose text hashes lowest stays, and of equal texts the first read.
+    """
+    key = free_name(docs, "_row")
+    written = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    value = F.coalesce(column(text), F.lit(""))
+    grouped = grouping(written.select(F.col(key).alias("row"), value.alias("text")))
+    place = F.struct(column(doc_id).isNull().alias("last"), column(doc_id).alias("id"), F.xxhash64(value).alias("hash"), F.col(key).alias("row"))
+    placed = written.select(F.col(key).alias("row"), place.alias("place"))
+    chosen = grouped.join(placed, "row").groupBy("component").agg(F.min("place").alias("place"))
+    kept = materialize(chosen.select(F.col("place.row").alias(key)), "kept-rows")
+    return written.join(kept, key, "left_semi").select(*[column(c) for c in docs.columns])

@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doclake.llm.common import Step, add_columns, column, free_name
-from doclake.llm.components import connected
+from doclake.llm.common import Step, add_columns, column
+from doclake.llm.components import connected, first_of_each
 from doclake.sources.workspace import materialize
 
 SHINGLE = 4
@@ -261,6 +261,13 @@ def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return placed.mapInArrow(_links, "a long, b long")
 
 
+def _rooted(distinct: DataFrame) -> DataFrame:
+    """Distinct fingerprints with ``root``, the least fingerprint of their component."""
+    joined = materialize(links(distinct.select("simhash")).distinct(), "simhash-links")
+    roots = connected(joined).withColumnRenamed("node", "simhash")
+    return distinct.join(roots, "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+
+
 def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: the id, ``simhash`` and ``component_id``.
 
@@ -272,25 +279,18 @@ def group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     """
     slim = materialize(fingerprints(docs.select(column(doc_id).alias("doc_id"), column(text).alias("text")), "text", ["doc_id"]), "fingerprints")
     distinct = materialize(slim.groupBy("simhash").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    joined = materialize(links(distinct.select("simhash")).distinct(), "simhash-links")
-    roots = connected(joined).withColumnRenamed("node", "simhash")
-    rooted = distinct.join(roots, "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+    rooted = _rooted(distinct)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(least, "root").select("simhash", "component_id")
     return slim.join(named, "simhash").select(F.col("doc_id").alias(doc_id), "simhash", "component_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that represent their component: the one with the smallest id.
+    """One row of each component, see ``first_of_each``."""
 
-    Of rows that repeat an id one stays. Rows without id stay only if their component has no id at
-    all, one per fingerprint.
-    """
-    grouped = materialize(group(docs, doc_id, text), "components")
-    key, own = free_name(docs, "_kept"), free_name(docs, "_simhash")
-    kept = grouped.where(column(doc_id) == F.col("component_id")).select(column(doc_id).alias(key)).distinct()
-    named = docs.join(kept, column(doc_id) == F.col(key), "left_semi").dropDuplicates([doc_id])
-    bare = fingerprints(docs.where(column(doc_id).isNull()), text, name=own)
-    alone = grouped.where(F.col("component_id").isNull()).select(F.col("simhash").alias(key)).distinct()
-    unnamed = bare.join(alone, F.col(own) == F.col(key), "left_semi").dropDuplicates([own]).drop(own)
-    return named.unionByName(unnamed)
+    def grouping(rows: DataFrame) -> DataFrame:
+        slim = materialize(fingerprints(rows, "text", ["row"]), "fingerprints")
+        rooted = _rooted(materialize(slim.select("simhash").distinct(), "distinct-fingerprints"))
+        return slim.join(rooted, "simhash").select("row", F.col("root").alias("component"))
+
+    return first_of_each(docs, grouping, doc_id, text)

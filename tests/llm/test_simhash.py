@@ -167,3 +167,12 @@ def test_registered_query(spark):
     component = brute_components(dict(sorted(prints.items())))
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op1_simhash_dedup(spark, SMALL).collect()}
     assert got == {i: (f"{prints[i]:016x}", component[i]) for i in docs}
+
+
+def test_rows_that_repeat_an_id_are_kept_by_component(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(400)) for c in "ab")
+    rows = [(8, a), (8, b), (3, a), (8, a + " more"), (None, "x y z"), (None, "no id " + b[::-1]), (None, "No id " + b[::-1])]
+    assert (brute_fingerprint(a) ^ brute_fingerprint(a + " more")).bit_count() <= 4
+    for order in (rows, rows[::-1]):
+        got = simhash.keep_one(spark.createDataFrame(order, "doc_id long, text string")).collect()
+        assert sorted(((r.doc_id, r.text.lower()) for r in got), key=repr) == sorted([(3, a), (8, b), (None, "x y z"), (None, "no id " + b[::-1])], key=repr)
