@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from doclake.llm.common import add_columns
-from doclake.llm.topk import QUERIES_PER_BLOCK, ROWS_PER_BLOCK, finite, in_blocks, lists, merged, smallest
+from doclake.llm.topk import QUERIES_PER_BLOCK, ROWS_PER_BLOCK, distinct_queries, finite, in_blocks, lists, merged, numbered, smallest
 
 # Bounds of the sample the pivots are chosen from, and of the list kept of each vector.
 PIVOTS = 256
@@ -27,7 +27,7 @@ NEAREST = 128
 SHARE = 0.2
 AT_LEAST = 1000
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_row long, vec_id long, score double"
 
 
 def vectors(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -94,7 +94,7 @@ def index(rows: DataFrame, pivots: np.ndarray, nearest: int = NEAREST) -> DataFr
 
 def _block(queries: pa.Table, rows: pa.Table, k: int, share: float, at_least: int) -> pa.Table:
     ids, matrix = rows["id"].to_numpy(), _matrix(rows["vector"])
-    q_ids, q_matrix = queries["id"].to_numpy(), _matrix(queries["vector"], matrix.shape[1])
+    q_ids, q_rows, q_matrix = queries["id"].to_numpy(), queries["row"].to_numpy(), _matrix(queries["vector"], matrix.shape[1])
     if q_matrix.shape[1] > matrix.shape[1]:
         matrix = np.pad(matrix, ((0, 0), (0, q_matrix.shape[1] - matrix.shape[1])))
     norms, q_norms = _norms(matrix), _norms(q_matrix)
@@ -119,8 +119,8 @@ def _block(queries: pa.Table, rows: pa.Table, k: int, share: float, at_least: in
         # Row by row in the same order of additions: equal vectors have equal scores.
         score = (matrix[near] * q_matrix[i]).sum(axis=1) / (norms[near] * q_norms[i])
         best = smallest(-score, ids[near], k)
-        out.append((np.full(len(best), q_ids[i]), ids[near][best], score[best]))
-    return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+        out.append((np.full(len(best), q_rows[i]), ids[near][best], score[best]))
+    return pa.table(dict(zip(("query_row", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
 
 def search(
@@ -137,18 +137,20 @@ def search(
     Both sides come from ``index`` with the same pivots. A row with the query's id is its own and is
     left out; fewer rows than k: all of them. Ties go to the smaller id, also where a block's share
     is cut, so of many equal vectors the smallest ids are found. Vectors of different lengths are
-    compared as if the shorter had zeros. A repeated id is judged row by row. Empty tables give no
+    compared as if the shorter had zeros. A repeated id is judged row by row: every query row has a list
+    of its own, equal rows equal lists. Empty tables give no
     rows. Columns besides id, vector and places are not read.
     """
-    sides = [side.select("id", "vector", "places") for side in (queries, indexed)]
+    asked, searched = (side.select("id", "vector", "places") for side in (queries, indexed))
+    asked, searched = distinct_queries(asked), numbered(searched)
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            empty = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+            empty = {"query_row": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
             return pa.table({n: pa.array([], t) for n, t in empty.items()})
         return _block(left, right, k, share, at_least)
 
-    found = in_blocks(*sides, rows_per_block, queries_per_block).applyInArrow(block, FOUND)
-    return merged(found, k)
+    found = in_blocks(asked, searched, rows_per_block, queries_per_block).applyInArrow(block, FOUND)
+    return merged(found, asked, k)
 
 

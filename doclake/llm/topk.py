@@ -17,10 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from doclake.sources.workspace import materialize
+
 ROWS_PER_BLOCK = 8192
 QUERIES_PER_BLOCK = 1024
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_row long, vec_id long, score long"
 
 
 def finite(vector: str) -> Column:
@@ -45,14 +47,36 @@ def sparse_rows(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> Dat
     )
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """The rows, written, with ``row``: their number from 0 on."""
+    written = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "numbered-rows")
+    # The number within a partition is in the lower 33 bits, and without gaps.
+    sizes = written.groupBy(F.shiftright("row", 33).alias("part")).count().orderBy("part").collect()
+    starts, at = [], 0
+    for size in sizes:
+        starts.append((size["part"], at))
+        at += size["count"]
+    offsets = written.sparkSession.createDataFrame(starts, "part long, start long")
+    placed = written.join(F.broadcast(offsets), F.shiftright("row", 33) == F.col("part"))
+    return placed.withColumn("row", F.col("start") + F.col("row").bitwiseAND((1 << 33) - 1)).drop("part", "start")
+
+
+def distinct_queries(queries: DataFrame) -> DataFrame:
+    """Different query rows, numbered, with ``times``, how often each is there."""
+    return numbered(queries.groupBy(*queries.columns).agg(F.count("*").alias("times")))
+
+
 def in_blocks(queries: DataFrame, rows: DataFrame, rows_per_block: int, queries_per_block: int):
-    """Both sides grouped by (query block, row block); every pair of blocks meets once."""
+    """Both sides, numbered, grouped by (query block, row block); every pair of blocks meets once.
+
+    Blocks are dealt by the rows' numbers: none is larger than its bound, whatever the ids are.
+    """
     row_blocks = max(1, math.ceil(rows.count() / rows_per_block))
     query_blocks = max(1, math.ceil(queries.count() / queries_per_block))
 
     def dealt(side: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
         return side.withColumns(
-            {own: F.pmod(F.xxhash64("id"), F.lit(blocks)), other: F.explode(F.sequence(F.lit(0), F.lit(others - 1)))}
+            {own: F.pmod(F.col("row"), F.lit(blocks)), other: F.explode(F.sequence(F.lit(0), F.lit(others - 1)))}
         ).withColumn(other, F.col(other).cast("long"))
 
     keys = ("query_block", "row_block")
@@ -103,7 +127,7 @@ def _block(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
     wide = high * q_high * max(1, int(q_lengths.max(initial=0))) >= 2**62
     kind = object if wide else np.int64
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for query, end, length in zip(q_ids, q_ends, q_lengths, strict=True):
+    for query, number, end, length in zip(q_ids, queries["row"].to_numpy(), q_ends, q_lengths, strict=True):
         scores = np.zeros(len(ids), kind)
         for term, weight in zip(q_terms[end - length : end].tolist(), q_weights[end - length : end].tolist(), strict=True):
             if term in posting:
@@ -113,17 +137,19 @@ def _block(queries: pa.Table, rows: pa.Table, k: int) -> pa.Table:
             scores = np.array([min(max(x, -(2**63) + 1), 2**63 - 1) for x in scores], np.int64)
         others = np.flatnonzero(ids != query)
         best = others[smallest(-scores[others], ids[others], k)]
-        out.append((np.full(len(best), query), ids[best], scores[best]))
+        out.append((np.full(len(best), number), ids[best], scores[best]))
     columns = [np.concatenate(c).astype(np.int64) if out else np.zeros(0, np.int64) for c in zip(*out, strict=True)] or [np.zeros(0, np.int64)] * 3
-    return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+    return pa.table(dict(zip(("query_row", "vec_id", "score"), columns, strict=True)))
 
 
-def merged(found: DataFrame, k: int) -> DataFrame:
-    """The best k of the blocks' lists: highest score first, ties to the smaller id."""
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-    )
+def merged(found: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """The best k of the blocks' lists for every query row: highest score first, ties to the smaller
+    id. A query row that repeats has its list as often."""
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    asked = queries.select(F.col("row").alias("query_row"), F.col("id").alias("query_id"), "times")
+    back = ranked.join(asked, "query_row").withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    return back.select("query_id", "rank", "vec_id", "score")
 
 
 def top_k(
@@ -138,16 +164,17 @@ def top_k(
     A row with the query's id is the query's own and is left out. Fewer rows than k: all of them.
     Ties go to the smaller id. Rows without common term score 0 and take part. A row without terms
     (an empty vector) scores 0 everywhere. Terms beyond a shorter vector count as 0. A repeated id
-    is judged row by row, and a query id that repeats has one list for all its rows. Scores beyond
-    a long are cut to its range. Empty tables give no rows. Columns besides id, terms and weights
+    is judged row by row: every query row has a list of its own, equal rows equal lists. Scores
+    beyond a long are cut to its range. Empty tables give no rows. Columns besides id, terms and weights
     are not read. A term that a row repeats adds up.
     """
-    sides = [side.select("id", "terms", "weights") for side in (queries, rows)]
+    asked, searched = (side.select("id", "terms", "weights") for side in (queries, rows))
+    asked, searched = distinct_queries(asked), numbered(searched)
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
-            return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "vec_id", "score")})
+            return pa.table({n: pa.array([], pa.int64()) for n in ("query_row", "vec_id", "score")})
         return _block(left, right, k)
 
-    found = in_blocks(*sides, rows_per_block, queries_per_block).applyInArrow(block, FOUND)
-    return merged(found, k)
+    found = in_blocks(asked, searched, rows_per_block, queries_per_block).applyInArrow(block, FOUND)
+    return merged(found, asked, k)
