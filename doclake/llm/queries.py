@@ -7,9 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.llm import bpe, langid, lm, mixing, permutation, quality, simhash, token_counts, topk, urls
+from doclake.llm import bpe, langid, lm, mixing, permutation, quality, resample, simhash, spelling, token_counts, topk, urls
 from doclake.llm.common import held_out, table
-from doclake.llm.sql import MIX_SOURCES, URL_FILTER
+from doclake.llm.sql import IMPORTANCE_RESAMPLING, MIX_SOURCES, SPELLING_VARIANTS, URL_FILTER
 from doclake.sources.workspace import materialize
 
 
@@ -90,6 +90,14 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.search(indexed.where("id % 50 = 0"), indexed, 5)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_lm_scores": op2_lm_scores,
@@ -101,7 +109,14 @@ QUERIES = {
     "op8_quality_scores": op8_quality_scores,
     "op9_language_id": op9_language_id,
     "op10_permutation_index": op10_permutation_index,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op5_url_filter": URL_FILTER, "op7_mix_sources": MIX_SOURCES}
+ORACLES = {
+    "op5_url_filter": URL_FILTER,
+    "op7_mix_sources": MIX_SOURCES,
+    "op11_spelling_variants": SPELLING_VARIANTS,
+    "op13_importance_resampling": IMPORTANCE_RESAMPLING,
+}

@@ -80,3 +80,86 @@ select doc_id, size, source_size, target,
        (times * size + greatest(0, least(size, round(target)::bigint - times * source_size - start)))::bigint as taken
 from placed
 """
+
+# CRC-32, byte by byte, of the column ``bytes`` (hexadecimal) of the rows of a table ``keyed``.
+_CHECKSUM = r"""
+crc as (
+  select list(list_reduce(list_prepend(i, range(8)),
+           lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as entries
+  from range(256) as t(i)),
+summed as (
+  select keyed.*, xor(4294967295, list_reduce(
+           list_prepend(4294967295::bigint, list_transform(range(1, length(bytes), 2),
+             lambda i: 16 * (instr('0123456789ABCDEF', bytes[i]) - 1) + instr('0123456789ABCDEF', bytes[i + 1]) - 1)),
+           lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))) as checksum
+  from keyed, crc)"""
+
+SPELLING_VARIANTS = (
+    r"""
+with recursive found as (
+  select coalesce(doc_id::varchar, '') as id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+  from documents),
+keyed as (select id, run, count(*) as times, hex(encode(id || ':' || run)) as bytes from found group by id, run),"""
+    + _CHECKSUM
+    + r""",
+typed as (
+  select times, case when checksum % 97 <> 0 then run
+    else run[:checksum % length(run)] || run[checksum % length(run) + 2:] end as word
+  from summed),
+words as (
+  select word, sum(times)::bigint as n from typed where length(word) >= 5 group by word having sum(times) >= 3),
+gaps as (select word, i, word[:i - 1] || word[i + 1:] as gap from words, lateral (select unnest(range(1, length(word) + 1)) as i)),
+near as (
+  select a.word, b.word as near from gaps a join gaps b on a.gap = b.gap and a.i = b.i and a.word <> b.word
+  union select word, gap from gaps where gap in (select word from words)
+  union select gap, word from gaps where gap in (select word from words)),
+best as (
+  select near.word, count(*) as n_near, min((-w.n, near.near)) as best
+  from near join words w on w.word = near.near group by near.word),
+forms as (
+  select words.word, n, coalesce(n_near, 0)::bigint as n_near,
+         case when -best[1] >= 2 * n then best[2] end as form, case when -best[1] >= 2 * n then -best[1] end as form_n
+  from words left join best using (word)),
+chains as (
+  select word, word as reached from forms
+  union all
+  select chains.word, form from chains join forms on forms.word = reached where form is not null)
+select forms.word, forms.form, reached as root, forms.n, forms.n_near, forms.form_n::bigint as form_n
+from chains join forms ends on ends.word = reached and ends.form is null join forms on forms.word = chains.word
+"""
+)
+
+IMPORTANCE_RESAMPLING = (
+    r"""
+with texts as (
+  select doc_id, row_number() over () as line, true as own, text from documents
+  union all select null, null, false, text from benchmark),
+found as (
+  select own, line, unnest(regexp_extract_all(translate(text,
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+  from texts),
+counted as (select own, line, word, count(*) as n from found group by all),
+keyed as (select distinct word, hex(encode(word)) as bytes from counted),"""
+    + _CHECKSUM
+    + r""",
+features as (select own, line, checksum % 10000 as bucket, n from counted join summed using (word)),
+totals as (
+  select coalesce(sum(n) filter (own), 0)::double as s_all, coalesce(sum(n) filter (not own), 0)::double as t_all from features),
+gains as (
+  select bucket, floor(1000 * ln((coalesce(sum(n) filter (not own), 0) + 1.0::double) * (s_all + 10000)
+         / ((coalesce(sum(n) filter (own), 0) + 1.0::double) * (t_all + 10000))))::bigint as gain
+  from features, totals group by bucket, s_all, t_all),
+weights as (select line, sum(n) as n_features, sum(n * gain) as weight from features join gains using (bucket) where own group by line),
+scored as (
+  select doc_id, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+         coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || coalesce(doc_id::varchar, ''))[:8])::bigint + 0.5::double)
+           / 4294967296)))::bigint as score
+  from texts left join weights using (line) where own),
+drawn as (
+  select *, n_features >= 20 as long, row_number() over (partition by n_features >= 20
+         order by score desc, doc_id nulls last, weight, n_features) as place, count(*) over (partition by n_features >= 20) as n
+  from scored)
+select doc_id, n_features, weight, score, case when long and place <= 10 * n // 100 then place end as rank from drawn
+"""
+)
