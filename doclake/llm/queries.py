@@ -7,9 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.llm import bpe, langid, lm, mixing, permutation, quality, resample, simhash, spelling, token_counts, topk, urls
+from doclake.llm import bpe, jaccard, langid, lm, mixing, permutation, quality, resample, simhash, spelling, token_counts, topk, urls
 from doclake.llm.common import held_out, table
-from doclake.llm.sql import IMPORTANCE_RESAMPLING, MIX_SOURCES, SPELLING_VARIANTS, URL_FILTER
+from doclake.llm.sql import IMPORTANCE_RESAMPLING, JACCARD_JOIN, MIX_SOURCES, SPELLING_VARIANTS, URL_FILTER
 from doclake.sources.workspace import materialize
 
 
@@ -94,6 +94,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.group(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -110,6 +114,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_permutation_index": op10_permutation_index,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_importance_resampling": op13_importance_resampling,
     "pipeline": corpus_pipeline.run,
 }
@@ -118,5 +123,6 @@ ORACLES = {
     "op5_url_filter": URL_FILTER,
     "op7_mix_sources": MIX_SOURCES,
     "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_jaccard_join": JACCARD_JOIN,
     "op13_importance_resampling": IMPORTANCE_RESAMPLING,
 }

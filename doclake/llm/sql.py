@@ -163,3 +163,29 @@ drawn as (
 select doc_id, n_features, weight, score, case when long and place <= 10 * n // 100 then place end as rank from drawn
 """
 )
+
+JACCARD_JOIN = r"""
+with recursive spoken as (
+  select row_number() over () as line, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+'), []) as words
+  from documents),
+sets as (
+  select line, doc_id, list_sort(list_distinct(case
+           when len(words) >= 5 then list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+           when len(words) > 0 then [array_to_string(words, ' ')] else [] end)) as shingles
+  from spoken),
+kinds as (select row_number() over () as kind, shingles, len(shingles) as n, min(doc_id) as first from sets where len(shingles) > 0 group by shingles),
+parts as (select kind, unnest(shingles) as shingle from kinds),
+common as (select a.kind as a, b.kind as b, count(*) as n from parts a join parts b on a.shingle = b.shingle and a.kind < b.kind group by all),
+links as (
+  select a, b from common join kinds k on k.kind = a join kinds l on l.kind = b
+  where 100 * common.n >= 80 * (k.n + l.n - common.n)),
+both as (select a, b from links union select b, a from links),
+reached as (
+  select kind, kind as other from kinds
+  union select reached.kind, b from reached join both on a = other),
+least as (select reached.kind, min(first) as component_id from reached join kinds on kinds.kind = other group by reached.kind)
+select doc_id, len(sets.shingles)::bigint as n_shingles, case when len(sets.shingles) > 0 then component_id else doc_id end as component_id
+from sets left join kinds on kinds.shingles = sets.shingles left join least using (kind)
+"""
