@@ -6,8 +6,12 @@ schedule, a straight line that integrates to the target: fading sources come ear
 late. A copy of a document that begins after x words of its source's demand gets the position t at
 which the integrated schedule reaches x, and the mix is the copies in range-sorted order of t.
 
-The order within a source is that of a checksum. Running sums are made in two levels, within ranges
-of the checksum and over the ranges, so a source with a third of all documents is many windows.
+The order within a source is that of a checksum. Running sums are made in lanes: ranges of rows, not
+of values, in the order of source and checksum. A source with a third of all rows is a third of the
+lanes, and so is an id that repeats that often: a written row number is the last key of the order.
+
+All planning is done on slim rows. Text moves when copies are made: once to meet its positions, and
+once to its place in the mix.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from doclake.llm.common import WORD, column, free_name, without
+from doclake.llm.common import WORD, column, free_name
 from doclake.sources.workspace import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -25,10 +29,6 @@ WEIGHTS = (5, 2, 1)
 RAMPS = (-0.5, 0.0, 0.5)
 BUDGET = 1.5
 MOST = 2.0
-# Hex digits of the checksum that make a range: 16 ** 3 ranges per source.
-RANGE_DIGITS = 3
-
-PLAN = ["source_size", "target", "taken", "copies"]
 
 
 def words(text: Column) -> Column:
@@ -87,47 +87,61 @@ def _position(demand: Column, ramp: Column) -> Column:
     return F.when(below > 0, 2 * demand / below).otherwise(0.0)
 
 
-def plan(documents: DataFrame, shares: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """What the mix takes of every document: its columns, and source_size, target, taken, copies.
+def sizes(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", key: str | None = None) -> DataFrame:
+    """``doc_id, source, size, tie, row``, written once: the slim rows that are planned.
+
+    ``tie`` is a hash of the text, ``row`` a number of the row or the column ``key``.
+    """
+    row = column(key) if key else F.monotonically_increasing_id()
+    slim = documents.select(
+        column(doc_id).alias("doc_id"),
+        column(source).alias("source"),
+        words(column(text)).alias("size"),
+        F.xxhash64(column(text)).alias("tie"),
+        row.alias("row"),
+    )
+    return materialize(slim, "sizes")
+
+
+def plan(slim: DataFrame, shares: DataFrame) -> DataFrame:
+    """What the mix takes of every row of ``sizes``: its columns, and source_size, target, taken, copies.
 
-    ``documents`` has source, size (words) and the id; ``shares`` comes from ``targets``. Every
-    document is taken whole as often as the target covers the whole source; the rest of the target
-    takes the documents that come first by checksum once more, the last one in part, so the words
-    taken of a source add up to its target, rounded. ``copies`` lists position and words of each.
-    Null sources are one source, null ids one checksum; repeated rows are taken as rows. Empty
-    documents are copied as often as the source is covered whole. An input column with the name
-    of an added one is replaced. An empty table gives no rows.
+    ``shares`` comes from ``targets``. Every document is taken whole as often as the target covers
+    the whole source; the rest of the target takes the documents that come first by checksum once
+    more, the last one in part, so the words taken of a source add up to its target, rounded.
+    ``copies`` lists position and words of each. Null sources are one source, null ids one checksum.
+    Rows of one id and size are taken in the order of their texts, and equal rows in any. Empty
+    documents are copied as often as the source is covered whole. An empty table gives no rows.
     """
-    kept = documents.select(*[column(c) for c in without(documents, PLAN)])
-    digest, part, inside, offset = (free_name(kept, n) for n in ("_digest", "_range", "_inside", "_offset"))
-    ramp = free_name(kept, "_ramp")
-    key = F.md5(F.coalesce(column(doc_id).cast("string"), F.lit("")))
-    keyed = kept.withColumn(digest, key).withColumn(part, F.substring(digest, 1, RANGE_DIGITS))
-    ranges = keyed.groupBy("source", part).agg(F.sum("size").alias("_words"))
-    earlier = Window.partitionBy("source").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn(offset, F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
-    ranges = ranges.join(
-        shares.withColumnRenamed("source", "_source").withColumnRenamed("ramp", ramp),
-        F.col("source").eqNullSafe(F.col("_source")),
-    ).select(F.col("source").alias("_source"), F.col(part).alias("_part"), offset, "source_size", "target", ramp)
-
-    before = Window.partitionBy("source", part).orderBy(digest, column(doc_id), "size").rowsBetween(Window.unboundedPreceding, -1)
-    summed = keyed.withColumn(inside, F.coalesce(F.sum("size").over(before), F.lit(0)))
-    placed = summed.join(ranges, F.col("source").eqNullSafe(F.col("_source")) & (F.col(part) == F.col("_part")))
-    start, size, whole = F.col(offset) + F.col(inside), F.col("size"), F.col("source_size")
+    parts = int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = slim.withColumn("digest", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    order = ["digest", "doc_id", "size", "tie", "row"]
+    dealt = keyed.repartitionByRange(parts, "source", *order).withColumn("lane", F.spark_partition_id())
+    dealt = materialize(dealt, "mixing-lanes")
+    # A row per lane, and one more per source that begins inside a lane.
+    lanes = dealt.groupBy("source", "lane").agg(F.sum("size").alias("words"))
+    earlier = Window.partitionBy("source").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    lanes = lanes.withColumn("before", F.coalesce(F.sum("words").over(earlier), F.lit(0)))
+    lanes = lanes.join(shares.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
+    lanes = lanes.select(F.col("source").alias("_source"), F.col("lane").alias("_lane"), "before", "source_size", "target", "ramp")
+
+    inside = Window.partitionBy("source", "lane").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    placed = summed.join(lanes, F.col("source").eqNullSafe(F.col("_source")) & (F.col("lane") == F.col("_lane")))
+    start, size, whole = F.col("before") + F.col("inside"), F.col("size"), F.col("source_size")
     times = F.when(whole > 0, F.floor(F.col("target") / whole)).otherwise(0).cast("long")
     more = F.greatest(F.lit(0), F.least(size, F.round("target").cast("long") - times * whole - start)).cast("long")
 
     def copy(turn: Column, words: Column) -> Column:
         # The last, partial round may lie beyond the target by its rounding.
         demand = F.least(F.lit(1.0), F.when(F.col("target") > 0, (turn * whole + start) / F.col("target")).otherwise(0.0))
-        return F.struct(_position(demand, F.col(ramp)).alias("position"), words.alias("words"))
+        return F.struct(_position(demand, F.col("ramp")).alias("position"), words.alias("words"))
 
     full = F.when(times > 0, F.transform(F.sequence(F.lit(0).cast("long"), times - 1), lambda i: copy(i, size)))
     last = F.when(more > 0, F.array(copy(times, more)))
     none = F.array().cast("array<struct<position:double,words:bigint>>")
     return placed.select(
-        *[column(c) for c in kept.columns],
+        *slim.columns,
         "source_size",
         "target",
         (times * size + more).cast("long").alias("taken"),
@@ -135,13 +149,20 @@ def plan(documents: DataFrame, shares: DataFrame, doc_id: str = "doc_id") -> Dat
     )
 
 
-def training_order(planned: DataFrame) -> DataFrame:
-    """The mix itself: a row per copy with its ``position`` and ``words``, range-sorted by position.
+def mix(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """The mix itself: the documents' columns, a row per copy, range-sorted by position.
 
     A copy of which less than half is taken is left out and any other is kept whole: a document is
-    never cut.
+    never cut. Nulls, repeats and empty tables as in ``plan``; columns besides the three named are
+    carried along whatever their names.
     """
-    copies = F.filter("copies", lambda c: c["words"] * 2 >= F.col("size"))
-    kept = without(planned, [*PLAN, "position", "words"])
-    rows = planned.select(*[column(c) for c in kept], F.explode(copies).alias("_copy"))
-    return rows.select(*[column(c) for c in kept], "_copy.position", "_copy.words").orderBy("position")
+    key = free_name(documents, "_row")
+    written = materialize(documents.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    slim = sizes(written, doc_id, source, text, key)
+    planned = plan(slim, targets(slim))
+    whole = F.filter("copies", lambda c: c["words"] * 2 >= F.col("size"))
+    at = free_name(documents, "_position")
+    copies = planned.select(F.col("row").alias(key), F.explode(whole).alias("copy")).select(key, F.col("copy.position").alias(at))
+    copies = materialize(copies, "copies")
+    placed = written.join(copies, key)
+    return placed.orderBy(column(at), column(key)).select(*[column(c) for c in documents.columns])

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from doclake.llm import bpe, jaccard, langid, lm, mixing, permutation, quality, resample, simhash, spelling, token_counts, topk, urls
 from doclake.llm.common import held_out, table
 from doclake.llm.sql import IMPORTANCE_RESAMPLING, JACCARD_JOIN, MIX_SOURCES, SPELLING_VARIANTS, URL_FILTER
-from doclake.sources.workspace import materialize
 
 
 def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +60,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    sized = materialize(documents.select("doc_id", "source", mixing.words(F.col("text")).alias("size")), "sizes")
-    planned = mixing.plan(sized, mixing.targets(sized))
-    return planned.select("doc_id", "size", "source_size", "target", "taken")
+    """A row per document, range-sorted by the position of its first copy; documents left out come last."""
+    slim = mixing.sizes(table(spark, sf_dir, "documents"))
+    planned = mixing.plan(slim, mixing.targets(slim))
+    first = F.get("copies", F.lit(0))["position"]
+    mixed = planned.select("doc_id", "size", "source_size", "target", "taken", F.size("copies").cast("long").alias("n_copies"), first.alias("position"))
+    return mixed.orderBy(F.col("position").asc_nulls_last(), "doc_id")
 
 
 def op8_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

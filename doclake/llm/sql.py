@@ -47,7 +47,7 @@ ruled as (
   from parts)
 select page_id, host, path, rule,
        case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
-            when bound < 0.5 then 'block' else 'allow' end as verdict
+            when bound < 0.5 then 'block' else 'allow' end as verdict, share, bound
 from ruled join bounds using (host)
 """
 
@@ -68,17 +68,27 @@ steps as (
   window before as (order by 2 * source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
 final as (select max(rate) as rate from steps where weight * rate <= 2 * source_size),
 shares as (
-  select source, source_size, least(weight * rate, 2.0 * source_size)::double as target
+  select source, source_size, least(weight * rate, 2.0 * source_size)::double as target,
+         case weight when 5 then -0.5 when 2 then 0.0 else 0.5 end::double as ramp
   from sources, final),
 placed as (
-  select s.doc_id, size, source_size, target,
+  select s.doc_id, size, source_size, target, ramp,
          case when source_size > 0 then floor(target / source_size)::bigint else 0 end as times,
          coalesce(sum(size) over (partition by s.source order by digest, s.doc_id, size
            rows between unbounded preceding and 1 preceding), 0)::bigint as start
-  from sized s join shares t on s.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-       (times * size + greatest(0, least(size, round(target)::bigint - times * source_size - start)))::bigint as taken
-from placed
+  from sized s join shares t on s.source is not distinct from t.source),
+counted as (
+  select *, greatest(0, least(size, round(target)::bigint - times * source_size - start)) as more from placed),
+demanded as (
+  select *, case when times > 0 or more > 0 then
+         least(1.0::double, case when target > 0 then start::double / target else 0.0::double end) end as demand
+  from counted)
+select doc_id, size, source_size, target, (times * size + more)::bigint as taken,
+       (times + (more > 0)::bigint)::bigint as n_copies,
+       case when demand is null then null
+            when 1 - ramp + sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * demand) > 0
+            then 2 * demand / (1 - ramp + sqrt((1 - ramp) * (1 - ramp) + 4 * ramp * demand)) else 0.0 end as position
+from demanded
 """
 
 # CRC-32, byte by byte, of the column ``bytes`` (hexadecimal) of the rows of a table ``keyed``.
@@ -181,10 +191,10 @@ common as (select a.kind as a, b.kind as b, count(*) as n from parts a join part
 links as (
   select a, b from common join kinds k on k.kind = a join kinds l on l.kind = b
   where 100 * common.n >= 80 * (k.n + l.n - common.n)),
-both as (select a, b from links union select b, a from links),
+ends as (select a, b from links union select b, a from links),
 reached as (
   select kind, kind as other from kinds
-  union select reached.kind, b from reached join both on a = other),
+  union select reached.kind, b from reached join ends on a = other),
 least as (select reached.kind, min(first) as component_id from reached join kinds on kinds.kind = other group by reached.kind)
 select doc_id, len(sets.shingles)::bigint as n_shingles, case when len(sets.shingles) > 0 then component_id else doc_id end as component_id
 from sets left join kinds on kinds.shingles = sets.shingles left join least using (kind)

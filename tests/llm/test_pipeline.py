@@ -55,8 +55,8 @@ def test_dedup_stage(kept):
 
 
 def test_mixing_stage(kept):
-    docs = kept[3].withColumn("size", mixing.words(F.col("text")))
-    planned = {r.doc_id: r for r in mixing.plan(docs, mixing.targets(docs)).collect()}
+    slim = mixing.sizes(kept[3])
+    planned = {r.doc_id: r for r in mixing.plan(slim, mixing.targets(slim)).collect()}
     copies = {}
     for r in kept[4].collect():
         copies[r.doc_id] = copies.get(r.doc_id, 0) + 1

@@ -24,6 +24,7 @@ def test_query_equals_its_sql(spark, oracle, name):
     result = queries.QUERIES[name](spark, SMALL)
     cursor = oracle.execute(queries.ORACLES[name])
     names = [c[0] for c in cursor.description]
+    assert sorted(names) == sorted(result.columns)
     got = sorted((tuple(r[n] for n in names) for r in result.collect()), key=repr)
     assert got and got == sorted(cursor.fetchall(), key=repr)
 
@@ -116,7 +117,7 @@ def brute_targets(sizes, weights=(5, 2, 1), budget=1.5, most=2.0):
 
 def sized(spark, docs):
     frame = spark.createDataFrame(docs, "doc_id long, text string, source string, taken string")
-    return frame.withColumn("size", mixing.words(F.col("text")))
+    return mixing.sizes(frame)
 
 
 def test_mixing(spark):
@@ -143,27 +144,48 @@ def test_mixing(spark):
     assert sorted(map(repr, again)) == sorted(map(repr, rows))
 
 
+def test_one_id_is_many_lanes(spark):
+    docs = [(7, f"{i} " * (1 + i % 3), "a", None) for i in range(400)] + [(i, "w w", "b", None) for i in range(200)]
+    frame = sized(spark, docs)
+    rows = mixing.plan(frame, mixing.targets(frame)).collect()
+    taken = {s: sum(r.taken for r in rows if r.source == s) for s in "ab"}
+    assert taken == {r.source: round(r.target) for r in rows}
+
+
+CLASHING = ("target", "taken", "copies", "source_size", "position", "words", "row", "size", "tie", "lane", "_row")
+
+
+def test_mix_keeps_clashing_columns(spark):
+    values = [(i, "w " * 10, "ab"[i % 2] if i < 200 else "c", *[f"{c}{i}" for c in CLASHING]) for i in range(300)]
+    docs = spark.createDataFrame(values, ["doc_id", "text", "source", *CLASHING])
+    rows = mixing.mix(docs).collect()
+    assert rows[0].asDict().keys() == set(docs.columns)
+    assert all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHING)
+
+
 def test_curriculum_order(spark):
     docs = [(i, "w " * 10, "ab"[i % 2] if i < 200 else "c", None) for i in range(300)]
-    frame = sized(spark, docs)
-    planned = mixing.plan(frame, mixing.targets(frame))
-    mixed = mixing.training_order(planned)
+    mixed = mixing.mix(spark.createDataFrame(docs, "doc_id long, text string, source string, taken string"))
     rows = mixed.collect()
-    assert [r.position for r in rows] == sorted(r.position for r in rows)
+    frame = sized(spark, docs)
+    planned = mixing.plan(frame, mixing.targets(frame)).collect()
+    first = {r.doc_id: r.copies[0].position for r in planned if r.copies}
+    met = list(dict.fromkeys(r.doc_id for r in rows))
+    assert [first[i] for i in met] == sorted(first[i] for i in met)
     early = [r.source for r in rows[: len(rows) // 2]]
     late = [r.source for r in rows[len(rows) // 2 :]]
     # The heavy source fades, the light one rises.
     assert early.count("a") > late.count("a") and early.count("c") < late.count("c")
-    assert set(frame.columns) - {"taken"} <= set(mixed.columns)
     copies = {r.doc_id: 0 for r in rows}
     for r in rows:
         copies[r.doc_id] += 1
-    for r in planned.collect():
+    for r in planned:
         assert copies.get(r.doc_id, 0) in (r.taken // 10, r.taken // 10 + 1)
 
 
 def test_mixing_nothing(spark):
     empty = sized(spark, [(1, "a", "a", "x")]).limit(0)
+    assert mixing.mix(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
     assert mixing.plan(empty, mixing.targets(empty)).count() == 0
     blank = sized(spark, [(1, "", "a", "x"), (2, None, None, "x")])
     assert [(r.taken, r.target) for r in mixing.plan(blank, mixing.targets(blank)).collect()] == [(0, 0.0), (0, 0.0)]
