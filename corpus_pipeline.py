@@ -6,14 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from doclake.llm import bpe, langid, mixing, near, quality
+from doclake.llm import bpe, langid, mixing, quality, simhash
 from doclake.llm.common import held_out, table
 from doclake.sources.workspace import materialize
 
 # Documents whose score is below this go; the model's prior makes 0.5 the even chance.
 LEAST_QUALITY = 0.5
-# Documents are near-duplicates from this Jaccard similarity of their shingles of so many words.
-SHINGLE, LEAST_JACCARD = 5, 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,15 +29,13 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return near.keep_one(docs, SHINGLE, LEAST_JACCARD)
+    """One document of each group whose fingerprints are linked, by the operator's own rule."""
+    return simhash.keep_one(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of the documents in training order, as the target weights of their sources ask."""
-    sized = docs.withColumn("size", mixing.words(docs["text"]))
-    planned = mixing.plan(sized, mixing.targets(sized))
-    return mixing.training_order(planned).select(*docs.columns)
+    return mixing.mix(docs)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
