@@ -14,7 +14,7 @@ number of shingles in which the sets differ: a pair whose distance is too great
 
 Keys that only one set has are dropped in the shuffle. The rest is compared in two rounds, so that a
 group of thousands of near copies does not make pairs of all its members:
-  - every set meets the first and last set of each of its keys; the links that hold give components;
+  - every set meets the leaders of each of its keys; the links that hold give components;
   - only keys that still hold several components are compared in full, and of their pairs only those
     that cross components and pass the sketch.
 Every pair is decided by its sets themselves, so what is left out is already connected.
@@ -270,15 +270,12 @@ def crossing(members: list[np.ndarray], sizes: np.ndarray, component: np.ndarray
 def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of the buckets in a stream sorted by (key, block)."""
     waiting: list[pa.RecordBatch] = []
-    names = ["a", "b"]
 
-    def compared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    def compared(table: pa.Table) -> np.ndarray:
         ids, component, sizes = (table.column(c).to_numpy() for c in ("set_id", "component", "n"))
         sketches = [np.frombuffer(v.as_py(), np.uint8) for v in table.column("sketch")]
         left, right = crossing(sketches, sizes, component)
-        if len(left):
-            a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=names)
+        return np.stack([np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])], axis=1)
 
     def flush(end: bool) -> Iterator[pa.RecordBatch]:
         if not waiting:
@@ -290,9 +287,10 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not end:
             waiting.extend(table.slice(int(edges[-2])).to_batches())
             edges = edges[:-1]
-        for start, stop in zip(edges, edges[1:], strict=False):
-            if stop - start > 1:
-                yield from compared(table.slice(int(start), int(stop - start)))
+        found = [compared(table.slice(int(a), int(b - a))) for a, b in zip(edges, edges[1:], strict=False) if b - a > 1]
+        if found:
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
     rows = 0
     for batch in batches:
@@ -381,9 +379,16 @@ def verified(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def leader_pairs(shared: DataFrame) -> DataFrame:
-    """Every set with the first and the last set of each of its keys."""
-    ends = shared.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    met = shared.join(ends, "key").select("set_id", F.explode(F.array("low", "high")).alias("end")).where("set_id != end")
+    """Every set with the leaders of each of its keys: the set that shares most, and the first one.
+
+    What the copies of a text have in common they have from the text: so where it is there itself, it
+    is the set whose keys most others have.
+    """
+    sizes = shared.groupBy("key").agg(F.count("*").alias("rows"))
+    weights = shared.join(sizes, "key").groupBy("set_id").agg(F.sum("rows").alias("weight"))
+    ends = shared.join(weights, "set_id").groupBy("key")
+    ends = ends.agg(F.max_by("set_id", F.struct("weight", "set_id")).alias("most"), F.min("set_id").alias("first"))
+    met = shared.join(ends, "key").select("set_id", F.explode(F.array("most", "first")).alias("end")).where("set_id != end")
     return met.select(F.least("set_id", "end").alias("a"), F.greatest("set_id", "end").alias("b")).distinct()
 
 
