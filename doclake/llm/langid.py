@@ -33,6 +33,8 @@ BLOCK = 1 << 11
 SHORT = 1 << 8
 PARTS = 8
 LEVEL = 5
+# Hashes of rows are dealt to so many places.
+PLACES = 1 << 40
 # Texts per language by which the bounds are calibrated, and characters of each.
 CALIBRATED = 100
 CALIBRATED_CHARS = 1 << 12
@@ -75,18 +77,28 @@ def _limits(rows: list) -> tuple[float, float]:
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Learned:
-    """A dictionary per language, of the middle of the ROWS documents whose id hashes lowest.
+    """A dictionary per language, of the middle of the ROWS documents whose id and text hash lowest.
 
     Rows with null text or language are not used. The sample is bounded: ROWS x CHARS characters a
     language, and DICTIONARY_BYTES in all; the limits are by CALIBRATED of the rows.
     """
     value = column(text)
+    usable = docs.where(value.isNotNull() & (value != "") & column(lang).isNotNull())
+    # Rows, not ids, are sampled: an id that repeats is no larger than its texts.
+    place = F.pmod(F.xxhash64(column(doc_id), value), F.lit(PLACES))
+    # Counts settle from which place on rows can be left out where they are read: about 2 * ROWS of a
+    # language pass. Equal rows share a place, so different places are counted.
+    counts = usable.groupBy(column(lang).alias("lang")).agg(F.approx_count_distinct(place).alias("rows"))
+    bound = F.greatest(F.lit(1.0), F.lit(2.0 * ROWS) * PLACES / F.greatest("rows", F.lit(1)))
     middle = F.substring(value, (F.greatest(F.lit(0), F.length(value) - CHARS) / 2).cast("int") + 1, F.lit(CHARS))
-    pool = docs.where(value.isNotNull() & (value != "") & column(lang).isNotNull()).select(
-        column(lang).alias("lang"), middle.alias("piece"), F.substring(value, 1, CALIBRATED_CHARS).alias("start"), F.xxhash64(column(doc_id)).alias("place")
+    pool = usable.select(
+        column(lang).alias("lang"), middle.alias("piece"), F.substring(value, 1, CALIBRATED_CHARS).alias("start"), place.alias("place")
     )
+    # A row per language: as few as the dictionaries, all of which every task holds.
+    chosen = pool.join(F.broadcast(counts.select("lang", bound.alias("bound"))), "lang").where("place < bound")
+    once = chosen.dropDuplicates(["lang", "place"])
     first = Window.partitionBy("lang").orderBy("place", "piece")
-    sample = pool.withColumn("n", F.row_number().over(first)).where(F.col("n") <= ROWS)
+    sample = once.withColumn("n", F.row_number().over(first)).where(F.col("n") <= ROWS)
     rows = sample.withColumn("start", F.when(F.col("n") <= CALIBRATED, F.col("start"))).orderBy("lang", "n").collect()
     learned = Learned(_dictionaries([(r.lang, r.piece) for r in rows]))
     learned.limits = _limits(rows)

@@ -4,7 +4,8 @@ Trusted positives and unlabelled text train a linear model that minimises the no
 unbiased risk: the risk of the positives weighed by the class prior, plus the part of the unlabelled
 text's negative risk that the positives do not explain, which is not let below zero. The prior
 itself is estimated from both samples. Features are of the whole text: frequencies of pairs of
-character classes, and how much words and lines repeat.
+character classes, and how much words and lines repeat, and how far these lie outside what the
+trusted positives show.
 """
 
 from __future__ import annotations
@@ -22,10 +23,14 @@ from doclake.llm.common import Step, add_columns, column, free_name
 # Bounds of the two samples the model is fitted to.
 POSITIVES = 8000
 UNLABELLED = 8000
+# Hashes of rows are dealt to so many places.
+PLACES = 1 << 40
 
 ROUNDS = 400
 RATE = 0.05
 PENALTY = 1e-3
+# Scaled features are cut off here, in training and in scoring.
+CLIP = 10.0
 # The model that tells the two samples apart is kept simpler: it is read on the other half.
 SPLIT_ROUNDS = 100
 SPLIT_PENALTY = 1e-2
@@ -48,7 +53,10 @@ def byte_classes() -> np.ndarray:
 # Beside the pairs: repeats of the word before, of any earlier word, of any earlier line, the mean
 # length of words, and the logarithm of the length.
 EXTRA = 5
-FEATURES = CLASSES * CLASSES + EXTRA
+RAW = CLASSES * CLASSES + EXTRA
+# The model's features: the raw ones, kept inside the range of the trusted positives; how far each of
+# the last ones lies outside it; and how far all pairs together do.
+FEATURES = RAW + EXTRA + 1
 
 
 class Reader:
@@ -56,7 +64,7 @@ class Reader:
         self.classes = byte_classes()
 
     def features(self, raw: bytes) -> np.ndarray:
-        out = np.zeros(FEATURES, np.float32)
+        out = np.zeros(RAW, np.float32)
         kind = self.classes[np.frombuffer(raw, np.uint8)]
         if len(kind) > 1:
             pairs = np.bincount(kind[:-1] * CLASSES + kind[1:], minlength=CLASSES * CLASSES)
@@ -73,7 +81,31 @@ class Reader:
         return out
 
     def matrix(self, column: pa.Array) -> np.ndarray:
-        return np.stack([self.features((value.as_py() or "").encode()) for value in column]) if len(column) else np.zeros((0, FEATURES), np.float32)
+        return np.stack([self.features((value.as_py() or "").encode()) for value in column]) if len(column) else np.zeros((0, RAW), np.float32)
+
+
+@dataclass
+class Span:
+    """The range of every raw feature over the trusted positives.
+
+    A linear model has no sense of too much: what lies beyond all trusted text earns no more than the
+    edge of it, and counts by its distance instead.
+    """
+
+    low: np.ndarray
+    high: np.ndarray
+    spread: np.ndarray
+
+    @classmethod
+    def of(cls, positive: np.ndarray) -> Span:
+        return cls(positive.min(axis=0), positive.max(axis=0), positive.std(axis=0) + np.float32(1e-3))
+
+    def features(self, matrix: np.ndarray) -> np.ndarray:
+        inside = np.clip(matrix, self.low, self.high)
+        beyond = matrix - inside
+        apart = np.clip(np.abs(beyond[:, -EXTRA:]) / self.spread[-EXTRA:], 0, CLIP)
+        pairs = np.sqrt(np.square(beyond[:, :-EXTRA]).sum(axis=1, keepdims=True))
+        return np.concatenate([inside, apart, pairs], axis=1).astype(np.float32)
 
 
 @dataclass
@@ -83,9 +115,11 @@ class Model:
     weights: np.ndarray
     bias: float
     prior: float
+    span: Span
 
     def log_odds(self, matrix: np.ndarray) -> np.ndarray:
-        return ((matrix - self.mean) / self.scale) @ self.weights + self.bias
+        scaled = np.clip((self.span.features(matrix) - self.mean) / self.scale, -CLIP, CLIP)
+        return scaled @ self.weights + self.bias
 
     def scores(self, matrix: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.log_odds(matrix), -500, 500)))
@@ -114,16 +148,13 @@ def _descend(gradient, size: int, start: float, rounds: int) -> tuple[np.ndarray
 def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positives in the unlabelled sample, from scores that tell the two samples apart.
 
-    Above any threshold the unlabelled sample holds at least the prior times the positives' share,
-    so the smallest ratio, with a standard error added, bounds the prior from above. Thresholds
-    that leave less than half of the positives don't count.
+    Above any threshold the unlabelled sample holds at least the prior times the positives' share, so
+    the smallest ratio is an estimate. Thresholds that leave less than half of the positives don't count.
     """
     best = 1.0
     for limit in np.quantile(positive, np.linspace(0.0, 0.5, 51)):
         share = (positive >= limit).mean()
-        ratio = (unlabelled >= limit).mean() / share
-        error = np.sqrt((1 - share) / share / len(positive) + max(0.0, ratio * (1 - ratio)) / len(unlabelled))
-        best = min(best, float(ratio + error))
+        best = min(best, float((unlabelled >= limit).mean() / share))
     return min(max(best, 0.01), 0.99)
 
 
@@ -148,14 +179,17 @@ def separation(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray
 def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
     """Fits the model to the features of both samples; without positives every score is 0.5."""
     if not len(positive) or not len(unlabelled):
-        return Model(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 0.5)
+        span = Span(np.zeros(RAW, np.float32), np.zeros(RAW, np.float32), np.ones(RAW, np.float32))
+        return Model(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 0.5, span)
+    span = Span.of(positive)
+    positive, unlabelled = span.features(positive), span.features(unlabelled)
     n = len(positive) + len(unlabelled)
     mean = (positive.sum(axis=0, dtype=np.float64) + unlabelled.sum(axis=0, dtype=np.float64)) / n
     square = sum(np.square(each - mean.astype(np.float32)).sum(axis=0, dtype=np.float64) for each in (positive, unlabelled))
     scale = np.sqrt(square / n)
     scale = np.where(scale > 1e-6, scale, 1.0)
     small = mean.astype(np.float32), scale.astype(np.float32)
-    p, u = (np.clip((each - small[0]) / small[1], -10, 10) for each in (positive, unlabelled))
+    p, u = (np.clip((each - small[0]) / small[1], -CLIP, CLIP) for each in (positive, unlabelled))
     prior = estimate_prior(*separation(p, u))
 
     def risk(values: np.ndarray) -> np.ndarray:
@@ -171,29 +205,35 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
         return np.r_[_back(gp, p) + _back(negative_u, u) + PENALTY * w, gp.sum() + negative_u.sum()]
 
     weights, bias = _descend(risk, FEATURES, float(np.log(prior / (1 - prior))), ROUNDS)
-    return Model(mean, scale, weights, bias, prior)
+    return Model(mean, scale, weights, bias, prior, span)
 
 
 def learn(docs: DataFrame, positives: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Model:
     """Fits a model to the documents named in ``positives`` (doc_id) and to ``docs`` as unlabelled text.
 
-    Both samples are bounded (POSITIVES, UNLABELLED) and chosen by the checksum of the id, so they
-    are the same in any run. Null ids are not sampled.
+    Both samples are bounded (POSITIVES, UNLABELLED) and chosen by hashes of id and text, so they
+    are the same in any run. Equal rows count once; null ids are not sampled.
     """
     key = free_name(docs, "_sampled")
 
     def sample(ids: DataFrame, most: int, seed: int) -> np.ndarray:
         found = ids.select(column(doc_id).alias(key)).where(F.col(key).isNotNull()).distinct()
+        # At most ``most`` ids; an id can have any number of rows.
         chosen = found.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(most)
         rows = docs.join(F.broadcast(chosen), column(doc_id) == F.col(key), "left_semi")
+        place = F.pmod(F.xxhash64(column(doc_id), column(text), F.lit(seed)), F.lit(PLACES))
+        rows = rows.select(place.alias("place"), column(text).alias("text"))
+        # About twice as many as needed pass the scan, whatever the number of rows.
+        different = rows.agg(F.approx_count_distinct("place")).head()[0]
+        few = rows.where(F.col("place") < max(1, 2 * most * PLACES // max(1, different)))
 
         def start() -> Step:
             reader = Reader()
             return lambda values: [pa.array([row.tobytes() for row in reader.matrix(values)], pa.binary())]
 
-        packed = add_columns(rows, start, "features binary", [text], [doc_id]).toArrow()["features"]
-        raw = [value.as_py() for value in packed][: 2 * most]
-        return np.frombuffer(b"".join(raw), np.float32).reshape(-1, FEATURES)
+        packed = add_columns(few, start, "features binary", ["text"], ["place"]).dropDuplicates(["place"])
+        raw = [value.as_py() for value in packed.orderBy("place").limit(most).toArrow()["features"]]
+        return np.frombuffer(b"".join(raw), np.float32).reshape(-1, RAW)
 
     return fit(sample(positives, POSITIVES, 1), sample(docs, UNLABELLED, 2))
 

@@ -7,11 +7,19 @@ with parts as (
                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
          coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
   from pages),
-hosts as (
+counted as (
   select host, count(quality) as n, coalesce(sum(quality), 0)::bigint as good,
-         array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain,
-         array_to_string(list_slice(string_split(host, '.'), -1, -1), '.') as suffix
+         string_split(regexp_replace(host, ':[0-9]*$', ''), '.') as pieces,
+         regexp_matches(host, '^([0-9.]+(:[0-9]*)?$|\[)') as number,
+         array_to_string(list_slice(pieces, -2, -1), '.') in (
+           'ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au', 'org.au', 'co.nz', 'co.za', 'co.jp', 'co.kr', 'co.in',
+           'com.br', 'com.cn', 'com.mx', 'com.tr', 'com.tw', 'github.io', 'gitlab.io', 'blogspot.com', 'wordpress.com') as shared
   from parts left join labels on doc_id = page_id group by host),
+hosts as (
+  select host, n, good,
+         array_to_string(case when number then pieces else list_slice(pieces, if(shared, -3, -2), -1) end, '.') as domain,
+         array_to_string(case when number then pieces else list_slice(pieces, if(shared, -2, -1), -1) end, '.') as suffix
+  from counted),
 top as (select (sum(good) + 1) / (sum(n) + 2) as m, (sum(n) + 2)::double as p from hosts),
 suffix_n as (select suffix, sum(n) as n, sum(good) as good, m, p from hosts, top group by suffix, m, p),
 suffix_w as (

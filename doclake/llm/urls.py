@@ -7,8 +7,10 @@ how much is known of the parent. A host
 is blocked if even the optimistic bound of its posterior share of good pages is too low, so a host
 that nobody has labelled lives on the reputation of its domain.
 
-The registered domain is the last two labels of the host, the suffix the last one: no list of
-public suffixes is shipped.
+The suffix of a host is its last label, or its last two where those are in a list of suffixes under
+which anybody may register; the registered domain is one label more. The list shipped is short: under
+a suffix that it lacks, unrelated sites share a prior. A port is no part of a label, and an address of
+numbers is a domain and a suffix of its own.
 """
 
 from __future__ import annotations
@@ -28,6 +30,11 @@ LEAST_GOOD = 0.5
 BOUND_Z = 1.64
 # Range of the correlation of outcomes within a node: the prior weighs 1 / correlation - 1 pages.
 CORRELATION = (0.02, 0.5)
+# Common suffixes of two labels; more can be given.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.za", "co.jp", "co.kr", "co.in",
+    "com.br", "com.cn", "com.mx", "com.tr", "com.tw", "github.io", "gitlab.io", "blogspot.com", "wordpress.com",
+)
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -59,12 +66,15 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
     return (none, none) if text is None else (text, verdict)
 
 
-def domain(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
-
-
-def suffix(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+def levels(host: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host."""
+    bare = F.regexp_replace(host, r":[0-9]*$", "")
+    number = bare.rlike(r"^[0-9.]+$") | bare.startswith("[")
+    two = F.substring_index(bare, ".", -2)
+    shared = two.isin(*suffixes) if suffixes else F.lit(False)
+    domain = F.when(number, bare).when(shared, F.substring_index(bare, ".", -3)).otherwise(two)
+    suffix = F.when(number, bare).when(shared, two).otherwise(F.substring_index(bare, ".", -1))
+    return domain, suffix
 
 
 def _prior_weight(nodes: DataFrame) -> float:
@@ -87,15 +97,19 @@ def _posterior() -> list[Column]:
     return [((F.col("good") + F.col("w") * F.col("m")) / p).alias("m"), p.alias("p")]
 
 
-def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+def reputation(pages: DataFrame, outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """One row per host of ``pages``: n, good, share (posterior mean) and bound.
 
     ``pages`` has page_id and host, ``outcomes`` page_id and good (1 or 0; null is no outcome). A
     page or an outcome that repeats counts each time. Without any outcome the shares are 0.5.
     """
-    labelled = pages.join(outcomes.where("good is not null").select("page_id", "good"), "page_id", "left")
-    counts = labelled.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"))
-    counts = counts.withColumns({"domain": domain(F.col("host")), "suffix": suffix(F.col("host"))})
+    # One row per id first: an id that repeats on both sides makes no products of rows.
+    each = outcomes.where("good is not null").groupBy("page_id").agg(F.count("good").alias("n"), F.sum("good").alias("good"))
+    labelled = pages.join(each, "page_id", "left")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("n", "good")]
+    counts = labelled.groupBy("host").agg(*sums)
+    domain, suffix = levels(F.col("host"), suffixes)
+    counts = counts.withColumns({"domain": domain, "suffix": suffix})
     hosts = materialize(counts, "hosts")
 
     totals = [F.sum("n").alias("n"), F.sum("good").alias("good")]
@@ -114,7 +128,12 @@ def reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], page_id: str = "page_id", url: str = "url"
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules: Sequence[Rule],
+    page_id: str = "page_id",
+    url: str = "url",
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, and the host's share and bound.
 
@@ -123,7 +142,7 @@ def judge(
     besides the two named are not read. An empty table gives no rows.
     """
     parts = pages.select(F.col(page_id).alias("page_id"), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
-    known = reputation(parts.select("page_id", "host"), outcomes).select("host", "share", "bound")
+    known = reputation(parts.select("page_id", "host"), outcomes, suffixes).select("host", "share", "bound")
     rule, decision = matching_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") < LEAST_GOOD, "block").otherwise("allow")
     return parts.join(known, "host", "left").select(

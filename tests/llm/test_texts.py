@@ -104,6 +104,46 @@ def test_prior_is_found():
     assert quality.estimate_prior(positive, unlabelled) == pytest.approx(0.75, abs=0.04)
 
 
+def test_risk_against_brute_force():
+    """The fitted weights are at the least non-negative risk: no small step lowers it."""
+    rng = np.random.default_rng(3)
+    raw = np.abs(rng.normal(0.2, 0.05, (220, quality.RAW))).astype(np.float32)
+    raw[160:, -2] += 3
+    positive, unlabelled = raw[:80], raw[80:]
+    model = quality.fit(positive, unlabelled)
+
+    def risk(weights, bias):
+        total = {True: 0.0, False: 0.0}
+        for rows, sign in ((positive, 1), (positive, -1), (unlabelled, -1)):
+            spans = model.span.features(rows)
+            z = np.clip((spans - model.mean) / model.scale, -quality.CLIP, quality.CLIP) @ weights + bias
+            loss = np.mean([math.log1p(math.exp(-sign * float(v))) for v in z])
+            if sign == 1:
+                total[True] += model.prior * loss
+            else:
+                total[False] += loss if rows is unlabelled else -model.prior * loss
+        return total[True] + max(0.0, total[False]) + quality.PENALTY / 2 * float(weights @ weights)
+
+    best = risk(model.weights, model.bias)
+    for _ in range(30):
+        step = rng.normal(0, 0.02, len(model.weights))
+        assert best <= risk(model.weights + step, model.bias) + 0.02
+    scores = model.scores(unlabelled)
+    assert scores[:80].mean() > scores[80:].mean() + 0.3
+
+
+def test_a_hot_id_does_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "UNLABELLED", 40)
+    monkeypatch.setattr(quality, "POSITIVES", 40)
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda p, u: seen.append((p.shape, u.shape)))
+    docs = [(7, f"text {i} of the same id") for i in range(3000)] + [(7, "copy")] * 2000 + [(i, f"text {i}") for i in range(100, 130)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    quality.learn(frame, spark.createDataFrame([(7,), (101,), (None,)], "doc_id long"))
+    (positives, unlabelled), = seen
+    assert positives == (40, quality.RAW) and 20 <= unlabelled[0] <= 40
+
+
 def test_quality_of_odd_texts(spark):
     rows, docs = odd_docs(spark, "quality_score string")
     model = quality.learn(docs, docs.where("lang = 'en'"))

@@ -89,6 +89,29 @@ def test_reputation_blocks_what_is_surely_bad(spark):
     assert 0.1 < share["one.c.org"] < share["new.a.org"]
 
 
+def test_domains_and_suffixes(spark):
+    hosts = {
+        "a.b.example.com": ("example.com", "com"),
+        "a.site.co.uk:8080": ("site.co.uk", "co.uk"),
+        "co.uk": ("co.uk", "co.uk"),
+        "me.github.io": ("me.github.io", "github.io"),
+        "10.0.0.1:80": ("10.0.0.1", "10.0.0.1"),
+        "[::1]:80": ("[::1]", "[::1]"),
+        "localhost": ("localhost", "localhost"),
+        "": ("", ""),
+    }
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    got = {r.host: (r.d, r.s) for r in frame.select("host", *[c.alias(n) for c, n in zip(urls.levels(F.col("host")), "ds", strict=True)]).collect()}
+    assert got == hosts
+
+
+def test_an_id_that_repeats_on_both_sides(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/")] * 300 + [(2, "http://b.org/")], "page_id long, url string")
+    outcomes = spark.createDataFrame([(1, 1)] * 200 + [(2, 0)], "page_id long, good int")
+    counts = {r.host: (r.n, r.good) for r in urls.reputation(pages.select("page_id", urls.host(F.col("url")).alias("host")), outcomes).collect()}
+    assert counts == {"a.org": (60000, 60000), "b.org": (1, 0)}
+
+
 def test_reputation_without_rows_or_labels(spark):
     pages = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     none = spark.createDataFrame([], "page_id long, good int")
