@@ -34,6 +34,7 @@ CARD = _strings("identifier", "link_text", "description", "date", "url", "docume
 CLEANED = _strings("title", "container", "error_code", "reason").add("clean", T.BinaryType())
 LISTING = _strings("head", "next_href", "next_url", "error_code", "reason").add("cards", T.ArrayType(CARD))
 BODIES = T.ArrayType(_strings("body_id", "body"))
+SEARCH = T.StructType().add("bodies", BODIES).add("error_code", "string").add("reason", "string")
 
 
 # Fixed value: the page a cleaned container is put into.
@@ -184,27 +185,17 @@ def _listing_reader(profile: SourceProfile):
 def _body_reader(profile: SourceProfile):
     def one(payload):
         try:
-            return _bodies(payload or b"", profile)
-        except Exception:  # a page without bodies is reported as such
-            return []
+            return {"bodies": _bodies(payload or b"", profile)}
+        except Exception as error:  # a bad page is a failed row, not a failed job
+            return {"error_code": type(error).__name__, "reason": str(error), "bodies": []}
 
-    @F.arrow_udf(BODIES)
+    @F.arrow_udf(SEARCH)
     def read(payloads: pa.Array) -> pa.Array:
-        return pa.array([one(p.as_py()) for p in payloads], type=to_arrow_type(BODIES))
+        return pa.array([one(p.as_py()) for p in payloads], type=to_arrow_type(SEARCH))
 
     return read.asNondeterministic()
 
 
-@F.arrow_udf(T.StringType())
-def absolute_url(bases: pa.Array, hrefs: pa.Array) -> pa.Array:
-    """Resolve a link against the page it stands on; an empty link stays empty."""
-    rows = zip(bases, hrefs, strict=True)
-    return pa.array(
-        [_join(b.as_py() or "", h.as_py()) if h.as_py() else h.as_py() for b, h in rows],
-        type=pa.string(),
-    )
-
-
 def clean_page(payload: Column, profile: SourceProfile = DEFAULT_PROFILE) -> Column:
     """struct<clean, title, container, error_code, reason> of one html document; null stays null."""
     return _cleaner(profile)(payload)
@@ -215,6 +206,11 @@ def read_listing(payload: Column, url: Column, profile: SourceProfile = DEFAULT_
     return _listing_reader(profile)(payload, url)
 
 
+def read_search(payload: Column, profile: SourceProfile = DEFAULT_PROFILE) -> Column:
+    """struct<bodies, error_code, reason> of one search page."""
+    return _body_reader(profile)(payload)
+
+
 def read_bodies(payload: Column, profile: SourceProfile = DEFAULT_PROFILE) -> Column:
     """array<struct<body_id, body>> of one search page."""
-    return _body_reader(profile)(payload)
+    return read_search(payload, profile)["bodies"]

@@ -100,13 +100,56 @@ def scope_grid(
     )
 
 
-def range_join(rows: DataFrame, day: str, windows: DataFrame, how: str = "inner") -> DataFrame:
+# Days are counted from 0001-01-01; 2 ** 22 of them reach beyond 9999-12-31.
+LEVELS = 23
+# Rows of one day that one task should join.
+DAY_ROWS = 1 << 20
+
+
+def _number(day: Column) -> Column:
+    return F.datediff(day, F.lit("0001-01-01").cast("date"))
+
+
+def dyadic_nodes(start: Column, end: Column) -> Column:
+    """array<struct<level,node>>: [start, end) as disjoint runs of 2^level days that begin at
+    multiples of their length; two a level at most, and none for an empty window."""
+
+    def at(level: Column) -> Column:
+        # The first whole node inside, and the first one beyond.
+        size = F.call_function("shiftleft", F.lit(1), level)
+        low, high = F.ceil(_number(start) / size).cast("int"), F.floor(_number(end) / size).cast("int")
+        inside = low < high
+        left = F.when(inside & (low % 2 == 1), F.struct(level.alias("level"), low.alias("node")))
+        right = F.when(inside & (high % 2 == 1), F.struct(level.alias("level"), (high - 1).alias("node")))
+        return F.array(left, right)
+
+    levels = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at)
+    return F.array_compact(F.flatten(levels))
+
+
+def range_join(rows: DataFrame, day: str, windows: DataFrame, bound: int = DAY_ROWS) -> DataFrame:
     """Join rows to the windows [start, end) their day lies in, for windows held in a table.
 
-    Each window is laid out as its days, which turns the range condition into an equality. The
-    day table has one row per window and day, so its size follows the calendar, not the data.
+    A window is laid out as its dyadic nodes, two per level at most, so one that is open to the end
+    of the calendar is some forty rows. A row meets the node of its day on each level that windows
+    use. A day with more than ``bound`` rows is salted: its rows are dealt to lanes, and the nodes
+    above it are repeated for each. Rows without a day meet none.
     """
-    days = windows.where("start < end").withColumn(
-        day, F.explode(F.sequence("start", F.date_sub("end", 1)))
-    )
-    return rows.join(days, day, how)
+    nodes = windows.where("start < end").withColumn("_n", F.explode(dyadic_nodes(F.col("start"), F.col("end"))))
+    nodes = nodes.select(*windows.columns, F.col("_n.level").alias("_level"), F.col("_n.node").alias("_node"))
+    # At most LEVELS numbers, and at most one row per day of the calendar.
+    used = sorted(r[0] for r in nodes.select("_level").distinct().collect())
+    heavy = rows.groupBy(F.col(day).alias("_day")).count().where((F.col("count") > bound) & F.col("_day").isNotNull())
+    heavy = heavy.select("_day", F.ceil(F.col("count") / bound).cast("int").alias("_lanes"))
+    node_at = lambda level: F.call_function("shiftright", _number(F.col("_day")), level)
+    levels = F.array(*[F.lit(level) for level in used]).cast("array<int>")
+    above = heavy.withColumn("_level", F.explode(levels)).withColumn("_node", node_at(F.col("_level")))
+    above = above.groupBy("_level", "_node").agg(F.max("_lanes").alias("_lanes"))
+    laned = nodes.join(above, ["_level", "_node"], "left")
+    laned = laned.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.coalesce("_lanes", F.lit(1)) - 1))).drop("_lanes")
+
+    dealt = rows.withColumn("_day", F.col(day)).join(F.broadcast(heavy), "_day", "left")
+    lane = F.pmod(F.monotonically_increasing_id(), F.coalesce("_lanes", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("_lane", lane).withColumn("_level", F.explode(levels)).withColumn("_node", node_at(F.col("_level")))
+    joined = dealt.join(laned, ["_level", "_node", "_lane"])
+    return joined.select(*[dealt[c] for c in rows.columns], *[laned[c] for c in windows.columns])

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from doclake.functions.pages import read_bodies, read_listing
+from doclake.functions.pages import read_bodies, read_listing, read_search
 from doclake.functions.requests import conditional_headers, listing_url, on_domain
 from doclake.functions.text import blank, clean_text, iso_date, total_results
 from doclake.functions.windows import scope_grid
@@ -40,18 +40,21 @@ def filter_bodies(bodies: DataFrame, wanted: str | DataFrame | None = None) -> D
 def no_bodies(
     pages: DataFrame, wanted: str | None = None, profile: SourceProfile = DEFAULT_PROFILE
 ) -> DataFrame:
-    """Failure rows of search pages (url, payload) that offer none of the wanted bodies."""
+    """Failure rows of search pages (url, payload) that offer none of the wanted bodies.
+
+    A page that cannot be read has the code and reason of its error.
+    """
     ids = [part.strip() for part in wanted.split(",")] if wanted else []
-    found = read_bodies(F.col("payload"), profile)
-    hits = F.filter("found", lambda b: b["body_id"].isin(ids) if ids else F.lit(True))
+    found = read_search(F.col("payload"), profile)
+    hits = F.filter("found.bodies", lambda b: b["body_id"].isin(ids) if ids else F.lit(True))
     none = F.lit(None).cast("string")
     return (
         pages.withColumn("found", found)
         .where(F.size(hits) == 0)
         .select(
             "url",
-            F.lit("no_bodies").alias("error_code"),
-            F.lit(NO_BODIES).alias("reason"),
+            F.coalesce("found.error_code", F.lit("no_bodies")).alias("error_code"),
+            F.coalesce("found.reason", F.lit(NO_BODIES)).alias("reason"),
             *[none.alias(name) for name in ("body", "partition", "identifier")],
         )
     )

@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 from doclake.schema import IDENTITY
 from doclake.sources.workspace import materialize
 
+# Rows of one identity that one window group may hold; a longer history is cut into lanes.
+GROUP_ROWS = 1 << 20
+# Heavy identities are looked for in one row of so many.
+SAMPLE = 16
+
 
 def latest_per_identity(
     rows: DataFrame, order: str = "fetch_seq", keys: Sequence[str] = IDENTITY, **extra: Column
@@ -37,31 +42,79 @@ def lanes(rows: DataFrame, order: str = "fetch_seq", keys: Sequence[str] = IDENT
     return materialize(dealt, "lanes")
 
 
+def heavy_identities(
+    rows: DataFrame, bound: int, order: str = "fetch_seq", keys: Sequence[str] = IDENTITY
+) -> DataFrame | None:
+    """Identities with more than about ``bound`` rows, or None; there are at most rows / bound.
+
+    Judged by a sample of the rows, chosen by hash: a light identity taken for a heavy one, or the
+    other way round, changes where its rows are compared and not what comes out.
+    """
+    if rows.count() <= bound:
+        return None
+    picked = rows.where(F.pmod(F.xxhash64(order), F.lit(SAMPLE)) == 0) if bound >= 4 * SAMPLE else rows
+    limit = bound // SAMPLE if bound >= 4 * SAMPLE else bound
+    heavy = picked.groupBy(*keys).count().where(F.col("count") > limit).drop("count")
+    heavy = materialize(heavy, "heavy-identities")
+    return None if heavy.isEmpty() else heavy
+
+
 def mark_changes(
     rows: DataFrame,
     values: Sequence[str],
     order: str = "fetch_seq",
     keys: Sequence[str] = IDENTITY,
+    bound: int = GROUP_ROWS,
 ) -> DataFrame:
     """Add ``is_first`` (of its identity) and ``changed`` (first, or values unlike the row before).
 
-    One identity may own a third of the table, so its history is not put into one window group: the
-    look-back runs inside lanes. Only the first identity of a lane can have its predecessor in
-    another one, and then it is the last row of the lane before. Those last rows, one per lane, are
-    all that is carried over.
+    ``rows`` are counted first, so they should be read from a table. An identity's history is one window
+    group, unless it has more than ``bound`` rows: those few are compared in lanes, so that one that owns
+    a third of the table is no group of its own.
 
     Rows of an identity that share their order are ``repeated``: which of them came first is not
     known. They count for nothing, neither as first nor as changed nor as predecessor.
     """
-    dealt = lanes(rows, order, keys)
-    inside = Window.partitionBy(*keys, "_lane").orderBy(order)
+    heavy = heavy_identities(rows, bound, order, keys)
+    if heavy is None:
+        return _compared(rows, values, order, keys)
+    light = rows.join(heavy, list(keys), "left_anti").select(*rows.columns)
+    rest = rows.join(heavy, list(keys), "left_semi").select(*rows.columns)
+    return _compared(light, values, order, keys).unionByName(_compared_in_lanes(rest, values, order, keys))
+
+
+def _before(rows: DataFrame, values: Sequence[str], order: str, group: Sequence[str]) -> DataFrame:
+    """Add ``repeated`` and ``_before``, the values of the last single row before in the group."""
+    inside = Window.partitionBy(*group).orderBy(order)
     twice = [F.col(order).eqNullSafe(near(order).over(inside)) for near in (F.lag, F.lead)]
-    marked = dealt.withColumn("repeated", twice[0] | twice[1])
+    marked = rows.withColumn("repeated", twice[0] | twice[1])
     counted = F.when(~F.col("repeated"), F.struct(*values))
-    marked = marked.withColumn(
-        "_before",
-        F.last(counted, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1)),
-    )
+    last = F.last(counted, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    return marked.withColumn("_before", last)
+
+
+def _decided(rows: DataFrame, values: Sequence[str]) -> DataFrame:
+    there = F.col("_before").isNotNull()
+    same = reduce(Column.__and__, [F.col(v).eqNullSafe(F.col(f"_before.{v}")) for v in values])
+    single = ~F.col("repeated")
+    marked = rows.withColumns({"is_first": single & ~there, "changed": single & ~(there & same)})
+    return marked.drop("_before")
+
+
+def _compared(rows: DataFrame, values: Sequence[str], order: str, keys: Sequence[str]) -> DataFrame:
+    return _decided(_before(rows, values, order, keys), values)
+
+
+def _compared_in_lanes(
+    rows: DataFrame, values: Sequence[str], order: str, keys: Sequence[str]
+) -> DataFrame:
+    """The same, with the look-back inside lanes.
+
+    Only the first identity of a lane can have its predecessor in another one, and then it is the
+    last row of the lane before. Those last rows, one per lane, are all that is carried over.
+    """
+    dealt = lanes(rows, order, keys)
+    marked = _before(dealt, values, order, [*keys, "_lane"])
     ends = (
         marked.where(~F.col("repeated"))
         .groupBy("_lane")
@@ -76,13 +129,7 @@ def mark_changes(
     joined = marked.join(F.broadcast(carried), "_lane")
     same_key = reduce(Column.__and__, [F.col(f"_end.{k}").eqNullSafe(F.col(k)) for k in keys])
     before = F.coalesce("_before", F.when(F.col("_end").isNotNull() & same_key, F.col("_end.state")))
-    joined = joined.withColumn("_before", before)
-    there = F.col("_before").isNotNull()
-    same = reduce(Column.__and__, [F.col(v).eqNullSafe(F.col(f"_before.{v}")) for v in values])
-    single = ~F.col("repeated")
-    return joined.withColumns({"is_first": single & ~there, "changed": single & ~(there & same)}).drop(
-        "_lane", "_before", "_end"
-    )
+    return _decided(joined.withColumn("_before", before).drop("_lane", "_end"), values)
 
 
 def join_existing(rows: DataFrame, stored: DataFrame, *fields: str) -> DataFrame:
@@ -95,6 +142,7 @@ def write_decisions(
     writes: DataFrame,
     stored: DataFrame,
     keys: Sequence[str] = IDENTITY,
+    bound: int = GROUP_ROWS,
 ) -> DataFrame:
     """Decide for every write, in arrival order, whether the object has to be written.
 
@@ -109,7 +157,7 @@ def write_decisions(
     value = ["file_path", "file_hash"]
     before = stored.select(*keys, *value, F.lit(-1).cast("bigint").alias("fetch_seq"))
     history = writes.unionByName(before, allowMissingColumns=True)
-    marked = mark_changes(history, value, keys=keys)
+    marked = mark_changes(history, value, keys=keys, bound=bound)
     renamed = marked.withColumnsRenamed({"changed": "object_written", "is_first": "inserted"})
     return renamed.where("fetch_seq >= 0")
 

@@ -22,6 +22,11 @@ def _counts() -> list[Column]:
     ]
 
 
+def run_counters() -> list[Column]:
+    """The counters of a whole run, as aggregates over its outcomes; for ``DataFrame.observe``."""
+    return _counts()
+
+
 def _totals() -> list[Column]:
     names = (*COUNTERS, "skipped")
     return [F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]

@@ -14,15 +14,26 @@ from doclake.functions.windows import check_range
 from doclake.operators.identity import merge
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
 from doclake.schema import EMPTY_IDENTIFIER, HTML, INCOMPLETE_RECORD, NO_CONTENT, TRANSFORMED_SCHEMA
+from doclake.sources.index import LANDING_OBJECT, TRANSFORMED_IDENTITY
 from doclake.sources.landing import scan_range
 from doclake.sources.objects import ORDER, current_versions
-from doclake.sources.store import Store
+from doclake.sources.store import Run, Store
 
 
 def locate(landing: DataFrame, objects: DataFrame) -> DataFrame:
     """Landing rows with the order value of their current object, and a failure when there is none."""
+    return _with_failures(landing.join(current_versions(objects), "file_path", "left"))
+
+
+def locate_indexed(landing: DataFrame, pointers: DataFrame) -> DataFrame:
+    """The same from the index of keys: the current object, whichever record or partition wrote it."""
+    order = F.struct(F.col("object_run").alias("run"), "fetch_seq")
+    known = pointers.select("file_path", order.alias(ORDER), "object_folder", "object_partition")
+    return _with_failures(landing.join(known, "file_path", "left"))
+
+
+def _with_failures(located: DataFrame) -> DataFrame:
     incomplete = blank(F.col("identifier")) | blank(F.col("body")) | blank(F.col("file_path"))
-    located = landing.join(current_versions(objects), "file_path", "left")
     gone = F.col(ORDER).isNull()
     return located.withColumns(
         {
@@ -94,12 +105,15 @@ def transform_located(
 ) -> DataFrame:
     """The part that touches content: one inner join on a unique key, then the conversion.
 
-    ``located`` has no content, so for a range of ordinary size it is the side to broadcast, and
-    the content is neither shuffled nor sorted. Spark decides that by the size it knows.
+    ``located`` has no content, so for a range of ordinary size it is the side to broadcast; beyond,
+    it is moved to the buckets of the content. The content is not shuffled either way. The version is
+    compared by order, not equality: the join's only key is the one the content is bucketed by.
     """
     found = located.where("error_code is null").drop("error_code", "reason")
+    found = found.withColumnsRenamed({"file_path": "_path", ORDER: "_order"})
     content = objects.select("file_path", ORDER, "content")
-    rows = content.join(found, ["file_path", ORDER]).drop(ORDER)
+    same = (F.col(ORDER) <= F.col("_order")) & (F.col(ORDER) >= F.col("_order"))
+    rows = content.join(found, (F.col("file_path") == F.col("_path")) & same).drop(ORDER, "_order", "_path")
     lost = located.where("error_code is not null").drop(ORDER)
     return convert(rows, as_of, profile).unionByName(lost, allowMissingColumns=True)
 
@@ -149,18 +163,19 @@ def run_transform(
     reads slim columns of that.
     """
     check_range(start, end)
-    run = store.begin()
-    landing = scan_range(store.read("landing", start, end), start, end)
-    objects = store.objects("landing", landing)
-    located = run.stage("located", locate(landing.drop("object_partition"), objects))
-    rows = transform_located(located, objects, as_of, profile)
-    outcomes = run.write_objects("transformed", rows).drop("content")
-    good = outcomes.where("error_code is null")
-    run.merge(
-        "transformed",
-        good,
-        run.held("transformed", good),
-        lambda stored: transformed_after(stored, outcomes).drop("action"),
-    )
-    run.commit()
-    return outcomes
+
+    def convert_range(run: Run) -> DataFrame:
+        landing = scan_range(store.read("landing", start, end), start, end).drop("object_partition")
+        located = run.stage("located", locate_indexed(landing, run.find(LANDING_OBJECT, landing)))
+        # One row per run and date window that wrote an object of the range.
+        places = located.where("error_code is null").select("object_folder", "object_partition").distinct().collect()
+        objects = store.objects_at([tuple(p) for p in places], run.buckets)
+        rows = transform_located(located.drop("object_folder", "object_partition"), objects, as_of, profile)
+        outcomes = run.write_objects("transformed", rows).drop("content")
+        good = outcomes.where("error_code is null")
+        held = run.stage("held", run.find(TRANSFORMED_IDENTITY, good))
+        run.merge("transformed", good, held, lambda stored: transformed_after(stored, outcomes).drop("action"))
+        run.post(TRANSFORMED_IDENTITY, good)
+        return outcomes
+
+    return store.attempt(convert_range)

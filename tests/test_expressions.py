@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import urljoin
 
 import pytest
 from hypothesis import given, settings
@@ -8,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from doclake.functions import content, requests, text
+from doclake.functions.urls import absolute_url
 from doclake.profile import DEFAULT_PROFILE
 
 
@@ -159,3 +161,23 @@ def test_failure_details(column):
 def test_on_domain(column):
     urls = ["https://example.test/a", "http://www.example.test", "https://badexample.test/", "nonsense", None]
     assert column(requests.on_domain(F.col("v"), "example.test"), urls) == [True, True, False, False, False]
+
+
+LINKS = [
+    "g", "./g", "g/", "/g", "//h/g", "?y", "g?y", "#s", "g#s", "g?y#s", "g;x", "g;x?y#s", "", ".", "./", "..", "../", "../g",
+    "../..", "../../", "../../g", "../../../g", "../../../../g", "/./g", "/../g", "g.", ".g", "g..", "..g", "./../g", "./g/.",
+    "g/./h", "g/../h", "g?y/../x", "g#s/../x", "http:g", "HTTP://Host/Path/../x", "https://other/x", "mailto:a@b", "javascript:void(0)",
+    "//host", "a//b", "a/../../b//c", " g", "g\th", "g?", "g#", "?", "#", "/", "a:b/c", "x/y:z", "caf\u00e9/\u65e5?q=\u00fc", None,
+]
+BASES = ["http://a/b/c/d;p?q", "https://a.test", "http://a/", "http://a/b/c/", "http://a?q", "http://a/b//c", "", None]
+
+
+def test_links_are_resolved_as_the_standard_library_does(spark):
+    rows = [(base, link) for base in BASES for link in LINKS]
+    frame = spark.createDataFrame([(n, *row) for n, row in enumerate(rows)], "n int, base string, link string")
+    resolved = frame.select("n", absolute_url(F.col("base"), F.col("link")).alias("url"))
+    plan = resolved._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    got = [r.url for r in resolved.orderBy("n").collect()]
+    want = [link if not link else urljoin(base or "", link) for base, link in rows]
+    assert [(r, g) for r, g, w in zip(rows, got, want, strict=True) if g != w] == []

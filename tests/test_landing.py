@@ -9,7 +9,7 @@ from doclake.operators.frontier import document_plan, rate_limited, retry_workli
 from doclake.operators.identity import lanes, latest_per_identity, merge, upsert, write_decisions
 from doclake.operators.outcomes import failures, triage, with_validation
 from doclake.operators.stats import ingest_counters, run_summary, scope_stats
-from doclake.plans.ingest import decide, landing_after, objects_to_write, run_ingest
+from doclake.plans.ingest import decide, landing_after, last_writes, objects_to_write, run_ingest
 from doclake.sources.store import METADATA, Store
 
 AS_OF = "2024-06-01T00:00:00+00:00"
@@ -133,8 +133,8 @@ def brute_force_decisions(rows, stored):
     return out
 
 
-@pytest.mark.parametrize("parts", [1, 2, 5, 40])
-def test_write_decisions_equal_sequential_writes_whatever_the_lanes(spark, parts):
+@pytest.mark.parametrize(("parts", "bound"), [(1, 100), (2, 100), (5, 30), (40, 100), (5, 10**6), (5, 0)])
+def test_write_decisions_equal_sequential_writes_whatever_the_lanes(spark, parts, bound):
     """One identity holds most rows, so its history spans many lanes."""
     rng = random.Random(parts)
     rows, stored = [], {("B", "hot"): ("p", "a"), ("B", "k1"): ("p", None)}
@@ -146,7 +146,7 @@ def test_write_decisions_equal_sequential_writes_whatever_the_lanes(spark, parts
     usual = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        got = write_decisions(frame, before).collect()
+        got = write_decisions(frame, before, bound=bound).collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
     assert {r.fetch_seq: (r.object_written, r.inserted) for r in got} == brute_force_decisions(rows, stored)
@@ -228,7 +228,7 @@ def test_landing_after_and_objects_are_lazy_frames_too(empty, capture):
     rows = ten(capture)
     decisions = decide(rows, empty)
     assert landing_after(empty, decisions, AS_OF).count() == 10
-    objects = objects_to_write(rows, decisions).collect()
+    objects = objects_to_write(rows, last_writes(decisions)).collect()
     assert {o.content_type for o in objects} == {"text/html; charset=utf-8"}
 
 

@@ -14,7 +14,8 @@ def test_page_functions_run_where_the_package_is_not_installed(tmp_path):
         f"""
         import sys; sys.path.insert(0, {str(ROOT)!r})
         from pyspark.sql import SparkSession, functions as F
-        from doclake.functions.pages import absolute_url, clean_page, read_bodies, read_listing
+        from doclake.functions.pages import clean_page, read_bodies, read_listing
+        from doclake.functions.urls import absolute_url
         from doclake.sources.objects import export_objects
         spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
         rows = spark.createDataFrame([("a", b"<main>x</main>")], "file_path string, content binary")

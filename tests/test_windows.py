@@ -76,6 +76,27 @@ def test_range_join_equals_nested_loop(spark):
     assert got == {(n, i) for n, d in days for i, a, b in spans if a <= d < b}
 
 
+@pytest.mark.parametrize("bound", [1, 7, 10**6])
+def test_range_join_with_open_windows_and_a_hot_day(spark, bound):
+    first = date(2023, 12, 30)
+    spans = [(0, first, date(9999, 12, 31)), (1, date(1, 1, 1), date(2024, 1, 5)), (2, first, first), (3, None, first), (4, date(2024, 1, 2), date(2024, 1, 3))]
+    spans += [(5 + i, first + timedelta(days=i % 7), first + timedelta(days=i % 7 + i)) for i in range(25)]
+    days = [(n, first + timedelta(days=2 if n % 3 == 0 else n % 31), "x") for n in range(150)] + [(999, None, "x")]
+    rows = spark.createDataFrame(days, "n int, day date, id string")
+    table = spark.createDataFrame(spans, "id int, start date, end date").withColumnRenamed("id", "window")
+    got = sorted((r.n, r.window) for r in windows.range_join(rows, "day", table, bound).collect())
+    assert got == sorted((n, i) for n, d, _ in days for i, a, b in spans if d and a and a <= d < b)
+
+
+def test_a_window_is_few_nodes(spark):
+    spans = [(date(2024, 1, 1), date(9999, 12, 31)), (date(1, 1, 1), date(9999, 12, 31)), (date(2024, 1, 1), date(2024, 1, 2)), (date(2024, 1, 2), date(2024, 1, 1))]
+    frame = spark.createDataFrame(spans, "start date, end date")
+    for row in frame.select("start", "end", windows.dyadic_nodes(F.col("start"), F.col("end")).alias("nodes")).collect():
+        days = max(0, (row.end - row.start).days)
+        assert sum(1 << n.level for n in row.nodes) == days and len(row.nodes) <= 2 * max(1, days.bit_length())
+        assert all((n.node << n.level) >= row.start.toordinal() - 1 and ((n.node + 1) << n.level) <= row.end.toordinal() - 1 for n in row.nodes)
+
+
 def test_listing_plan(spark):
     bodies = spark.createDataFrame([("3", "High Tribunal"), ("7", "Board")], "body_id string, body string")
     rows = frontier.listing_plan(bodies, "2024-01-01", "2024-03-01").orderBy("body_id", "partition").collect()

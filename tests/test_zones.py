@@ -1,22 +1,26 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from doclake.operators.stats import run_summary, scope_stats
-from doclake.plans import audit
-from doclake.plans.ingest import run_ingest
+from doclake.plans import audit, ingest
+from doclake.plans.ingest import decide, last_writes, objects_to_write, run_ingest
 from doclake.plans.transform import (
     key_collisions,
-    locate,
+    locate_indexed,
     run_transform,
     transform,
     transform_events,
     transform_located,
 )
 from doclake.plans.window import run_window
+from doclake.sources import index
 from doclake.sources import objects as object_table
-from doclake.sources.store import Store
+from doclake.sources.index import LANDING_OBJECT
+from doclake.sources.store import Conflict, Store
 
 AS_OF = "2024-06-01T00:00:00+00:00"
 HTML = b"<html><title>T</title><body><nav>menu</nav><main>Text</main></body></html>"
@@ -229,15 +233,156 @@ def test_range_scan_lists_only_its_folders(store, capture):
     assert files and all("2024-03-01" in f or "2024-04-01" in f for f in files)
 
 
-def test_transform_scans_content_once_in_its_partitions_and_does_not_shuffle_it(store, capture):
+def located_in(store, start, end):
+    """What a transform settles before it reads content, and the objects it reads."""
+    run = store.begin()
+    landing = store.read("landing", start, end).drop("object_partition")
+    located = run.stage("located", locate_indexed(landing, run.find(LANDING_OBJECT, landing)))
+    places = [tuple(p) for p in located.select("object_folder", "object_partition").distinct().collect()]
+    return located.drop("object_folder", "object_partition"), store.objects_at(places, run.buckets)
+
+
+def exchanges(frame):
+    """The exchanges of a plan, each with the columns it carries."""
+    lines = frame._jdf.queryExecution().explainString(frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")).splitlines()
+    return [lines[at + 1] for at, line in enumerate(lines) if re.match(r"\(\d+\) Exchange", line)]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, usual)
+
+
+def test_transform_scans_content_once_in_its_partitions(store, capture):
     dates = ["2024-01-01", "2024-02-01", "2024-03-01"]
     run_ingest(store, capture(*[{"identifier": d, "partition_date": d, "payload": HTML} for d in dates]), AS_OF)
-    landing = store.read("landing", "2024-02-01", "2024-03-01")
-    objects = store.objects("landing", landing)
-    located = store.begin().stage("located", locate(landing.drop("object_partition"), objects))
+    located, objects = located_in(store, "2024-02-01", "2024-03-01")
     plan = transform_located(located, objects, AS_OF)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line and "content#" in line]
     assert len(scans) == 1 and "(partition_date" in scans[0].split("PartitionFilters")[1]
-    assert "Exchange hashpartitioning" not in plan and plan.count("ArrowEvalPython") == 1
-    slim = locate(landing, objects)._jdf.queryExecution().executedPlan().toString()
-    assert "content#" not in slim
+    assert plan.count("ArrowEvalPython") == 1
+    assert all("2024-02-01" in f for f in objects.inputFiles())
+
+
+def test_no_exchange_carries_content_in_a_transform(store, capture, no_broadcast):
+    """Neither where the slim side is too large to broadcast, nor over objects of several runs."""
+    for month in ("2024-01-01", "2024-02-01"):
+        run_ingest(store, capture(*[{"identifier": f"{month} {i}", "partition_date": month, "payload": HTML} for i in range(9)]), AS_OF)
+    located, objects = located_in(store, *YEAR)
+    rows = transform_located(located, objects, AS_OF)
+    moved = exchanges(rows)
+    assert moved and not any("content" in columns for columns in moved)
+    assert rows.where("error_code is null").count() == 18
+
+
+def test_one_exchange_carries_the_payload_of_an_ingest(store, capture, no_broadcast):
+    rows = documents(capture)
+    decisions = store.begin().stage("decisions", decide(rows, store.read("landing")))
+    moved = exchanges(objects_to_write(rows, last_writes(decisions), buckets=3).repartition(3, "file_path"))
+    assert sum("payload" in columns or "content" in columns for columns in moved) == 1
+    few = objects_to_write(rows, F.broadcast(last_writes(decisions))).repartition(3, "file_path")
+    assert sum("payload" in columns or "content" in columns for columns in exchanges(few)) == 1
+
+
+def test_many_and_few_objects_are_written_alike(spark, tmp_path, capture, monkeypatch):
+    rows = documents(capture, {"identifier": "X/1", "payload": PDF}, {"identifier": "P-1", "payload": PDF + b"2"}, {"identifier": "gone", "status": 404})
+    content = []
+    for few in (100, 0):
+        monkeypatch.setattr(ingest, "FEW", few)
+        store = Store(spark, str(tmp_path / str(few)), buckets=3)
+        run_ingest(store, rows, AS_OF)
+        content.append(sorted((o.file_path, bytes(o.content), o.fetch_seq) for o in store.objects("landing").collect()))
+    assert content[0] == content[1] and len(content[0]) == 5
+
+
+def test_a_key_written_last_in_another_partition(store, capture):
+    """A narrow range gives a record what the wide one gives it."""
+    january, march = {"partition_date": "2024-01-01"}, {"partition_date": "2024-03-01"}
+    run_ingest(store, capture({"identifier": "X/1", "payload": PDF + b"1", **january}, {"identifier": "X-1", "payload": PDF + b"2", **march}), AS_OF)
+    run_ingest(store, capture({"identifier": "Y/1", "payload": PDF + b"3", **january}), AS_OF)
+    run_ingest(store, capture({"identifier": "Y-1", "payload": PDF + b"4", **march}), AS_OF)
+    columns = ["identifier", "file_path", "file_hash", "error_code"]
+    wide = run_transform(store, *YEAR, AS_OF).where("partition_date < '2024-02-01'").select(*columns)
+    narrow = run_transform(store, "2024-01-01", "2024-02-01", AS_OF).select(*columns)
+    assert sorted(narrow.collect()) == sorted(wide.collect()) and narrow.count() == 2
+    assert narrow.where("error_code is not null").count() == 0
+
+
+def test_a_lookup_opens_the_touched_buckets_only(spark, tmp_path, capture):
+    store = Store(spark, str(tmp_path / "zones"), buckets=32)
+    run_ingest(store, capture(*[{"identifier": f"T-{i}"} for i in range(200)]), AS_OF)
+    run_ingest(store, capture({"identifier": "T-7", "payload": PDF}), AS_OF)
+    run, batch = store.begin(), capture({"identifier": "T-7"}, {"identifier": "new"})
+    parts = store.state()[1]["landing_identity"]
+    hit = index.touched(index.LANDING_IDENTITY, batch, run.buckets)
+    assert run.buckets == 32 and len(hit) <= 2
+    opened = index.read(spark, store.root, index.LANDING_IDENTITY, parts, hit).inputFiles()
+    assert opened and {int(re.search(r"bucket=(\d+)", f)[1]) for f in opened} <= hit
+    found = run.find(index.LANDING_IDENTITY, batch).collect()
+    assert [(r.identifier, r.file_path) for r in found] == [("T-7", "Tribunal/T-7.pdf")]
+
+
+def test_the_index_is_what_the_zone_holds(spark, tmp_path, capture, monkeypatch):
+    monkeypatch.setattr(index, "MOST_FOLDERS", 3)
+    store = Store(spark, str(tmp_path / "zones"), buckets=4)
+    for turn in range(6):
+        rows = [{"identifier": f"T-{i}", "payload": f"<main>{turn * (i % 3)}</main>".encode()} for i in range(turn, turn + 6)]
+        run_ingest(store, capture(*rows), AS_OF)
+    landing = store.read("landing")
+    names = index.LANDING_IDENTITY.schema.names
+    known = store.begin().find(index.LANDING_IDENTITY, landing)
+    assert sorted(known.select(*names).collect()) == sorted(landing.select(*names).collect())
+    assert max(map(len, index.folders(store.state()[1]["landing_identity"]).values())) <= 3
+    pointed = store.begin().find(LANDING_OBJECT, landing.select("file_path"))
+    current = object_table.current_versions(store.objects("landing"))
+    assert sorted((r.file_path, r.object_run, r.fetch_seq) for r in pointed.collect()) == sorted((r.file_path, *r.write_order) for r in current.collect())
+
+
+def test_a_store_from_before_the_indexes_is_indexed_once(store, capture):
+    run_ingest(store, documents(capture), AS_OF)
+    old = store.begin()
+    old.zones = {z: parts for z, parts in old.zones.items() if z in ("landing", "landing_objects", "layout")}
+    old.commit()
+    second = run_ingest(store, documents(capture), AS_OF)
+    assert second.where("object_written or inserted").count() == 0
+    assert run_transform(store, *YEAR, AS_OF).where("error_code is not null").count() == 0
+
+
+def test_of_two_runs_from_one_state_one_is_done_again(store, capture):
+    """The second writer commits while the first is at work: the first decides again against it."""
+    run_ingest(store, capture({"identifier": "old"}), AS_OF)
+    begin, meddled = store.begin, []
+
+    def begin_and_be_overtaken():
+        run = begin()
+        if not meddled:
+            meddled.append(True)
+            run_ingest(Store(store.spark, store.root), capture({"identifier": "T-1"}, {"identifier": "T-2"}), "other")
+        return run
+
+    store.begin = begin_and_be_overtaken
+    decisions = run_ingest(store, capture({"identifier": "T-1"}, {"identifier": "T-3"}), "own").collect()
+    # T-1 is known by now, and its bytes are there.
+    assert {r.identifier: (r.inserted, r.object_written) for r in decisions} == {"T-1": (False, False), "T-3": (True, True)}
+    landing = store.read("landing")
+    assert {r.identifier: r.scraped_at for r in landing.collect()} == {"old": AS_OF, "T-1": "own", "T-2": "other", "T-3": "own"}
+    assert landing.count() == 4 and store.state()[0] == 3
+    assert run_transform(store, *YEAR, AS_OF).count() == 4
+
+
+def test_a_run_that_is_always_overtaken_gives_up(store, capture):
+    begin, other = store.begin, Store(store.spark, store.root)
+
+    def overtaken():
+        run = begin()
+        other.begin().commit()
+        return run
+
+    store.begin = overtaken
+    with pytest.raises(Conflict):
+        run_ingest(store, capture({}), AS_OF)
+    assert other.read("landing").count() == 0

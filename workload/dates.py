@@ -125,6 +125,35 @@ def range_join_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_OPEN = """
+WITH dated AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN DATE '1996-02-29' ELSE CAST(o_orderdate AS DATE) END AS day FROM orders),
+spans AS (
+  SELECT s_suppkey, DATE '1992-01-01' + CAST(s_suppkey * 37 % 2500 AS INTEGER) AS a,
+    CASE WHEN s_suppkey % 4 = 0 THEN DATE '9999-12-31' WHEN s_suppkey % 4 = 1 THEN DATE '1992-01-01'
+      ELSE DATE '1992-01-01' + CAST(s_suppkey * 37 % 2500 + s_nationkey * 9 AS INTEGER) END AS b FROM supplier)
+SELECT s_suppkey, CAST(day = DATE '1996-02-29' AS INTEGER) AS hot, count(*) AS orders, CAST(sum(o_orderkey) AS BIGINT) AS keys
+FROM spans JOIN dated ON day >= a AND day < b GROUP BY ALL"""
+
+
+@query("range_join_open", _OPEN)
+def range_join_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order in every window of its day: windows to the end of the calendar, empty ones, and a
+    day with a third of all orders."""
+    first = F.lit("1992-01-01").cast("date")
+    offset = (F.col("s_suppkey") * 37 % 2500).cast("int")
+    turn = F.col("s_suppkey") % 4
+    until = F.date_add(first, (offset + F.col("s_nationkey") * 9).cast("int"))
+    end = F.when(turn == 0, F.lit("9999-12-31").cast("date")).when(turn == 1, first).otherwise(until)
+    spans = table(spark, sf_dir, "supplier").select("s_suppkey", F.date_add(first, offset).alias("start"), end.alias("end"))
+    leap = F.lit("1996-02-29").cast("date")
+    day = F.when(F.col("o_orderkey") % 3 == 0, leap).otherwise(F.to_date("o_orderdate"))
+    dated = table(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"))
+    joined = windows.range_join(dated, "day", spans)
+    hot = (F.col("day") == leap).cast("int").alias("hot")
+    return joined.groupBy("s_suppkey", hot).agg(F.count("*").alias("orders"), F.sum("o_orderkey").alias("keys"))
+
+
 _GRID = """
 months AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-06-01', INTERVAL 1 MONTH)) AS DATE) AS m),
 w AS (SELECT greatest(m, DATE '2024-01-15') AS a, least(CAST(m + INTERVAL 1 MONTH AS DATE), DATE '2024-06-10') AS b FROM months),

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.operators import identity, outcomes
-from doclake.plans.ingest import decide, landing_after, objects_to_write
+from doclake.plans.ingest import decide, landing_after, last_writes, objects_to_write, run_ingest
 from doclake.schema import CAPTURE_SCHEMA
 from doclake.sources import captures as files
 from doclake.sources import landing as scans
 from doclake.sources.objects import export_objects
-from doclake.sources.store import METADATA
+from doclake.sources.store import METADATA, Store
 from doclake.sources.workspace import materialize, workspace
 from workload.inputs import AS_OF, DECIDED, FETCHES, fetch_batches, fetches, page_captures
 from workload.registry import query, table
@@ -167,6 +167,17 @@ def write_decisions_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("ingest_indexed", f"{_DECISIONS} WHERE ts >= TIMESTAMP '2024-01-16'")
+def ingest_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch ingested into a store that holds the first, which is known by its index only."""
+    store = Store(spark, workspace(spark, "indexed"))
+    for batch in fetch_batches(spark, sf_dir):
+        decisions = run_ingest(store, batch, AS_OF)
+    return decisions.where("outcome = 'stored'").select(
+        "fetch_seq", "body", "identifier", "file_path", "file_hash", "inserted", "object_written"
+    )
+
+
 @query(
     "objects_to_write",
     f"""WITH {DECIDED},
@@ -178,7 +189,7 @@ FROM decided d JOIN last_write w ON d.file_path = w.file_path AND d.fetch_seq =
 )
 def written_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hash is taken from the content again, so it proves what is written."""
-    rows = objects_to_write(fetches(spark, sf_dir), all_decisions(spark, sf_dir))
+    rows = objects_to_write(fetches(spark, sf_dir), last_writes(all_decisions(spark, sf_dir)))
     return rows.select(
         "file_path", "fetch_seq", F.sha2("content", 256).alias("file_hash"), "partition_date", "content_type"
     )

@@ -207,7 +207,7 @@ FROM requests""",
 )
 def suppress_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all pages as document requests, in page and link order."""
-    from doclake.functions.pages import absolute_url
+    from doclake.functions.urls import absolute_url
     from doclake.profile import SourceProfile
 
     hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))

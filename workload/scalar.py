@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.functions import content, requests, text
-from doclake.functions.pages import absolute_url
+from doclake.functions.urls import absolute_url
 from doclake.operators.frontier import read_listings
 from workload.inputs import CAPTURES, FETCHES, captures, document_captures, fetches, listing_pages, page_captures
 from workload.registry import query, table

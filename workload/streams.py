@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from doclake.operators.outcomes import triage, with_validation
 from doclake.sources.store import Store
 from doclake.sources.workspace import workspace
+from doclake.streaming import decisions
 from doclake.streaming.ingest import stream_ingest as start_ingest
 from doclake.streaming.stats import current_scope_stats, stream_scope_stats as start_stats, weekly_scopes
 from workload.inputs import AS_OF, DECIDED, FETCHES, fetches_of
@@ -15,6 +16,9 @@ from workload.registry import query, table
 from workload.stats import _COUNTS
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
@@ -53,6 +57,32 @@ def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_write_decisions",
+    f"WITH {DECIDED} SELECT fetch_seq, body, identifier, file_path, file_hash, inserted, object_written FROM decided",
+)
+def stream_write_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attempts in four micro-batches, the third with a part of the first once more, decided with state."""
+    attempts = fetches_of(table(spark, sf_dir, "events")).drop("ts")
+    last = attempts.agg(F.max("fetch_seq")).head()[0]
+    source = workspace(spark, "arriving")
+    quarter = F.floor(F.col("fetch_seq") * 4 / (last + 1))
+    for piece in range(4):
+        again = attempts.where((quarter == 0) & (F.col("fetch_seq") % 5 == 0)) if piece == 2 else attempts.limit(0)
+        attempts.where(quarter == piece).union(again).coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    usual = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, decisions.PROVIDER)
+    try:
+        path = workspace(spark, "stream-decisions")
+        decided = decisions.decide_stream(arriving)
+        decisions.stream_decisions(decided, path, workspace(spark, "decision-state")).awaitTermination()
+    finally:
+        spark.conf.unset(STATE_STORE) if usual is None else spark.conf.set(STATE_STORE, usual)
+    found = spark.read.schema(decided.schema).parquet(path).where("not replayed")
+    return found.select("fetch_seq", "body", "identifier", "file_path", "file_hash", "inserted", "object_written")
+
+
 @query(
     "stream_scope_stats",
     f"WITH {FETCHES} SELECT body, partition, {_COUNTS} FROM checked GROUP BY body, partition",

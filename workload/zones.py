@@ -10,14 +10,14 @@ from doclake.operators.events import transform_log as transform_lines
 from doclake.operators.stats import scope_stats
 from doclake.plans import audit
 from doclake.plans import transform as plans
-from doclake.plans.ingest import classify
-from doclake.plans.window import run_window
-from doclake.schema import LANDING_SCHEMA, TRANSFORMED_SCHEMA
+from doclake.plans.ingest import classify, run_ingest
+from doclake.plans.window import run_logged, run_window
+from doclake.schema import CAPTURE_SCHEMA, LANDING_SCHEMA, TRANSFORMED_SCHEMA
 from doclake.sources import objects as object_table
 from doclake.sources.landing import scan_range
 from doclake.sources.store import Store
 from doclake.sources.workspace import materialize, workspace
-from workload.inputs import AS_OF, CAPTURE_RANGE, CAPTURES, captures
+from workload.inputs import AS_OF, CAPTURE_RANGE, CAPTURES, _capture, captures
 from workload.registry import query, table
 from workload.stats import _fields, _sql_line, _summary_lines, _text
 
@@ -457,3 +457,89 @@ def window_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, workspace(spark, "store"))
     result = run_window(store, captures(spark, sf_dir), *CAPTURE_RANGE, AS_OF)
     return scope_stats(plans.transform_events(result.outcomes))
+
+
+@query(
+    "transform_narrow_range",
+    """
+WITH numbered AS (SELECT doc_id // 2 AS pair, doc_id % 2 AS turn, coalesce(text, '') AS text FROM documents)
+SELECT 'D/' || pair AS identifier, 'Archive/D-' || pair || '.pdf' AS source_file_path, 'D-' || pair || '.pdf' AS file_path,
+  sha256('%PDF-' || arg_max(text, turn)) AS file_hash, CAST(NULL AS VARCHAR) AS error_code
+FROM numbered GROUP BY pair HAVING min(turn) = 0""",
+)
+def transform_narrow_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """January alone, though most of its keys were last written by records of March.
+
+    Documents come in pairs whose identifiers, with a slash and with a dash, share an object key.
+    """
+    pair, turn = F.floor(F.col("doc_id") / 2).cast("string"), F.col("doc_id") % 2
+    identifier = F.concat(F.when(turn == 0, "D/").otherwise("D-"), pair)
+    day = F.when(turn == 0, "2024-01-01").otherwise("2024-03-01")
+    given = {
+        "fetch_seq": F.col("doc_id"), "body": F.lit("Archive"), "identifier": identifier, "title": identifier,
+        "description": F.lit("text"), "date": day, "document_url": F.concat(F.lit("https://example.test/"), identifier),
+        "partition_date": day, "status": F.lit(200), "content_type": F.lit("application/pdf"),
+        "payload": F.encode(F.concat(F.lit("%PDF-"), F.coalesce("text", F.lit(""))), "UTF-8"),
+    }
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in CAPTURE_SCHEMA if f.name not in given}
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = Store(spark, workspace(spark, "narrow"))
+    run_ingest(store, documents.withColumns({**given, **empty}).select(*CAPTURE_SCHEMA.names), AS_OF)
+    outcomes = plans.run_transform(store, "2024-01-01", "2024-02-01", AS_OF)
+    return outcomes.select("identifier", "source_file_path", "file_path", "file_hash", "error_code")
+
+
+def _sql_run(logger: str, event: str, *fields: str) -> str:
+    return _sql_line("INFO", logger, event, _fields(*fields))
+
+
+_SPAN = """',"start_date":"2024-01-01","end_date":"2024-04-01","partition_size":"monthly"'"""
+_COUNTED = "count(*) AS records_found, count(*) FILTER (WHERE status <> 404) AS records_scraped, count(*) FILTER (WHERE status = 404) AS failed"
+_NUMBERS = _fields(*[f"""',"{name}":' || {name}""" for name in ("records_found", "records_scraped", "failed")])
+
+
+@query(
+    "run_log",
+    f"""
+WITH given AS (
+  SELECT source AS body, 'L/' || doc_id AS identifier, 'L-' || doc_id AS name, 'https://files.example.test/' || doc_id AS url,
+    CASE doc_id % 10 WHEN 3 THEN 404 WHEN 7 THEN 304 ELSE 200 END AS status, sha256('%PDF-' || text) AS file_hash,
+    date_trunc('month', DATE '2024-01-01' + CAST(doc_id % 90 AS INTEGER)) AS month,
+    strftime(month, '%Y-%m-%d') AS partition_date,
+    strftime(month, '%Y-%m-%d') || '/' || strftime(month + INTERVAL 1 MONTH, '%Y-%m-%d') AS partition, 'pdf' AS document_type
+  FROM documents),
+stored AS (SELECT *, body || '/' || name || '.pdf' AS file_path, name || '.pdf' AS key FROM given WHERE status = 200),
+landed AS (SELECT body, partition, {_COUNTED} FROM given GROUP BY ALL),
+made AS (SELECT body, partition_date AS partition, {_COUNTED} FROM stored GROUP BY ALL),
+total AS (SELECT {_COUNTED} FROM given), whole AS (SELECT {_COUNTED} FROM stored)
+SELECT {_sql_run("landing", "run_started", _SPAN, "',"+'"partitions":3'+"'")} AS value
+UNION ALL SELECT {_sql_run("landing", "bodies_discovered", """',"bodies":["' || string_agg(DISTINCT body, '","' ORDER BY body) || '"]'""")} FROM given
+UNION ALL SELECT {_sql_run("landing", "record_stored", *map(_text, ("body", "identifier", "partition", "file_path", "file_hash", "document_type")), """',"object_written":true,"inserted":true'""")} FROM stored
+UNION ALL SELECT {_sql_run("landing", "document_unchanged", *map(_text, ("url", "identifier", "body")), _text("reason", "'http_validator'"))} FROM given WHERE status = 304
+UNION ALL SELECT {_sql_line("ERROR", "landing", "record_failed", _fields(_text("url"), _text("error_code", "'404'"), _text("reason", "'http error 404'"), *map(_text, ("body", "partition", "identifier"))))} FROM given WHERE status = 404
+UNION ALL SELECT {_sql_run("landing", "partition_summary", *map(_text, ("body", "partition")), _NUMBERS)} FROM landed
+UNION ALL SELECT {_sql_run("landing", "run_summary", _NUMBERS, _SPAN, """',"reason":"finished"'""")} FROM total
+UNION ALL SELECT {_sql_run("transformation", "transform_started", """',"partition":"2024-01-01/2024-04-01"'""")}
+UNION ALL SELECT {_sql_run("transformation", "document_transformed", *map(_text, ("identifier", "body")), _text("partition", "partition_date"), _text("document_type"), _text("file_path", "key"), _text("file_hash"), """',"unchanged_content":true'""")} FROM stored
+UNION ALL SELECT {_sql_run("transformation", "partition_summary", *map(_text, ("body", "partition")), _NUMBERS)} FROM made
+UNION ALL SELECT {_sql_run("transformation", "run_summary", _NUMBERS, """',"partition":"2024-01-01/2024-04-01"'""")} FROM whole""",
+)
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a run over the documents, one in ten gone and one in ten unchanged."""
+    n = F.col("doc_id")
+    rows = _capture(
+        table(spark, sf_dir, "documents"),
+        n,
+        fetch_seq=n,
+        body=F.col("source"),
+        identifier=F.concat(F.lit("L/"), n),
+        title=F.col("source"),
+        description=F.col("lang"),
+        document_url=F.concat(F.lit("https://files.example.test/"), n),
+        content_type=F.lit("application/pdf"),
+        status=F.when(n % 10 == 3, 404).when(n % 10 == 7, 304).otherwise(200),
+        payload=F.encode(F.concat(F.lit("%PDF-"), "text"), "UTF-8"),
+    )
+    bodies = table(spark, sf_dir, "documents").select(F.col("source").alias("body_id"), F.col("source").alias("body"))
+    store = Store(spark, workspace(spark, "logged"))
+    return run_logged(store, rows, bodies, *CAPTURE_RANGE, "2024-06-01")
