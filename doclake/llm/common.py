@@ -21,7 +21,7 @@ cloudpickle.register_pickle_by_value(doclake)
 WORD = r"[^\x20\x09-\x0D]+"
 
 # Bytes of text that a Python step gets at a time, whatever the size of Arrow's batches.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 Step = Callable[..., list[pa.Array]]
 

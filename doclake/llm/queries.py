@@ -50,7 +50,8 @@ URL_RULES = (
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcomes: the quality label with the page's id; the tables have no labels of pages."""
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    return urls.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    judged = urls.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    return judged.withColumns({c: F.round(c, 9) for c in ("share", "bound")})
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

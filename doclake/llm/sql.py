@@ -55,7 +55,7 @@ ruled as (
   from parts)
 select page_id, host, path, rule,
        case when rule in ('com/', 'www.example.com/en/') then 'allow' when rule is not null then 'block'
-            when bound < 0.5 then 'block' else 'allow' end as verdict, share, bound
+            when bound < 0.5 then 'block' else 'allow' end as verdict, round(share, 9) as share, round(bound, 9) as bound
 from ruled join bounds using (host)
 """
 

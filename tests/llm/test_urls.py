@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def oracle():
     con = duckdb.connect()
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
     return con
 
