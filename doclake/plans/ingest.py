@@ -189,7 +189,7 @@ def run_ingest(
         if count:
             buckets = None if count <= FEW else run.buckets
             objects = objects_to_write(captures, F.broadcast(picked) if buckets is None else picked, profile, buckets)
-            written = run.write_objects("landing", objects)
+            written = run.write_objects("landing", objects, dealt=buckets is not None)
             place = {"object_run": F.lit(run.number).cast("long"), "object_folder": F.lit(run.folder)}
             run.post(LANDING_OBJECT, written.withColumnRenamed("partition_date", "object_partition").withColumns(place))
         records = decisions.where("outcome = 'stored'")

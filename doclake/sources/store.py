@@ -236,16 +236,17 @@ class Run:
         rows.write.mode("overwrite").parquet(path)
         return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
-    def write_objects(self, zone: str, rows: DataFrame) -> DataFrame:
-        """Add object versions. Those of landing are moved once, to their buckets; transformed ones are
-        written where they are made."""
+    def write_objects(self, zone: str, rows: DataFrame, dealt: bool = False) -> DataFrame:
+        """Add object versions. Those of landing are moved to their buckets, unless they have been
+        ``dealt`` to them; transformed ones are written where they are made."""
         path = f"{self.store.root}/{zone}_objects/{self.folder}"
         columns = [c for c in OBJECTS[zone].names if c != "run"]
         made = rows.select(*columns)
         if zone == "landing":
             # A writer of a bucketed table needs a name; the table is forgotten, its files stay.
             name = f"doclake_{uuid.uuid4().hex}"
-            writer = made.repartition(self.buckets, "file_path").write.mode("append").partitionBy("partition_date")
+            placed = made if dealt else made.repartition(self.buckets, "file_path")
+            writer = placed.write.mode("append").partitionBy("partition_date")
             writer.bucketBy(self.buckets, "file_path").sortBy("file_path").option("path", path).format("parquet").saveAsTable(name)
             rows.sparkSession.sql(f"DROP TABLE {name}")
         else:
