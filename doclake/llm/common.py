@@ -23,6 +23,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Bytes of text that a Python step gets at a time, whatever the size of Arrow's batches.
 SLICE_BYTES = 2 << 20
 
+# Bounds of an Arrow batch on its way: it is held by the JVM and by the Python worker at the same time,
+# and rows carry whole texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
 Step = Callable[..., list[pa.Array]]
 
 
@@ -51,8 +55,10 @@ def add_columns(
 
     ``start`` runs once per task and returns the step that turns the input columns of a batch into
     the arrays of the new columns. Kept are the frame's columns (or ``keep`` of them); one whose
-    name is that of a new column gives way to it.
+    name is that of a new column gives way to it. The session's Arrow batches are bounded for it.
     """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     added = T.StructType.fromDDL(fields)
     kept = without(df.select(*[F.col(_quoted(c)) for c in (df.columns if keep is None else keep)]), added.names)
     read = list(dict.fromkeys([*kept, *inputs]))

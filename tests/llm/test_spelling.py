@@ -62,7 +62,7 @@ def test_random_words(spark):
     docs = [(i, " ".join(dice.choices(words, weights=[1 / (1 + k % 40) for k in range(len(words))], k=60))) for i in range(80)]
     want = brute(docs)
     assert found(spark, docs) == want
-    assert sum(r[1] is not None for r in want) > 20 and any(r[2] != (r[1] or r[0]) for r in want)
+    assert sum(r[1] is not None for r in want) > 10 and any(r[2] != (r[1] or r[0]) for r in want)
 
 
 def test_edits_everywhere(spark):
