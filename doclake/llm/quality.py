@@ -101,11 +101,16 @@ class Span:
         return cls(positive.min(axis=0), positive.max(axis=0), positive.std(axis=0) + np.float32(1e-3))
 
     def features(self, matrix: np.ndarray) -> np.ndarray:
-        inside = np.clip(matrix, self.low, self.high)
-        beyond = matrix - inside
-        apart = np.clip(np.abs(beyond[:, -EXTRA:]) / self.spread[-EXTRA:], 0, CLIP)
-        pairs = np.sqrt(np.square(beyond[:, :-EXTRA]).sum(axis=1, keepdims=True))
-        return np.concatenate([inside, apart, pairs], axis=1).astype(np.float32)
+        out = np.empty((len(matrix), FEATURES), np.float32)
+        # By blocks of rows: the driver holds a sample twice at most.
+        for at in range(0, len(matrix), 500):
+            rows = matrix[at : at + 500]
+            inside = np.clip(rows, self.low, self.high)
+            beyond = rows - inside
+            out[at : at + 500, :RAW] = inside
+            out[at : at + 500, RAW:-1] = np.clip(np.abs(beyond[:, -EXTRA:]) / self.spread[-EXTRA:], 0, CLIP)
+            out[at : at + 500, -1] = np.sqrt(np.square(beyond[:, :-EXTRA]).sum(axis=1))
+        return out
 
 
 @dataclass
@@ -182,14 +187,21 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
         span = Span(np.zeros(RAW, np.float32), np.zeros(RAW, np.float32), np.ones(RAW, np.float32))
         return Model(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 0.5, span)
     span = Span.of(positive)
-    positive, unlabelled = span.features(positive), span.features(unlabelled)
+    positive = span.features(positive)
+    unlabelled = span.features(unlabelled)
     n = len(positive) + len(unlabelled)
     mean = (positive.sum(axis=0, dtype=np.float64) + unlabelled.sum(axis=0, dtype=np.float64)) / n
-    square = sum(np.square(each - mean.astype(np.float32)).sum(axis=0, dtype=np.float64) for each in (positive, unlabelled))
+    centre = mean.astype(np.float32)
+    parts = (each[at : at + 500] for each in (positive, unlabelled) for at in range(0, len(each), 500))
+    square = sum(np.square(part - centre).sum(axis=0, dtype=np.float64) for part in parts)
     scale = np.sqrt(square / n)
     scale = np.where(scale > 1e-6, scale, 1.0)
     small = mean.astype(np.float32), scale.astype(np.float32)
-    p, u = (np.clip((each - small[0]) / small[1], -CLIP, CLIP) for each in (positive, unlabelled))
+    for each in (positive, unlabelled):
+        each -= small[0]
+        each /= small[1]
+        np.clip(each, -CLIP, CLIP, out=each)
+    p, u = positive, unlabelled
     prior = estimate_prior(*separation(p, u))
 
     def risk(values: np.ndarray) -> np.ndarray:
