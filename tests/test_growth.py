@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
-from workload import dates
+from doclake.functions import markup
+from workload import dates, listings
 
 
 def _orders(spark, path, rows):
@@ -33,3 +34,39 @@ def test_open_windows_meet_days_not_orders(spark, tmp_path, monkeypatch):
                 expected[s, hot] = n + 1, keys + key
     assert found == {(s, hot, n, keys) for (s, hot), (n, keys) in expected.items()} and found
     assert met[0] <= 6  # four days, the leap day, and no day
+
+
+class _Counting:
+    def __init__(self, pattern):
+        self.pattern, self.calls = pattern, 0
+
+    def search(self, *a):
+        self.calls += 1
+        return self.pattern.search(*a)
+
+    def fullmatch(self, *a):
+        self.calls += 1
+        return self.pattern.fullmatch(*a)
+
+
+def test_repeated_tags_are_cut_once(monkeypatch):
+    token = _Counting(markup._TOKEN)
+    monkeypatch.setattr(markup, "_TOKEN", token)
+    page = markup.Page('<li class="each-item row"><span title="a>b">x &amp; y</span></li>' * 100)
+    assert [e.attrs for e in page.select("span")] == [{"title": "a>b"}] * 100
+    assert [page.text(e) for e in page.select("li.each-item")] == ["x & y"] * 100
+    # Of the four tags only that with ">" in a value is looked at each time it comes, twice at most.
+    assert token.calls <= 2 * 100 + 3
+
+
+def test_what_is_kept_of_tags_is_bounded():
+    markup.Page("".join(f'<a href="/{i}">' for i in range(2 * markup._MOST_READ)) + "<b x='" + "y" * 500 + "'>")
+    assert len(markup._cut) <= markup._MOST_READ and all(len(t) <= markup._LONGEST_READ for t in markup._cut)
+
+
+def test_hostile_listings_are_read_once(spark, tmp_path):
+    _orders(spark, tmp_path, [(k, datetime(1995, 1, 1)) for k in range(100)])
+    found = listings.hostile_listings(spark, str(tmp_path))
+    assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
+    rows = found.collect()
+    assert len(rows) == 10 and sum(r.cards for r in rows) == 100 and not any(r.failures for r in rows)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from doclake.operators import frontier
+from doclake.sources.workspace import materialize
 from workload.inputs import CARDS, DECIDED, FETCHES, fetches, listing_pages
 from workload.landing import landing_table
 from workload.registry import query, table
@@ -187,8 +188,11 @@ def hostile_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = listing_pages(spark, sf_dir).withColumn("payload", F.concat(F.encode(head, "UTF-8"), "payload"))
     listings = frontier.read_listings(pages)
     own = F.filter("listing.cards", lambda c: c["document_url"].startswith("https://decisions.example.test/en/cases/"))
-    failed = frontier.unreadable_listings(listings).groupBy("url").agg(F.count("*").alias("failures"))
-    counted = listings.select("url", F.size("listing.cards").cast("bigint").alias("cards"), F.size(own).cast("bigint").alias("own_links"))
+    counts = {"cards": F.size("listing.cards").cast("bigint"), "own_links": F.size(own).cast("bigint")}
+    # Written once without the cards, so that no page is read twice.
+    read = materialize(listings.withColumns(counts).withColumn("listing", F.col("listing").dropFields("cards")), "hostile-listings")
+    failed = frontier.unreadable_listings(read).groupBy("url").agg(F.count("*").alias("failures"))
+    counted = read.select("url", "cards", "own_links")
     return counted.join(failed, "url", "left").na.fill(0, ["failures"])
 
 
