@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -32,22 +31,24 @@ class LastWrite(StatefulProcessor):
         self.last = handle.getValueState("last", STATE)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.last.update((row["file_path"], row["file_hash"], int(row["fetch_seq"])))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = pd.concat(rows).sort_values("fetch_seq", kind="stable")
-        before = self.last.get() if self.last.exists() else None
-        written, inserted, replayed = [], [], []
-        for number, path, digest in zip(arrived["fetch_seq"], arrived["file_path"], arrived["file_hash"], strict=True):
+        self.last.update((initialState["file_path"], initialState["file_hash"], int(initialState["fetch_seq"])))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        # Most identities have a few rows in a batch: plain rows, and one look at the state.
+        arrived = sorted(rows, key=lambda row: row["fetch_seq"])
+        before = self.last.get()
+        for row in arrived:
+            number, path, digest = row["fetch_seq"], row["file_path"], row["file_hash"]
             again = before is not None and number <= before[2]
-            replayed.append(again)
-            inserted.append(before is None)
-            written.append(not again and (before is None or (path, digest) != (before[0], before[1])))
+            inserted = before is None
+            written = not again and (inserted or (path, digest) != (before[0], before[1]))
             if not again:
-                before = (path, digest, int(number))
-        self.last.update(before)
-        yield arrived.assign(body=key[0], identifier=key[1], object_written=written, inserted=inserted, replayed=replayed)
+                before = (path, digest, number)
+            yield Row(
+                body=key[0], identifier=key[1], fetch_seq=number, file_path=path, file_hash=digest,
+                object_written=written, inserted=inserted, replayed=again,
+            )
+        self.last.update(tuple(before))
 
     def close(self) -> None:
         pass
@@ -68,7 +69,7 @@ def decide_stream(captures: DataFrame, stored: DataFrame | None = None, profile:
     if stored is not None:
         before = stored.select(*IDENTITY, "file_path", "file_hash", F.lit(-1).cast("long").alias("fetch_seq"))
         initial = before.groupBy(*IDENTITY)
-    decided = keyed.transformWithStateInPandas(
+    decided = keyed.transformWithState(
         statefulProcessor=LastWrite(), outputStructType=DECISION, outputMode="Append", timeMode="None", initialState=initial
     )
     return decided

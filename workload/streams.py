@@ -65,18 +65,20 @@ def stream_write_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts in four micro-batches, the third with a part of the first once more, decided with state."""
     attempts = fetches_of(table(spark, sf_dir, "events")).drop("ts")
     last = attempts.agg(F.max("fetch_seq")).head()[0]
-    source = workspace(spark, "arriving")
+    source, path, state = (workspace(spark, name) for name in ("arriving", "stream-decisions", "decision-state"))
     quarter = F.floor(F.col("fetch_seq") * 4 / (last + 1))
-    for piece in range(4):
-        again = attempts.where((quarter == 0) & (F.col("fetch_seq") % 5 == 0)) if piece == 2 else attempts.limit(0)
-        attempts.where(quarter == piece).union(again).coalesce(1).write.mode("append").parquet(source)
-    arriving = spark.readStream.schema(attempts.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    arriving = spark.readStream.schema(attempts.schema).parquet(f"{source}/piece=*")
     usual = spark.conf.get(STATE_STORE, None)
     spark.conf.set(STATE_STORE, decisions.PROVIDER)
     try:
-        path = workspace(spark, "stream-decisions")
         decided = decisions.decide_stream(arriving)
-        decisions.stream_decisions(decided, path, workspace(spark, "decision-state")).awaitTermination()
+        # The stream goes on from its checkpoint with all files of a piece, however many, as one batch.
+        for piece in range(4):
+            found = attempts.where(quarter == piece)
+            if piece == 2:
+                found = found.union(attempts.where((quarter == 0) & (F.col("fetch_seq") % 5 == 0)))
+            found.write.parquet(f"{source}/piece={piece}")
+            decisions.stream_decisions(decided, path, state).awaitTermination()
     finally:
         spark.conf.unset(STATE_STORE) if usual is None else spark.conf.set(STATE_STORE, usual)
     found = spark.read.schema(decided.schema).parquet(path).where("not replayed")
