@@ -14,6 +14,7 @@ from doclake.functions.windows import check_range
 from doclake.operators.identity import merge
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
 from doclake.schema import EMPTY_IDENTIFIER, HTML, INCOMPLETE_RECORD, NO_CONTENT, TRANSFORMED_SCHEMA
+from doclake.session import bound_batches
 from doclake.sources.index import LANDING_OBJECT, TRANSFORMED_IDENTITY
 from doclake.sources.landing import scan_range
 from doclake.sources.objects import ORDER, current_versions
@@ -47,6 +48,7 @@ def _with_failures(located: DataFrame) -> DataFrame:
 
 def convert(rows: DataFrame, as_of: str, profile: SourceProfile = DEFAULT_PROFILE) -> DataFrame:
     """Rows with ``content`` to transformed rows; only html content is handed to Python."""
+    bound_batches(rows.sparkSession)
     is_html = F.col("document_type") == HTML
     typed = rows.withColumn(
         "document_type", effective_document_type(F.col("document_type"), F.col("content"))

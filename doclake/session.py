@@ -29,6 +29,15 @@ CLUSTER_SETTINGS = {
 }
 
 
+_BATCHES = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of pages, which a worker holds whole with what it makes of them."""
+    for name in _BATCHES:
+        spark.conf.set(name, SETTINGS[name])
+
+
 def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
     for name, value in (CLUSTER_SETTINGS if cluster else SETTINGS).items():
         spark.conf.set(name, value)

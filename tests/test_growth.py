@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 
+from pyspark.sql import functions as F
+
 from doclake.functions import markup
-from workload import dates, listings
+from workload import dates, listings, zones
 
 
 def _orders(spark, path, rows):
@@ -70,3 +72,12 @@ def test_hostile_listings_are_read_once(spark, tmp_path):
     assert "ArrowEvalPython" not in found._jdf.queryExecution().executedPlan().toString()
     rows = found.collect()
     assert len(rows) == 10 and sum(r.cards for r in rows) == 100 and not any(r.failures for r in rows)
+
+
+def test_batches_of_pages_are_bounded(spark, tmp_path):
+    page = "<html><title>t</title><article>" + "x" * 1000 + "</article></html>"
+    frame = spark.range(3).select(F.col("id").alias("page_id"), F.lit("http://a.test/").alias("url"), F.lit(page).alias("html"))
+    frame.write.parquet(f"{tmp_path}/pages.parquet")
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.title for r in zones.page_titles(spark, str(tmp_path)).collect()] == ["t"] * 3
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 2000

@@ -13,6 +13,7 @@ from doclake.plans import transform as plans
 from doclake.plans.ingest import classify, run_ingest
 from doclake.plans.window import run_logged, run_window
 from doclake.schema import CAPTURE_SCHEMA, LANDING_SCHEMA, TRANSFORMED_SCHEMA
+from doclake.session import bound_batches
 from doclake.sources import objects as object_table
 from doclake.sources.landing import scan_range
 from doclake.sources.store import Store
@@ -63,6 +64,7 @@ _ESCAPED = f"replace(replace(replace({_BARE}, '&', '&amp;'), '<', '&lt;'), '>',
 
 
 def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     page = clean_page(F.encode("html", "UTF-8")).alias("page")
     return table(spark, sf_dir, "pages").select("page_id", page).select("page_id", "page.*")
 
