@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from doclake.llm import bpe, langid, mixing, quality, simhash
 from doclake.llm.common import held_out, table
-from doclake.sources.workspace import materialize
+from doclake.sources.workspace import TEXTS, materialize
 
 # Documents whose score is below this go; the model's prior makes 0.5 the even chance.
 LEAST_QUALITY = 0.5
@@ -62,5 +62,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows; each stage's result is written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"), TEXTS)
     return STAGES[-1][1](spark, docs, sf_dir)

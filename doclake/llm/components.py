@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from doclake.llm.common import column, free_name
-from doclake.sources.workspace import materialize
+from doclake.sources.workspace import TEXTS, materialize
 
 ROUNDS = 60
 
@@ -62,7 +62,7 @@ def first_of_each(docs: DataFrame, grouping: Callable[[DataFrame], DataFrame], d
     with the smallest id the one whose text hashes lowest stays, and of equal texts the first read.
     """
     key = free_name(docs, "_row")
-    written = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    written = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows", TEXTS)
     value = F.coalesce(column(text), F.lit(""))
     grouped = grouping(written.select(F.col(key).alias("row"), value.alias("text")))
     place = F.struct(column(doc_id).isNull().alias("last"), column(doc_id).alias("id"), F.xxhash64(value).alias("hash"), F.col(key).alias("row"))

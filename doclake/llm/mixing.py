@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from doclake.llm.common import WORD, column, free_name
-from doclake.sources.workspace import materialize
+from doclake.sources.workspace import TEXTS, materialize
 
 WEIGHTS = (5, 2, 1)
 # How the rate at the end of training differs from the mean rate, for the weights in turn.
@@ -157,7 +157,7 @@ def mix(documents: DataFrame, doc_id: str = "doc_id", source: str = "source", te
     carried along whatever their names.
     """
     key = free_name(documents, "_row")
-    written = materialize(documents.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    written = materialize(documents.withColumn(key, F.monotonically_increasing_id()), "keyed-rows", TEXTS)
     slim = sizes(written, doc_id, source, text, key)
     planned = plan(slim, targets(slim))
     whole = F.filter("copies", lambda c: c["words"] * 2 >= F.col("size"))

@@ -10,6 +10,7 @@ trusted positives show.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 from operator import eq
 
@@ -23,6 +24,8 @@ from doclake.llm.common import Step, add_columns, column, free_name
 # Bounds of the two samples the model is fitted to.
 POSITIVES = 8000
 UNLABELLED = 8000
+# Rows and columns of a sample that are worked on at a time, where that makes copies.
+ROWS, COLUMNS = 500, 64
 # Hashes of rows are dealt to so many places.
 PLACES = 1 << 40
 
@@ -84,6 +87,31 @@ class Reader:
         return np.stack([self.features((value.as_py() or "").encode()) for value in column]) if len(column) else np.zeros((0, RAW), np.float32)
 
 
+@dataclass
+class Sample:
+    """Rows of raw features, each packed: most features of a row are zero. A slice is a matrix."""
+
+    rows: list[bytes]
+
+    @staticmethod
+    def packed(matrix: np.ndarray) -> list[bytes]:
+        return [zlib.compress(row.tobytes(), 1) for row in matrix]
+
+    @property
+    def shape(self) -> tuple[int, int]:
+        return len(self.rows), RAW
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, at: slice) -> np.ndarray:
+        rows = self.rows[at]
+        out = np.empty((len(rows), RAW), np.float32)
+        for i, row in enumerate(rows):
+            out[i] = np.frombuffer(zlib.decompress(row), np.float32)
+        return out
+
+
 @dataclass
 class Span:
     """The range of every raw feature over the trusted positives.
@@ -98,18 +126,19 @@ class Span:
 
     @classmethod
     def of(cls, positive: np.ndarray) -> Span:
-        return cls(positive.min(axis=0), positive.max(axis=0), positive.std(axis=0) + np.float32(1e-3))
+        spread = [positive[:, at : at + COLUMNS].std(axis=0) for at in range(0, positive.shape[1], COLUMNS)]
+        return cls(positive.min(axis=0), positive.max(axis=0), np.concatenate(spread) + np.float32(1e-3))
 
-    def features(self, matrix: np.ndarray) -> np.ndarray:
+    def features(self, matrix: np.ndarray | Sample) -> np.ndarray:
         out = np.empty((len(matrix), FEATURES), np.float32)
-        # By blocks of rows: the driver holds a sample twice at most.
-        for at in range(0, len(matrix), 500):
-            rows = matrix[at : at + 500]
+        # By blocks of rows: the driver holds a sample once, and packed.
+        for at in range(0, len(matrix), ROWS):
+            rows = matrix[at : at + ROWS]
             inside = np.clip(rows, self.low, self.high)
             beyond = rows - inside
-            out[at : at + 500, :RAW] = inside
-            out[at : at + 500, RAW:-1] = np.clip(np.abs(beyond[:, -EXTRA:]) / self.spread[-EXTRA:], 0, CLIP)
-            out[at : at + 500, -1] = np.sqrt(np.square(beyond[:, :-EXTRA]).sum(axis=1))
+            out[at : at + ROWS, :RAW] = inside
+            out[at : at + ROWS, RAW:-1] = np.clip(np.abs(beyond[:, -EXTRA:]) / self.spread[-EXTRA:], 0, CLIP)
+            out[at : at + ROWS, -1] = np.sqrt(np.square(beyond[:, :-EXTRA]).sum(axis=1))
         return out
 
 
@@ -177,22 +206,25 @@ def separation(positive: np.ndarray, unlabelled: np.ndarray) -> tuple[np.ndarray
 
         w, b = _descend(slope, FEATURES, 0.0, SPLIT_ROUNDS)
         for values, sample in zip(scores, (positive, unlabelled), strict=True):
-            values[1 - half :: 2] = sample[1 - half :: 2] @ w + b
+            other = sample[1 - half :: 2]
+            # By blocks of rows: the product makes a copy in double precision.
+            parts = [other[at : at + ROWS] @ w + b for at in range(0, len(other), ROWS)]
+            values[1 - half :: 2] = np.concatenate(parts) if parts else 0.0
     return scores
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
+def fit(positive: np.ndarray | Sample, unlabelled: np.ndarray | Sample) -> Model:
     """Fits the model to the features of both samples; without positives every score is 0.5."""
     if not len(positive) or not len(unlabelled):
         span = Span(np.zeros(RAW, np.float32), np.zeros(RAW, np.float32), np.ones(RAW, np.float32))
         return Model(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 0.5, span)
-    span = Span.of(positive)
+    span = Span.of(positive[:])
     positive = span.features(positive)
     unlabelled = span.features(unlabelled)
     n = len(positive) + len(unlabelled)
     mean = (positive.sum(axis=0, dtype=np.float64) + unlabelled.sum(axis=0, dtype=np.float64)) / n
     centre = mean.astype(np.float32)
-    parts = (each[at : at + 500] for each in (positive, unlabelled) for at in range(0, len(each), 500))
+    parts = (each[at : at + ROWS] for each in (positive, unlabelled) for at in range(0, len(each), ROWS))
     square = sum(np.square(part - centre).sum(axis=0, dtype=np.float64) for part in parts)
     scale = np.sqrt(square / n)
     scale = np.where(scale > 1e-6, scale, 1.0)
@@ -228,7 +260,7 @@ def learn(docs: DataFrame, positives: DataFrame, text: str = "text", doc_id: str
     """
     key = free_name(docs, "_sampled")
 
-    def sample(ids: DataFrame, most: int, seed: int) -> np.ndarray:
+    def sample(ids: DataFrame, most: int, seed: int) -> Sample:
         found = ids.select(column(doc_id).alias(key)).where(F.col(key).isNotNull()).distinct()
         # At most ``most`` ids; an id can have any number of rows.
         chosen = found.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(most)
@@ -241,11 +273,10 @@ def learn(docs: DataFrame, positives: DataFrame, text: str = "text", doc_id: str
 
         def start() -> Step:
             reader = Reader()
-            return lambda values: [pa.array([row.tobytes() for row in reader.matrix(values)], pa.binary())]
+            return lambda values: [pa.array(Sample.packed(reader.matrix(values)), pa.binary())]
 
         packed = add_columns(few, start, "features binary", ["text"], ["place"]).dropDuplicates(["place"])
-        raw = [value.as_py() for value in packed.orderBy("place").limit(most).toArrow()["features"]]
-        return np.frombuffer(b"".join(raw), np.float32).reshape(-1, RAW)
+        return Sample([value.as_py() for value in packed.orderBy("place").limit(most).toArrow()["features"]])
 
     return fit(sample(positives, POSITIVES, 1), sample(docs, UNLABELLED, 2))
 
