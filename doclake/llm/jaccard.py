@@ -45,6 +45,10 @@ RATIO = 100 / LEAST
 SPREAD = 4
 # Rows of a key that one task compares; a larger bucket is cut into blocks of about half of it.
 BUCKET = 1 << 15
+# Pairs of a key with more rows than this are looked for in other such keys, to be made only once.
+CROWD = 16
+# Keys by which a set is compared with others for that: the least of as many residue classes.
+MARKS = 8
 # Bits of the filter that picks the texts of candidate sets; false hits cost work only.
 FILTER_BITS = 1 << 20
 
@@ -267,6 +271,17 @@ def crossing(members: list[np.ndarray], sizes: np.ndarray, component: np.ndarray
     return np.concatenate(left), np.concatenate(right)
 
 
+def made_here(key: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of crowded bucket ``key`` to make in it, by the marks of their two sets.
+
+    A mark that both have is the key of a crowded bucket they also meet in. The least of those makes
+    the pair, the others leave it out; without one every bucket makes it.
+    """
+    top = np.iinfo(np.int64).max
+    both = np.where((left == right) & (left != top), left, top).min(axis=1)
+    return (both == top) | (both == key)
+
+
 def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of the buckets in a stream sorted by (key, block)."""
     waiting: list[pa.RecordBatch] = []
@@ -275,6 +290,10 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ids, component, sizes = (table.column(c).to_numpy() for c in ("set_id", "component", "n"))
         sketches = [np.frombuffer(v.as_py(), np.uint8) for v in table.column("sketch")]
         left, right = crossing(sketches, sizes, component)
+        if len(left) and table.column("marks")[0].is_valid:
+            marks = np.array(table.column("marks").to_pylist(), np.int64)
+            here = made_here(table.column("key")[0].as_py(), marks[left], marks[right])
+            left, right = left[here], right[here]
         return np.stack([np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])], axis=1)
 
     def flush(end: bool) -> Iterator[pa.RecordBatch]:
@@ -302,24 +321,40 @@ def _bucket_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from flush(end=True)
 
 
-def crossing_pairs(shared: DataFrame, known: DataFrame, roots: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """``a, b``: sets that share a key, lie in different components and pass the sketch."""
+def made_pairs(shared: DataFrame, known: DataFrame, roots: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """The rows of ``crossing_pairs``, some more than once.
+
+    Buckets fold the sketches to their shortest one, so a pair may pass in one and not in another:
+    then it is no link, as any folded distance is at most the true one.
+    """
     named = shared.join(roots.withColumnsRenamed({"node": "set_id", "root": "component"}), "set_id", "left")
     named = named.withColumn("component", F.coalesce("component", "set_id"))
     named = materialize(named, "shared-components")
     several = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("rows"))
     blocks = F.when(F.col("rows") > bucket, F.ceil(F.col("rows") / (bucket // 2))).otherwise(1).cast("long")
-    several = several.where("low != high").select("key", blocks.alias("blocks"))
-    rows = named.join(several, "key").join(known, "set_id")
+    several = several.where("low != high").select("key", blocks.alias("blocks"), (F.col("rows") > CROWD).alias("crowded"))
+    several = materialize(several, "crossing-keys")
+    # Near copies share most of their keys: a pair of them would be made in every bucket of these.
+    top = F.lit(np.iinfo(np.int64).max).cast("long")
+    least = [F.min(F.when(F.pmod("key", F.lit(MARKS)) == i, F.col("key"))) for i in range(MARKS)]
+    crowds = named.join(several.where("crowded"), "key").groupBy("set_id")
+    marks = crowds.agg(F.array(*[F.coalesce(each, top) for each in least]).alias("all_marks"))
+    rows = named.join(several, "key").join(known, "set_id").join(marks, "set_id", "left")
+    rows = rows.withColumn("marks", F.when(F.col("crowded"), F.col("all_marks")))
     mine = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
     # A row meets every block of its bucket, its own included, in the group of the two.
     groups = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
         lambda other: F.least(mine, other) * F.col("blocks") + F.greatest(mine, other),
     )
-    dealt = rows.select("key", F.explode(groups).alias("block"), "set_id", "component", "n", "sketch")
+    dealt = rows.select("key", F.explode(groups).alias("block"), "set_id", "component", "n", "sketch", "marks")
     placed = dealt.repartition("key", "block").sortWithinPartitions("key", "block")
-    return placed.mapInArrow(_bucket_pairs, "a long, b long").distinct()
+    return placed.mapInArrow(_bucket_pairs, "a long, b long")
+
+
+def crossing_pairs(shared: DataFrame, known: DataFrame, roots: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """``a, b``: sets that share a key, lie in different components and pass the sketch."""
+    return made_pairs(shared, known, roots, bucket).distinct()
 
 
 # ---- verification
