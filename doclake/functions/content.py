@@ -14,7 +14,7 @@ from doclake.schema import CONTENT_TYPES, HTML, SIGNATURES
 
 def detect_document_type(content_type: Column, payload: Column) -> Column:
     """Magic bytes decide; without them the declared type; html when that is none of ours."""
-    header = F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))
+    header = F.substring_index(F.coalesce(content_type, F.lit("")), ";", 1)
     declared = lookup({mime: kind for kind, mime in CONTENT_TYPES.items()}, F.lower(strip(header)))
     sniffed = reduce(
         lambda cases, item: cases.when(F.startswith(payload, F.lit(item[1])), F.lit(item[0])),

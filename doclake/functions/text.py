@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,12 +12,14 @@ from doclake.schema import EXTENSIONS
 # Fixed value: every character Unicode text processing counts as whitespace, spelled out so that
 # the result does not depend on an engine's own idea of \s.
 WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The same characters one by one.
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITESPACE}]", c))
 # Fixed value: the results counter printed on a listing page.
 TOTAL_RESULTS = rf"(?i)of[{WHITESPACE}]+([\d,]+)[{WHITESPACE}]+results"
 
 
 def strip(value: Column) -> Column:
-    return F.regexp_replace(value, rf"^[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(value, F.lit(BLANKS))
 
 
 def clean_text(value: Column) -> Column:

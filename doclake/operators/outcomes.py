@@ -75,12 +75,10 @@ def with_validation(records: DataFrame) -> DataFrame:
     unnumbered = F.coalesce(F.col("fetch_seq") < 0, F.lit(True))
     why = why.when(F.col("payload").isNull(), NO_PAYLOAD).when(unnumbered, BAD_NUMBER)
     invalid = F.when(incomplete | undated, "ValidationError").when(empty, "ValueError")
-    return records.withColumns(
-        {
-            "error_code": invalid.when(F.col("payload").isNull() | unnumbered, "ValidationError"),
-            "reason": F.concat(F.lit(LANDING_FAILED), why),
-        }
-    )
+    code = invalid.when(F.col("payload").isNull() | unnumbered, "ValidationError")
+    # The conditions are gone through once more only for what is invalid.
+    reason = F.when(F.col("error_code").isNotNull(), F.concat(F.lit(LANDING_FAILED), why))
+    return records.withColumn("error_code", code).withColumn("reason", reason)
 
 
 def failures(rows: DataFrame, url: str = "document_url") -> DataFrame:

@@ -20,6 +20,7 @@ from doclake.operators.stats import run_counters
 from doclake.operators.outcomes import FAILED, FETCHED, UNCHANGED, triage, with_validation
 from doclake.profile import DEFAULT_PROFILE, SourceProfile
 from doclake.schema import IDENTITY, LANDING_FAILED, LANDING_SCHEMA, REPEATED_NUMBER
+from doclake.session import compiled
 from doclake.sources.index import LANDING_IDENTITY, LANDING_OBJECT
 from doclake.sources.landing import find_many
 from doclake.sources.store import Run, Store
@@ -81,7 +82,8 @@ def decide(
     capture that breaks the contract (see ``with_validation``, or a number used twice for one
     identity) is a failure like any other, so every capture has its row.
     """
-    slim = materialize(slim_captures(captures, profile), "slim-captures")
+    with compiled(captures.sparkSession):
+        slim = materialize(slim_captures(captures, profile), "slim-captures")
     decided = write_decisions(slim.where(F.col("outcome") == FETCHED).drop("outcome"), stored)
     events = event_union(
         decided,
@@ -202,4 +204,5 @@ def run_ingest(
         run.post(LANDING_IDENTITY, latest_per_identity(records.select("fetch_seq", *LANDING_IDENTITY.schema.names)))
         return decisions
 
-    return store.attempt(ingest, marks)
+    with compiled(captures.sparkSession):
+        return store.attempt(ingest, marks)

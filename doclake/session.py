@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -38,6 +41,22 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(name, SETTINGS[name])
 
 
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """Run the long projections of captures compiled, whatever the session's own method limit.
+
+    A fused stage above the limit of the JVM is interpreted, at less than half the speed. The limit is
+    read when a plan runs, so only jobs inside the block are bound by it.
+    """
+    name = "spark.sql.codegen.hugeMethodLimit"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, SETTINGS[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def configure(spark: SparkSession, cluster: bool = False) -> SparkSession:
     for name, value in (CLUSTER_SETTINGS if cluster else SETTINGS).items():
         spark.conf.set(name, value)
