@@ -84,6 +84,11 @@ def decide(
     """
     with compiled(captures.sparkSession):
         slim = materialize(slim_captures(captures, profile), "slim-captures")
+    return decide_slim(slim, stored)
+
+
+def decide_slim(slim: DataFrame, stored: DataFrame) -> DataFrame:
+    """``decide`` for written rows of ``slim_captures``."""
     decided = write_decisions(slim.where(F.col("outcome") == FETCHED).drop("outcome"), stored)
     events = event_union(
         decided,
@@ -180,8 +185,9 @@ def run_ingest(
     """
 
     def ingest(run: Run) -> DataFrame:
-        known = run.stage("known", run.find(LANDING_IDENTITY, captures))
-        decided = decide(captures, known, profile)
+        slim = run.stage("slim-captures", slim_captures(captures, profile))
+        known = run.stage("known", run.find(LANDING_IDENTITY, slim))
+        decided = decide_slim(slim, known)
         if observed is not None:
             observed.append(Observation())
             decided = decided.observe(observed[-1], *run_counters())

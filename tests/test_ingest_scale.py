@@ -21,20 +21,27 @@ def test_the_method_limit_holds_inside_the_block_only(spark):
     assert spark.conf.get(LIMIT) == usual != "8000"
 
 
-def test_an_ingest_runs_compiled(spark, capture, tmp_path, monkeypatch):
-    limits, usual = [], spark.conf.get(LIMIT)
-    stage = Run.stage
+def test_an_ingest_runs_compiled_and_looks_its_identities_up_in_slim_rows(spark, capture, tmp_path, monkeypatch):
+    """The second batch finds what the first stored without another scan of the captures."""
+    wanted, limits, usual = [], [], spark.conf.get(LIMIT)
+    find, stage = Run.find, Run.stage
+
+    def seen_find(run, index, rows):
+        wanted.append(rows.columns)
+        return find(run, index, rows)
 
     def seen_stage(run, name, rows):
         limits.append(spark.conf.get(LIMIT))
         return stage(run, name, rows)
 
+    monkeypatch.setattr(Run, "find", seen_find)
     monkeypatch.setattr(Run, "stage", seen_stage)
     store = Store(spark, str(tmp_path))
     ingest.run_ingest(store, capture({"identifier": "A"}, {"identifier": None}), "2024-02-01")
     second = capture({"identifier": "A", "fetch_seq": 7}, {"identifier": "B", "fetch_seq": 8})
     rows = ingest.run_ingest(store, second, "2024-02-01").collect()
     assert {r.identifier: (r.inserted, r.object_written) for r in rows} == {"A": (False, False), "B": (True, True)}
+    assert len(wanted) == 2 and all("payload" not in columns for columns in wanted)
     assert set(limits) == {"8000"} and spark.conf.get(LIMIT) == usual
 
 
